@@ -7,11 +7,13 @@ missing parent, a profile without metadata) get an id that does not exist.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstat.fixed_values import CURRENCIES
-from quillstat.sources.tables import Sources, from_frames
+from quillstat.sources.tables import Sources
 
 # The creators of the demo; profiles 0 to 99 write all publications.
 CREATORS = tuple(str(i) for i in range(12))
@@ -30,11 +32,10 @@ CODES = {
 
 
 def load(spark: SparkSession, sf_dir: str) -> Sources:
+    @cache
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    customer, orders, lineitem = table("customer"), table("orders"), table("lineitem")
-    events, part, documents = table("events"), table("part"), table("documents")
     cust, order, line = F.col("c_custkey"), F.col("o_orderkey"), F.col("l_orderkey")
     event, user = F.col("event_id"), F.col("user_id")
 
@@ -74,41 +75,41 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
     )
 
     frames = {
-        "post_v1": orders.select(
+        "post_v1": lambda: table("orders").select(
             _text(F.col("o_custkey") % 100).alias("profile_id"),
             _text(order).alias("post_id"),
             F.col("o_orderdate").alias("block_timestamp"),
         ),
-        "collect_module_v1": lineitem.select(
+        "collect_module_v1": lambda: table("lineitem").select(
             _text(line + 7).alias("publication_id"),
             address.alias("currency"),
             amount.alias("amount"),
             F.col("l_tax").alias("referral_fee"),
         ),
-        "collect_record_v1": events.select(
+        "collect_record_v1": lambda: table("events").select(
             _text(F.floor(event / 2)).alias("publication_id"),
             F.col("ts").alias("block_timestamp"),
             collector.alias("collected_by"),
             _text(event).alias("referral_id"),
         ),
-        "profile_v1": customer.select(
+        "profile_v1": lambda: table("customer").select(
             _text(cust).alias("profile_id"),
             F.concat(F.lit("w"), F.floor(cust / 2)).alias("owned_by"),
             F.col("c_name").alias("handle"),
         ),
-        "profile_stats_v1": customer.select(
+        "profile_stats_v1": lambda: table("customer").select(
             statistics_id.alias("profile_id"),
             F.when(F.col("c_mktsegment") != "BUILDING", F.floor("c_acctbal")).alias(
                 "total_collects"
             ),
         ),
-        "profile_record": customer.select(
+        "profile_record": lambda: table("customer").select(
             _text(cust).alias("profile_id"),
             F.concat(F.lit("w"), F.floor(cust / 2)).alias("owned_by"),
             (F.col("c_acctbal") < 0).alias("is_burnt"),
             _day("1995-01-01", cust % 700).alias("block_timestamp"),
         ),
-        "profile_metadata": orders.select(
+        "profile_metadata": lambda: table("orders").select(
             F.when(F.col("o_custkey") % 7 == 0, F.concat(F.lit("x"), F.col("o_custkey")))
             .otherwise(_text(F.col("o_custkey")))
             .alias("profile_id"),
@@ -117,10 +118,10 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
             ).alias("name"),
             F.col("o_orderdate").alias("block_timestamp"),
         ),
-        "profile_last_logged_in": events.select(
+        "profile_last_logged_in": lambda: table("events").select(
             _text(user).alias("profile_id"), F.col("ts").alias("last_logged_in")
         ),
-        "profile_stats": customer.select(
+        "profile_stats": lambda: table("customer").select(
             statistics_id.alias("profile_id"),
             *[
                 (cust % n).alias(f"total_{name}")
@@ -137,15 +138,15 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
                 ]
             ],
         ),
-        "follower_stats": customer.select(
+        "follower_stats": lambda: table("customer").select(
             statistics_id.alias("profile_id"),
             (cust % 149).alias("total_followers"),
             (cust % 151).alias("total_following"),
         ),
-        "profile_quality": customer.select(
+        "profile_quality": lambda: table("customer").select(
             statistics_id.alias("profile_id"), (cust % 1000 / 8).alias("score")
         ),
-        "publication_record": orders.select(
+        "publication_record": lambda: table("orders").select(
             _text(order).alias("publication_id"),
             _text(F.col("o_custkey") % 100).alias("profile_id"),
             kind.alias("publication_type"),
@@ -156,7 +157,7 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
             (order % 17 == 0).alias("gardener_flagged"),
             F.col("o_orderdate").alias("block_timestamp"),
         ),
-        "publication_metadata": documents.select(
+        "publication_metadata": lambda: table("documents").select(
             _text(F.col("doc_id")).alias("publication_id"),
             F.col("lang").alias("language"),
             F.when(F.col("n_chars") >= 500, F.lit("LONG")).alias("content_warning"),
@@ -164,7 +165,7 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
             F.col("source").alias("tags_vector"),
             (F.col("n_chars") % 2 == 0).alias("is_encrypted"),
         ),
-        "publication_stats": lineitem.groupBy(_text(line).alias("publication_id")).agg(
+        "publication_stats": lambda: table("lineitem").groupBy(_text(line).alias("publication_id")).agg(
             F.count(F.lit(1)).alias("total_amount_of_collects"),
             F.sum(F.col("l_quantity").cast("bigint")).alias("total_amount_of_mirrors"),
             F.max("l_linenumber").alias("total_amount_of_comments"),
@@ -174,47 +175,47 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
             F.max("l_suppkey").alias("total_amount_of_acted"),
             F.min("l_partkey").alias("total_amount_of_comments_gardeners"),
         ),
-        "action_module": lineitem.select(
+        "action_module": lambda: table("lineitem").select(
             _text(line).alias("publication_id"),
             address.alias("currency"),
             amount.alias("amount"),
         ),
-        "acted_record": events.select(
+        "acted_record": lambda: table("events").select(
             _text(event * 2).alias("publication_id"),
             _text(user).alias("acted_profile_id"),
             F.when(F.col("event_type") != "error", F.col("event_type").isin("purchase", "click"))
             .alias("is_collect"),
             F.col("ts").alias("block_timestamp"),
         ),
-        "follower": events.select(
+        "follower": lambda: table("events").select(
             _text(event % 100).alias("profile_id"),
             _text(user).alias("profile_follower_id"),
             F.col("ts").alias("block_timestamp"),
         ),
-        "reaction": events.select(
+        "reaction": lambda: table("events").select(
             _text(event * 2).alias("publication_id"),
             _text(user).alias("actioned_by_profile_id"),
             F.col("event_type").alias("app"),
             F.when(F.col("event_type") == "error", "DOWNVOTE").otherwise("UPVOTE").alias("type"),
             F.col("ts").alias("action_at"),
         ),
-        "mention": events.select(
+        "mention": lambda: table("events").select(
             _text(event % 100).alias("profile_id"),
             _text(event * 2).alias("publication_id"),
             F.col("ts").alias("timestamp"),
         ),
-        "ownership_history": lineitem.select(
+        "ownership_history": lambda: table("lineitem").select(
             _text(F.col("l_suppkey")).alias("profile_id"),
             F.concat(F.lit("w"), F.col("l_partkey")).alias("owned_by"),
             F.col("l_shipdate").alias("block_timestamp"),
         ),
-        "handle_history": part.select(
+        "handle_history": lambda: table("part").select(
             F.concat(F.lit("w"), F.floor(F.col("p_partkey") / 3)).alias("owned_by"),
             F.concat(F.col("p_brand"), F.lit("#"), F.col("p_size")).alias("handle"),
             _day("2000-01-01", F.col("p_partkey") % 3000).alias("block_timestamp"),
         ),
     }
-    return from_frames(frames)
+    return Sources(frames)
 
 
 def _text(column: Column) -> Column:

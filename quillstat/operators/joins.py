@@ -1,12 +1,8 @@
 """Equi-joins that stay balanced when one key holds a large share of the rows.
 
-Spark's adaptive skew join splits the side that is hot, but only a side whose
-rows may be repeated against copies of the other: the left of a left join, either
-side of an inner join. ``lookup`` is for a hot left; ``fan_out`` turns a left
-join with a hot right into an inner join plus the unmatched rows.
-
 Both sides must have distinct column names; the result has all of them, so the
-right key tells whether a row was matched.
+right key tells whether a row was matched. Where no key is hot these are the plain
+Spark joins.
 """
 
 from __future__ import annotations
@@ -16,50 +12,97 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 1024
+from quillstat.operators.skew import NONE, NULL_PARTS, HotKeys, all_parts, row_part
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 Ids = Sequence[str] | DataFrame
 
 
 def lookup(
-    left: DataFrame, right: DataFrame, left_on: str, right_on: str, null_keys: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    left_on: str,
+    right_on: str,
+    hot: HotKeys = NONE,
+    null_keys: bool = False,
 ) -> DataFrame:
-    """Left join to a table with about one row per key.
+    """Left join to a table with few rows per key.
 
-    With ``null_keys`` the left rows whose key is NULL, which can never match but
-    would all hash to one task, are spread by a hash of the row. The second join
-    key is 0 on both sides for every other row, so matches are unchanged.
+    The left rows of a hot key are divided into parts, and its right rows copied
+    to each part. With ``null_keys`` left rows without a key, which can never
+    match but would all go to one task, are divided as well.
     """
-    same_key = F.col(left_on) == F.col(right_on)
-    if not null_keys:
-        return left.join(right, same_key, "left")
-    row = F.xxhash64(*[F.col(c) for c in left.columns])
-    spread = F.when(F.col(left_on).isNull(), F.pmod(row, F.lit(NULL_SPREAD))).otherwise(0)
-    # Written as a condition on the key so that it is not folded to a constant,
-    # which would take it out of the join keys again.
-    unspread = F.when(F.col(right_on).isNull(), F.lit(-1).cast("bigint")).otherwise(0)
-    return (
-        left.withColumn("_spread", spread)
-        .join(
-            right.withColumn("_unspread", unspread),
-            same_key & (F.col("_spread") == F.col("_unspread")),
-            "left",
-        )
-        .drop("_spread", "_unspread")
+    same = F.col(left_on) == F.col(right_on)
+    if not (hot or null_keys):
+        return left.join(right, same, "left")
+    parts = hot.parts(F.col(left_on))
+    if null_keys:
+        parts = F.when(F.col(left_on).isNull(), NULL_PARTS).otherwise(parts)
+    part = F.when(parts > 1, row_part(left, parts)).otherwise(0)
+    if hot:
+        copies = all_parts(hot.parts(F.col(right_on)))
+    else:
+        # Part 0 for every key. Written as a condition on the key so that it is not
+        # folded to a constant, which would take it out of the join keys again.
+        copies = F.when(F.col(right_on).isNull(), -1).otherwise(0)
+    joined = left.withColumn("_part", part).join(
+        right.withColumn("_copy", copies), same & (F.col("_part") == F.col("_copy")), "left"
     )
+    return joined.drop("_part", "_copy")
 
 
-def fan_out(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
+def pair(
+    left: DataFrame,
+    right: DataFrame,
+    left_on: str,
+    right_on: str,
+    hot_left: HotKeys = NONE,
+    hot_right: HotKeys = NONE,
+) -> DataFrame:
+    """Inner join in which a key may be hot on either side, or on both.
+
+    Each side divides the rows of its own hot keys and copies its rows to all
+    parts of the other side's. Every pair of rows meets in exactly one place.
+    """
+    same = F.col(left_on) == F.col(right_on)
+    columns = left.columns + right.columns
+    if hot_left:
+        parts = hot_left.parts(F.col(left_on))
+        part = F.when(parts > 1, row_part(left, parts)).otherwise(0)
+        left = left.withColumn("_left_part", part)
+        right = right.withColumn("_left_copy", all_parts(hot_left.parts(F.col(right_on))))
+        same = same & (F.col("_left_part") == F.col("_left_copy"))
+    if hot_right:
+        parts = hot_right.parts(F.col(right_on))
+        part = F.when(parts > 1, row_part(right, parts)).otherwise(0)
+        left = left.withColumn("_right_copy", all_parts(hot_right.parts(F.col(left_on))))
+        right = right.withColumn("_right_part", part)
+        same = same & (F.col("_right_part") == F.col("_right_copy"))
+    return left.join(right, same, "inner").select(*columns)
+
+
+def fan_out(
+    left: DataFrame,
+    right: DataFrame,
+    left_on: str,
+    right_on: str,
+    hot_left: HotKeys = NONE,
+    hot_right: HotKeys = NONE,
+    keys: DataFrame | None = None,
+) -> DataFrame:
     """Left join to a table that may hold very many rows of one key.
 
-    A left join may split only its left side, so a hot right key would end up in
-    one task. The matched rows come from an inner join, where either side can be
-    split; the unmatched ones from an anti join against the distinct keys, which
-    are reduced before they are shuffled.
+    A left join cannot divide its right side, as every part would have to know
+    whether another one matched. So the matched rows come from an inner join and
+    the others from a check against the distinct keys, which are reduced before
+    they are shuffled. ``keys`` is a table with the same keys that is cheaper than
+    ``right``, if there is one; its first column counts.
     """
-    matched = left.join(right, F.col(left_on) == F.col(right_on), "inner")
-    keys = right.select(F.col(right_on).alias(left_on)).distinct()
-    unmatched = left.join(keys, left_on, "left_anti")
+    matched = pair(left, right, left_on, right_on, hot_left, hot_right)
+    keys = right.select(right_on) if keys is None else keys
+    distinct = keys.select(F.col(keys.columns[0]).alias("_known")).distinct()
+    checked = lookup(left, distinct, left_on, "_known", hot_left)
+    unmatched = checked.filter(F.col("_known").isNull()).drop("_known")
     padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
     return matched.unionByName(unmatched.select(*left.columns, *padding))
 
@@ -78,14 +121,16 @@ def restrict_to(df: DataFrame, ids: Ids | None, on: str) -> DataFrame:
     return df.filter(F.col(on).isin(list(ids)))
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast after measuring the table; leave a larger one as it is.
+def small_enough(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Measure a table before it is broadcast, with one aggregate over its columns.
 
-    Spark estimates a filtered scan by the size of the whole file, so it would
-    shuffle the big side of a join with a handful of selected keys. The measure is
-    one aggregate over the selected columns.
+    Spark estimates a filtered scan by the size of the whole file, so left alone it
+    would shuffle the big side of a join with a handful of selected keys.
     """
     texts = [F.octet_length(F.col(n)) for n, t in df.dtypes if t == "string"]
     width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 + 16 * len(df.columns)))
-    size = df.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(df) if size <= limit else df
+    return (df.agg(F.sum(width)).first()[0] or 0) <= limit
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if small_enough(df, limit) else df

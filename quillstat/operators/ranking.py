@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 256
+from quillstat.operators.skew import row_part
+
+PARTS = 256
 
 
 def first_by(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
@@ -23,22 +25,22 @@ def first_by(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
 
 
 def not_first(
-    df: DataFrame, flag: str, key: str, order: Sequence[Column], salts: int = SALTS
+    df: DataFrame, flag: str, key: str, order: Sequence[Column], parts: int = PARTS
 ) -> DataFrame:
     """Add ``flag``: false on the first row of each key, true on all others.
 
     NULL is a key like any other. A single window over the key would sort the
-    whole group in one task. Here each group is first numbered in ``salts``
-    parts; then only the parts' first rows, at most ``salts`` of them, meet in one
+    whole group in one task. Here each group is first numbered in ``parts``
+    parts; then only the parts' first rows, at most ``parts`` of them, meet in one
     window. The other rows, which cannot be first, stay in their parts. Of several
     equal rows exactly one is the first.
     """
-    columns = df.columns
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts))
-    part = Window.partitionBy(key, "_part").orderBy(*order)
-    heads = F.when(F.col("_rank") == 1, F.lit(-1).cast("bigint")).otherwise(F.col("_part"))
+    own = Window.partitionBy(key, "_part").orderBy(*order)
+    heads = F.when(F.col("_rank") == 1, -1).otherwise(F.col("_part"))
     meet = Window.partitionBy(key, "_part").orderBy(F.col("_rank"), *order)
-    numbered = df.withColumn("_part", salt).withColumn("_rank", F.row_number().over(part))
+    numbered = df.withColumn("_part", row_part(df, F.lit(parts))).withColumn(
+        "_rank", F.row_number().over(own)
+    )
     met = numbered.withColumn("_part", heads).withColumn("_place", F.row_number().over(meet))
     later = (F.col("_part") >= 0) | (F.col("_place") > 1)
-    return met.select(*columns, later.alias(flag))
+    return met.select(*df.columns, later.alias(flag))

@@ -10,6 +10,7 @@ from quillstat.functions.calendar import time_text
 from quillstat.operators.joins import Ids, fan_out, lookup, restrict_to
 from quillstat.operators.ranking import first_by, not_first
 from quillstat.operators.rows import days
+from quillstat.operators.skew import find_hot
 from quillstat.schemas import PRODUCTS, PROFILE, align
 
 
@@ -87,9 +88,16 @@ def handle_history(
     as one handle. A wallet may own many handles and many profiles; all
     combinations are kept.
     """
+    chosen = restrict_to(ownership, profiles, "profile_id")
+    hot = find_hot(
+        {
+            "owners": (chosen, "owned_by"),
+            "handles": (handles, "owned_by"),
+            "records": (records, "owned_by"),
+        }
+    )
     owners = (
-        restrict_to(ownership, profiles, "profile_id")
-        .groupBy("profile_id", F.col("owned_by").alias("ownership_owner"))
+        chosen.groupBy("profile_id", F.col("owned_by").alias("ownership_owner"))
         .agg(F.max("block_timestamp").alias("block_timestamp"))
     )
     named = fan_out(
@@ -101,6 +109,8 @@ def handle_history(
         ),
         "ownership_owner",
         "handle_owner",
+        hot["owners"],
+        hot["handles"],
     )
     owned = fan_out(
         named,
@@ -109,6 +119,8 @@ def handle_history(
         ),
         "handle_owner",
         "record_owner",
+        hot["owners"] | hot["handles"],
+        hot["records"],
     )
     by_time = [
         F.col(c).asc_nulls_first()

@@ -17,8 +17,16 @@ from quillstat.fixed_values import CURRENCIES, Currency
 from quillstat.functions.calendar import from_micros, month_start, time_text
 from quillstat.functions.labels import paid_or_free
 from quillstat.functions.money import raw_amount, usd
-from quillstat.operators.joins import Ids, broadcast_if_small, fan_out, lookup, restrict_to
+from quillstat.operators.joins import (
+    Ids,
+    broadcast_if_small,
+    fan_out,
+    lookup,
+    pair,
+    restrict_to,
+)
 from quillstat.operators.rows import union_as
+from quillstat.operators.skew import NONE, HotKeys, find_hot
 from quillstat.plans.stage import collect_ledger, revenue_v1_from_raw, revenue_v2, with_rate
 from quillstat.schemas import INTERACTION, INTERACTION_LOG, PUBLICATION, align
 from quillstat.sources.sinks import export_times
@@ -132,7 +140,11 @@ def follows(followers: DataFrame) -> DataFrame:
 
 
 def derivatives(
-    records: DataFrame, metadata: DataFrame, owners: DataFrame, only_owned: bool = False
+    records: DataFrame,
+    metadata: DataFrame,
+    owners: DataFrame,
+    only_owned: bool = False,
+    hot: HotKeys = NONE,
 ) -> DataFrame:
     """Comments, mirrors and quotes, seen from the parent publication.
 
@@ -146,7 +158,7 @@ def derivatives(
         F.col("publication_type").alias("interaction_type"),
         "block_timestamp",
     )
-    owned = _owned(children, owners, "parent_id", only_owned)
+    owned = _owned(children, owners, "parent_id", only_owned, hot)
     spoken = lookup(owned, _languages(metadata), "interaction_publication_id", "metadata_id")
     return spoken.select(
         F.col("owned_id").alias("publication_id"),
@@ -167,6 +179,8 @@ def collects_v2(
     modules: DataFrame,
     revenue: DataFrame,
     only_owned: bool = False,
+    hot_acted: HotKeys = NONE,
+    hot_modules: HotKeys = NONE,
 ) -> DataFrame:
     """Acted records with the listed price of the publication.
 
@@ -174,15 +188,25 @@ def collects_v2(
     of its publication, and an act that is no collect keeps its row, without a
     type.
     """
-    terms = modules.select(
-        F.col("publication_id").alias("terms_id"),
-        (F.coalesce(raw_amount(F.col("amount")), F.lit(0))).alias("price"),
-    ).join(
+    terms = pair(
+        modules.select(
+            F.col("publication_id").alias("terms_id"),
+            F.coalesce(raw_amount(F.col("amount")), F.lit(0)).alias("price"),
+        ),
         revenue.select(F.col("publication_id").alias("revenue_id"), "amount_USD"),
-        F.col("terms_id") == F.col("revenue_id"),
+        "terms_id",
+        "revenue_id",
+        hot_modules,
+    )
+    priced = fan_out(
+        _owned(acted, owners, "publication_id", only_owned, hot_acted),
+        terms.drop("revenue_id"),
+        "publication_id",
+        "terms_id",
+        hot_acted,
+        hot_modules,
+        keys=modules.select("publication_id"),
     )
-    owned = _owned(acted, owners, "publication_id", only_owned)
-    priced = fan_out(owned, terms.drop("revenue_id"), "publication_id", "terms_id")
     return priced.select(
         "publication_id",
         "profile_id",
@@ -216,8 +240,10 @@ def collects_v1(ledger: DataFrame, currencies: Sequence[Currency] = CURRENCIES)
     )
 
 
-def reactions(reacted: DataFrame, owners: DataFrame, only_owned: bool = False) -> DataFrame:
-    return _owned(reacted, owners, "publication_id", only_owned).select(
+def reactions(
+    reacted: DataFrame, owners: DataFrame, only_owned: bool = False, hot: HotKeys = NONE
+) -> DataFrame:
+    return _owned(reacted, owners, "publication_id", only_owned, hot).select(
         "publication_id",
         "profile_id",
         *_when("action_at"),
@@ -230,7 +256,9 @@ def reactions(reacted: DataFrame, owners: DataFrame, only_owned: bool = False) -
     )
 
 
-def mentions(mentioned: DataFrame, records: DataFrame, metadata: DataFrame) -> DataFrame:
+def mentions(
+    mentioned: DataFrame, records: DataFrame, metadata: DataFrame, hot: HotKeys = NONE
+) -> DataFrame:
     """Mentions, seen from the mentioned profile.
 
     The language is that of the mentioning publication, if that is found.
@@ -244,8 +272,11 @@ def mentions(mentioned: DataFrame, records: DataFrame, metadata: DataFrame) -> D
         ),
         "mention_id",
         "author_id",
+        hot,
+    )
+    spoken = lookup(
+        authored, _languages(metadata), "author_id", "metadata_id", hot, null_keys=True
     )
-    spoken = lookup(authored, _languages(metadata), "author_id", "metadata_id", null_keys=True)
     return spoken.select(
         _null("publication_id"),
         "profile_id",
@@ -279,25 +310,46 @@ def interactions_of(
     ``ledger`` and ``revenue`` are used where already written, otherwise built.
     """
     selected = creators is not None
-    owners = owners_of(sources.publication_record, creators)
+    records, metadata = sources.publication_record, sources.publication_metadata
+    owners = owners_of(records, creators)
     modules = restrict_to(sources.action_module, owners if selected else None, "publication_id")
+    mentioned = restrict_to(sources.mention, creators, "profile_id")
+    authors = records
+    if selected:
+        ids = broadcast_if_small(mentioned.select("publication_id").distinct())
+        authors = restrict_to(records, ids, "publication_id")
+        metadata_of_authors = restrict_to(metadata, ids, "publication_id")
+    else:
+        metadata_of_authors = metadata
+    hot = find_hot(
+        {
+            "parents": (records, "parent_publication_id"),
+            "acted": (sources.acted_record, "publication_id"),
+            "modules": (modules, "publication_id"),
+            "reacted": (sources.reaction, "publication_id"),
+            "mentioned": (mentioned, "publication_id"),
+        }
+    )
     if ledger is None:
         ledger = export_times(ledger_of(sources, creators, currencies))
     if revenue is None:
         revenue = revenue_v2(modules, currencies)
-    ledger = restrict_to(ledger, creators, "profile_id")
     return interaction_log(
         [
             follows(restrict_to(sources.follower, creators, "profile_id")),
-            derivatives(sources.publication_record, sources.publication_metadata, owners, selected),
-            collects_v2(sources.acted_record, owners, modules, revenue, selected),
-            collects_v1(ledger, currencies),
-            reactions(sources.reaction, owners, selected),
-            mentions(
-                restrict_to(sources.mention, creators, "profile_id"),
-                sources.publication_record,
-                sources.publication_metadata,
+            derivatives(records, metadata, owners, selected, hot["parents"]),
+            collects_v2(
+                sources.acted_record,
+                owners,
+                modules,
+                revenue,
+                selected,
+                hot["acted"],
+                hot["modules"],
             ),
+            collects_v1(restrict_to(ledger, creators, "profile_id"), currencies),
+            reactions(sources.reaction, owners, selected, hot["reacted"]),
+            mentions(mentioned, authors, metadata_of_authors, hot["mentioned"]),
         ]
     )
 
@@ -308,21 +360,35 @@ def ledger_of(
     """First-generation ledger from the raw tables, of all profiles or of ``creators``."""
     posts = restrict_to(sources.post_v1, creators, "profile_id")
     ids = None if creators is None else broadcast_if_small(posts.select("post_id"))
+    modules = restrict_to(sources.collect_module_v1, ids, "publication_id")
+    records = restrict_to(sources.collect_record_v1, ids, "publication_id")
+    hot = find_hot(
+        {
+            "modules": (modules, "publication_id"),
+            "records": (records, "publication_id"),
+            "wallets": (records, "collected_by"),
+        }
+    )
     return collect_ledger(
         posts,
-        restrict_to(sources.collect_module_v1, ids, "publication_id"),
-        restrict_to(sources.collect_record_v1, ids, "publication_id"),
+        modules,
+        records,
         sources.profile_v1,
         sources.profile_stats_v1,
         currencies,
+        hot["modules"],
+        hot["records"],
+        hot["wallets"],
     )
 
 
-def _owned(rows: DataFrame, owners: DataFrame, key: str, only_owned: bool) -> DataFrame:
+def _owned(
+    rows: DataFrame, owners: DataFrame, key: str, only_owned: bool, hot: HotKeys
+) -> DataFrame:
     """Add the owner; ``only_owned`` drops rows whose publication is not there."""
     if only_owned:
-        return rows.join(owners, F.col(key) == F.col("owned_id"))
-    return lookup(rows, owners, key, "owned_id")
+        return pair(rows, owners, key, "owned_id", hot)
+    return lookup(rows, owners, key, "owned_id", hot)
 
 
 def _languages(metadata: DataFrame) -> DataFrame:

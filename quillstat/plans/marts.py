@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from quillstat.functions.calendar import hour_of, weekday_label, year_month
 from quillstat.functions.labels import engagement_points, value_tier
-from quillstat.operators.joins import Ids, lookup, restrict_to
+from quillstat.operators.joins import Ids, lookup, restrict_to, small_enough
+from quillstat.operators.skew import find_hot
 from quillstat.schemas import PRODUCTS, align
 
 
@@ -92,8 +93,14 @@ def interactions_by_age(interactions: DataFrame, publications: DataFrame) -> Dat
 
     Follows and mentions have no publication, hence no age.
     """
-    dates = publications.select(F.col("publication_id").alias("dated_id"), "publication_date")
-    dated = lookup(interactions, dates.distinct(), "publication_id", "dated_id", null_keys=True)
+    dates = publications.select(
+        F.col("publication_id").alias("dated_id"), "publication_date"
+    ).distinct()
+    if small_enough(dates):
+        dated = lookup(interactions, F.broadcast(dates), "publication_id", "dated_id")
+    else:
+        hot = find_hot({"interactions": (interactions, "publication_id")})["interactions"]
+        dated = lookup(interactions, dates, "publication_id", "dated_id", hot, null_keys=True)
     age = F.datediff("interaction_date", "publication_date").alias("day_since_creation")
     rollup = dated.groupBy("profile_id", "publication_id", "interaction_type", age).agg(
         *_measures()

@@ -12,6 +12,7 @@ from quillstat.functions.money import currency_label, token_amount, usd
 from quillstat.operators.joins import fan_out, lookup
 from quillstat.operators.ranking import first_by
 from quillstat.operators.rows import literal_table
+from quillstat.operators.skew import NONE, HotKeys
 from quillstat.schemas import COLLECT_LEDGER, PRODUCTS, align
 
 
@@ -77,7 +78,10 @@ def top_profile_per_owner(profiles: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def priced_posts(
-    posts: DataFrame, modules: DataFrame, currencies: Sequence[Currency] = CURRENCIES
+    posts: DataFrame,
+    modules: DataFrame,
+    currencies: Sequence[Currency] = CURRENCIES,
+    hot_modules: HotKeys = NONE,
 ) -> DataFrame:
     """Posts by their collect modules; a post without a module stays."""
     terms = modules.select(
@@ -87,7 +91,8 @@ def priced_posts(
         F.col("referral_fee").alias("referral_fee_pct"),
     )
     dated = posts.select("profile_id", "post_id", F.col("block_timestamp").alias("publication_date"))
-    return fan_out(dated, terms, "post_id", "module_id").drop("module_id")
+    priced = fan_out(dated, terms, "post_id", "module_id", hot_right=hot_modules)
+    return priced.drop("module_id")
 
 
 def collect_ledger(
@@ -97,6 +102,9 @@ def collect_ledger(
     profiles: DataFrame,
     stats: DataFrame,
     currencies: Sequence[Currency] = CURRENCIES,
+    hot_modules: HotKeys = NONE,
+    hot_records: HotKeys = NONE,
+    hot_wallets: HotKeys = NONE,
 ) -> DataFrame:
     """First-generation collects: post, its modules, its collects, the collector.
 
@@ -120,6 +128,7 @@ def collect_ledger(
         wallets,
         "collector",
         "wallet",
+        hot_wallets,
         null_keys=True,
     ).select(
         "record_id",
@@ -128,7 +137,15 @@ def collect_ledger(
         F.col("handle").alias("collected_by"),
         "referral_id",
     )
-    ledger = fan_out(priced_posts(posts, modules, currencies), collects, "post_id", "record_id")
+    ledger = fan_out(
+        priced_posts(posts, modules, currencies, hot_modules),
+        collects,
+        "post_id",
+        "record_id",
+        hot_modules,
+        hot_records,
+        keys=records.select("publication_id"),
+    )
     return align(ledger, COLLECT_LEDGER)
 
 

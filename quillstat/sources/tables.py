@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from types import SimpleNamespace
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,27 +11,42 @@ from quillstat.functions.calendar import month_start
 from quillstat.schemas import PRODUCTS, RAW, align, struct
 
 
-class Sources(SimpleNamespace):
-    """The raw tables as attributes, e.g. ``sources.publication_record``."""
+class Sources:
+    """The raw tables as attributes, e.g. ``sources.publication_record``.
 
+    A table is read, and brought to its schema, when it is first asked for.
+    """
+
+    def __init__(self, readers: Mapping[str, Callable[[], DataFrame]]):
+        missing = sorted(set(RAW) - set(readers))
+        if missing:
+            raise ValueError(f"raw tables missing: {', '.join(missing)}")
+        self._readers = dict(readers)
 
-def from_frames(frames: Mapping[str, DataFrame]) -> Sources:
-    missing = sorted(set(RAW) - set(frames))
-    if missing:
-        raise ValueError(f"raw tables missing: {', '.join(missing)}")
-    return Sources(**{name: align(frames[name], spec) for name, spec in RAW.items()})
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in RAW:
+            raise AttributeError(name)
+        table = align(self._readers[name](), RAW[name])
+        setattr(self, name, table)
+        return table
 
 
 def from_parquet(spark: SparkSession, root: str) -> Sources:
     """Read ``<root>/<table>`` with declared schemas, so that nothing is inferred."""
-    return from_frames(
-        {n: spark.read.schema(struct(s)).parquet(f"{root}/{n}") for n, s in RAW.items()}
-    )
+
+    def reader(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.schema(struct(RAW[name])).parquet(f"{root}/{name}")
+
+    return Sources({name: reader(name) for name in RAW})
 
 
 def from_catalog(spark: SparkSession, names: Mapping[str, str]) -> Sources:
     """Read catalog tables, given the table name of each raw table."""
-    return from_frames({n: spark.table(names[n]) for n in RAW})
+
+    def reader(table: str) -> Callable[[], DataFrame]:
+        return lambda: spark.table(table)
+
+    return Sources({name: reader(table) for name, table in names.items()})
 
 
 def read_product(spark: SparkSession, path: str, name: str) -> DataFrame:
