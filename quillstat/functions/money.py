@@ -7,6 +7,7 @@ row is rounded to cents BEFORE it is summed, half away from zero.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +35,8 @@ def raw_amount(amount: Column) -> Column:
     ``try_cast`` plus ``raise_error`` keeps this strict in sessions without ANSI
     mode too, where a plain cast would quietly give NULL.
     """
-    value = amount.try_cast(RAW_TYPE)
     bad = F.raise_error(F.concat(F.lit("amount out of range: "), amount)).cast(RAW_TYPE)
-    return F.when(amount.isNotNull() & value.isNull(), bad).otherwise(value)
+    return F.coalesce(amount.try_cast(RAW_TYPE), F.when(amount.isNotNull(), bad))
 
 
 def token_amount(
@@ -44,15 +44,16 @@ def token_amount(
 ) -> Column:
     """Raw amount in tokens, rounded to cents; unlisted currencies stay raw.
 
-    Rounds first and divides after: Spark's quotient keeps only six decimals, so
-    dividing first would round twice (4999999600000000 of 10^18 would give 0.01).
+    Rounds first and shifts the point after: Spark's product or quotient keeps only
+    six decimals, so the other way would round twice (4999999600000000 of 10^18
+    would give 0.01).
     """
     raw = raw_amount(amount)
     scaled = raw.cast(MONEY)
-    for c in currencies:
-        cents = F.round(raw, 2 - c.decimals)
-        tokens = (cents / F.lit(10**c.decimals).cast("decimal(20,0)")).cast(MONEY)
-        scaled = F.when(address == c.address, tokens).otherwise(scaled)
+    for decimals in sorted({c.decimals for c in currencies}):
+        listed = [c.address for c in currencies if c.decimals == decimals]
+        tokens = F.round(raw, 2 - decimals) * F.lit(Decimal(1).scaleb(-decimals))
+        scaled = F.when(address.isin(listed), tokens.cast(MONEY)).otherwise(scaled)
     return scaled
 
 

@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstat.schemas import align
+from quillstat.schemas import align, struct
 
 
 def literal_table(spark: SparkSession, columns: dict[str, list[str]], spec: str) -> DataFrame:
     """A small table held in the plan itself, so that no job is needed to read it."""
-    return align(spark.createDataFrame(pa.table(columns)), spec)
+    texts = spark.createDataFrame(pa.table(columns))
+    return texts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in struct(spec)])
 
 
 def days(bounds: DataFrame, first: Column, last: Column) -> DataFrame:

@@ -321,17 +321,19 @@ def interactions_of(
         metadata_of_authors = restrict_to(metadata, ids, "publication_id")
     else:
         metadata_of_authors = metadata
-    hot = find_hot(
-        {
-            "parents": (records, "parent_publication_id"),
-            "acted": (sources.acted_record, "publication_id"),
-            "modules": (modules, "publication_id"),
-            "reacted": (sources.reaction, "publication_id"),
-            "mentioned": (mentioned, "publication_id"),
-        }
-    )
+    columns = {
+        "parents": (records, "parent_publication_id"),
+        "acted": (sources.acted_record, "publication_id"),
+        "modules": (modules, "publication_id"),
+        "reacted": (sources.reaction, "publication_id"),
+        "mentioned": (mentioned, "publication_id"),
+    }
     if ledger is None:
-        ledger = export_times(ledger_of(sources, creators, currencies))
+        inputs = _ledger_inputs(sources, creators)
+        hot = find_hot({**columns, **_ledger_keys(*inputs)})
+        ledger = export_times(_ledger(sources, *inputs, currencies, hot))
+    else:
+        hot = find_hot(columns)
     if revenue is None:
         revenue = revenue_v2(modules, currencies)
     return interaction_log(
@@ -358,17 +360,40 @@ def ledger_of(
     sources: Sources, creators: Ids | None = None, currencies: Sequence[Currency] = CURRENCIES
 ) -> DataFrame:
     """First-generation ledger from the raw tables, of all profiles or of ``creators``."""
+    inputs = _ledger_inputs(sources, creators)
+    return _ledger(sources, *inputs, currencies, find_hot(_ledger_keys(*inputs)))
+
+
+def _ledger_inputs(
+    sources: Sources, creators: Ids | None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     posts = restrict_to(sources.post_v1, creators, "profile_id")
     ids = None if creators is None else broadcast_if_small(posts.select("post_id"))
-    modules = restrict_to(sources.collect_module_v1, ids, "publication_id")
-    records = restrict_to(sources.collect_record_v1, ids, "publication_id")
-    hot = find_hot(
-        {
-            "modules": (modules, "publication_id"),
-            "records": (records, "publication_id"),
-            "wallets": (records, "collected_by"),
-        }
+    return (
+        posts,
+        restrict_to(sources.collect_module_v1, ids, "publication_id"),
+        restrict_to(sources.collect_record_v1, ids, "publication_id"),
     )
+
+
+def _ledger_keys(
+    posts: DataFrame, modules: DataFrame, records: DataFrame
+) -> dict[str, tuple[DataFrame, str]]:
+    return {
+        "ledger_modules": (modules, "publication_id"),
+        "ledger_records": (records, "publication_id"),
+        "ledger_wallets": (records, "collected_by"),
+    }
+
+
+def _ledger(
+    sources: Sources,
+    posts: DataFrame,
+    modules: DataFrame,
+    records: DataFrame,
+    currencies: Sequence[Currency],
+    hot: dict[str, HotKeys],
+) -> DataFrame:
     return collect_ledger(
         posts,
         modules,
@@ -376,9 +401,9 @@ def ledger_of(
         sources.profile_v1,
         sources.profile_stats_v1,
         currencies,
-        hot["modules"],
-        hot["records"],
-        hot["wallets"],
+        hot["ledger_modules"],
+        hot["ledger_records"],
+        hot["ledger_wallets"],
     )
 
 

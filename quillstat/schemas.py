@@ -7,8 +7,9 @@ sorts in time order.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = "decimal(38,2)"  # token amounts after scaling
@@ -155,19 +156,20 @@ PRODUCTS = {
 }
 
 
+@cache
 def struct(spec: str) -> T.StructType:
     return T.StructType.fromDDL(spec)
 
 
 def align(df: DataFrame, spec: str) -> DataFrame:
-    """Select the columns of ``spec`` in its order, each cast to its type.
+    """Select the columns of ``spec`` in its order, each with its type.
 
     Every branch of a union and every product passes through here, so that a
     column never gets its type from whatever it happens to be unioned with:
     Spark would widen decimal(38,6) with decimal(38,0) to decimal(38,0) and drop
     the cents without an error.
     """
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in struct(spec)])
+    return df.to(struct(spec))
 
 
 def check(df: DataFrame, spec: str) -> DataFrame:
