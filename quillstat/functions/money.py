@@ -71,6 +71,6 @@ def split_amounts(modules: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     value = F.col("amount").try_cast(RAW_TYPE)
     usable = F.col("amount").isNull() | F.coalesce(
-        F.abs(value) < F.lit(10**28).cast(RAW_TYPE), F.lit(False)
+        F.abs(value) < F.lit(Decimal(10**28)), F.lit(False)
     )
     return modules.filter(usable), modules.filter(~usable)

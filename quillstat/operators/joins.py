@@ -42,9 +42,9 @@ def lookup(
     if hot:
         copies = all_parts(hot.parts(F.col(right_on)))
     else:
-        # Part 0 for every key. Written as a condition on the key so that it is not
-        # folded to a constant, which would take it out of the join keys again.
-        copies = F.when(F.col(right_on).isNull(), -1).otherwise(0)
+        # Part 0 for every key. Computed from the key so that it is not folded to a
+        # constant, which would take it out of the join keys again.
+        copies = F.pmod(F.hash(right_on), F.lit(1))
     joined = left.withColumn("_part", part).join(
         right.withColumn("_copy", copies), same & (F.col("_part") == F.col("_copy")), "left"
     )
