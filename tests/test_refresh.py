@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import functools
+
+import pytest
+from conftest import rows
+from pyspark.errors import AnalysisException
+
+from quillstat.checks.roles import CREATORS, PROBED, load
+from quillstat.operators.skew import find_hot
+from quillstat.plans import dimensions, facts, marts, refresh
+from quillstat.schemas import PRODUCTS, RAW, check
+from quillstat.session import run_dir
+from quillstat.sources import sinks, tables
+
+
+@pytest.fixture(scope="module")
+def src(spark, sf_dir):
+    return load(spark, sf_dir)
+
+
+@pytest.fixture(scope="module")
+def done(spark, src):
+    root = run_dir(spark, "refresh")
+    return refresh.refresh(spark, src, root, CREATORS, history=PROBED)
+
+
+def test_all_products_are_written(done):
+    assert set(done) == set(PRODUCTS)
+    for name, df in done.items():
+        check(df, PRODUCTS[name])
+        assert df.take(1), name
+
+
+def test_written_and_direct_products_agree(done, src):
+    assert rows(done["L2_interaction"]) == rows(facts.interactions_of(src))
+    assert rows(done["L2_publication"]) == rows(facts.publications_of(src))
+    assert rows(done["L3_interaction"]) == rows(facts.interactions_of(src, CREATORS))
+    assert rows(done["L3_publication"]) == rows(facts.publications_of(src, CREATORS))
+
+
+def test_rebuilding_gives_the_same_rows(done):
+    again = marts.publications_by_month(done["L3_publication"])
+    assert rows(again) == rows(done["L3_publication_year_month"])
+
+
+def test_rollups_add_up(done):
+    count = done["L3_interaction"].count()
+    for name in (
+        "L3_interaction_year_month",
+        "L3_interaction_weekday_hour",
+        "L3_publication_analysis",
+    ):
+        total = done[name].groupBy().sum("number_interaction").first()[0]
+        assert total == count, name
+
+
+def test_left_joins_lose_nothing(done, src):
+    ids = done["L2_publication"].select("publication_id").distinct()
+    assert ids.count() == src.publication_record.select("publication_id").distinct().count()
+    assert done["L2_profile"].count() == src.profile_record.count()
+
+
+def test_creators_above_the_broadcast_limit(src, monkeypatch, done):
+    monkeypatch.setattr("quillstat.operators.joins.small_enough", lambda df, limit=0: False)
+    assert rows(facts.interactions_of(src, CREATORS)) == rows(done["L3_interaction"])
+
+
+def test_hot_keys_change_no_result(src, monkeypatch, done):
+    sensitive = functools.partial(find_hot, sample=1.0, task_rows=3)
+    monkeypatch.setattr(facts, "find_hot", sensitive)
+    monkeypatch.setattr(dimensions, "find_hot", sensitive)
+    found = sensitive({"a": (src.acted_record, "publication_id"), "m": (src.action_module, "publication_id")})
+    assert found["m"]
+    assert rows(facts.interactions_of(src)) == rows(done["L2_interaction"])
+    history = dimensions.handle_history(
+        src.ownership_history, src.handle_history, src.profile_record, PROBED
+    )
+    assert rows(history) == rows(done["handle_history"])
+
+
+def test_months_are_pruned(done):
+    log = done["L2_interaction"]
+    part = tables.between(
+        log, "interaction_date", "interaction_date_year_month", "2024-01-10", "2024-01-20"
+    )
+    assert part.count() == log.filter("interaction_date between '2024-01-10' and '2024-01-20'").count()
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(interaction_date_year_month" in plan
+
+
+def test_a_second_write_does_not_touch_the_first(spark, done):
+    path = run_dir(spark, "twice")
+    sinks.write_files(done["md_allowlist"], path)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        sinks.write_files(done["md_allowlist"].limit(0), path)
+    assert spark.read.parquet(path).count() == 12
+
+
+def test_catalog_tables_are_replaced(spark, done):
+    publications = done["L3_publication"]
+    month = "publication_date_year_month"
+    sinks.replace_table(publications.limit(3), "default.l3_publication", month)
+    sinks.replace_table(publications, "default.l3_publication", month)
+    back = spark.table("default.l3_publication").select(*publications.columns)
+    assert rows(back) == rows(publications)
+    spark.sql("DROP TABLE default.l3_publication")
+
+
+def test_raw_tables_from_files_and_catalog(spark, src):
+    root = run_dir(spark, "raw")
+    for name in RAW:
+        getattr(src, name).limit(20).write.parquet(f"{root}/{name}")
+    files = tables.from_parquet(spark, root)
+    views = {}
+    for name in RAW:
+        getattr(files, name).createOrReplaceTempView(f"raw_{name}")
+        views[name] = f"raw_{name}"
+    catalog = tables.from_catalog(spark, views)
+    for name, spec in RAW.items():
+        check(getattr(files, name), spec)
+        assert getattr(files, name).count() == 20
+        assert rows(getattr(catalog, name)) == rows(getattr(files, name))
+    with pytest.raises(ValueError, match="raw tables missing"):
+        tables.from_catalog(spark, {})
+
+
+def test_run_dir_needs_a_shared_folder(spark):
+    assert run_dir(spark, "x") != run_dir(spark, "x")
+    assert run_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
