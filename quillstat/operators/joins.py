@@ -7,7 +7,8 @@ Spark joins.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -121,16 +122,27 @@ def restrict_to(df: DataFrame, ids: Ids | None, on: str) -> DataFrame:
     return df.filter(F.col(on).isin(list(ids)))
 
 
-def small_enough(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure a table before it is broadcast, with one aggregate over its columns.
+def sizes(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Bytes of several tables, from one job with an aggregate over each."""
 
-    Spark estimates a filtered scan by the size of the whole file, so left alone it
-    would shuffle the big side of a join with a handful of selected keys.
-    """
-    texts = [F.octet_length(F.col(n)) for n, t in df.dtypes if t == "string"]
-    width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 + 16 * len(df.columns)))
-    return (df.agg(F.sum(width)).first()[0] or 0) <= limit
+    def size(name: str, df: DataFrame) -> DataFrame:
+        texts = [F.octet_length(F.col(n)) for n, t in df.dtypes if t == "string"]
+        width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 + 16 * len(df.columns)))
+        return df.agg(F.sum(width).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
+
+    measured = reduce(DataFrame.unionByName, [size(n, df) for n, df in tables.items()])
+    return {name: size or 0 for name, size in measured.collect()}
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    return F.broadcast(df) if small_enough(df, limit) else df
+def broadcast_small(
+    tables: Mapping[str, DataFrame], limit: int | None = None
+) -> dict[str, DataFrame]:
+    """Hint a broadcast for the tables that are small, leave the others as they are.
+
+    Spark estimates a filtered scan by the size of the whole file, so left alone it
+    would shuffle the big side of a join with a handful of selected keys. So the
+    tables are measured first.
+    """
+    limit = BROADCAST_BYTES if limit is None else limit
+    measured = sizes(tables)
+    return {n: F.broadcast(df) if measured[n] <= limit else df for n, df in tables.items()}

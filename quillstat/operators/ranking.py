@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstat.operators.skew import row_part
 
-PARTS = 256
+PARTS = 4096
 
 
 def first_by(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:

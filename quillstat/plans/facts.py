@@ -4,11 +4,15 @@ Both can be built for all profiles, or for some creators only. In the second cas
 the creators' publications are selected first and the big tables meet just these;
 filtering the finished log would shuffle every table in full, because the creator
 is known only after a left join.
+
+Publications with very many interactions are looked for first (``hot``) and their
+rows divided in the joins; a caller that builds several branches looks once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,15 +23,21 @@ from quillstat.functions.labels import paid_or_free
 from quillstat.functions.money import raw_amount, usd
 from quillstat.operators.joins import (
     Ids,
-    broadcast_if_small,
+    broadcast_small,
     fan_out,
     lookup,
     pair,
     restrict_to,
 )
 from quillstat.operators.rows import union_as
-from quillstat.operators.skew import NONE, HotKeys, find_hot
-from quillstat.plans.stage import collect_ledger, revenue_v1_from_raw, revenue_v2, with_rate
+from quillstat.operators.skew import HotKeys, find_hot
+from quillstat.plans.stage import (
+    collect_ledger,
+    ledger_keys,
+    revenue_v1_from_raw,
+    revenue_v2,
+    with_rate,
+)
 from quillstat.schemas import INTERACTION, INTERACTION_LOG, PUBLICATION, align
 from quillstat.sources.sinks import export_times
 from quillstat.sources.tables import Sources
@@ -94,7 +104,9 @@ def publications_of(
 ) -> DataFrame:
     """Publication fact from the raw tables, of all profiles or of ``creators``."""
     records = restrict_to(sources.publication_record, creators, "profile_id")
-    ids = None if creators is None else broadcast_if_small(records.select("publication_id"))
+    ids = None
+    if creators is not None:
+        ids = broadcast_small({"ids": records.select("publication_id")})["ids"]
 
     def of(table: DataFrame, key: str = "publication_id") -> DataFrame:
         return restrict_to(table, ids, key)
@@ -119,10 +131,9 @@ def owners_of(records: DataFrame, creators: Ids | None = None) -> DataFrame:
     Every branch joins the same two columns, so Spark shuffles or broadcasts them
     once for all branches.
     """
-    owners = restrict_to(records, creators, "profile_id").select(
+    return restrict_to(records, creators, "profile_id").select(
         F.col("publication_id").alias("owned_id"), "profile_id"
     )
-    return owners if creators is None else broadcast_if_small(owners)
 
 
 def follows(followers: DataFrame) -> DataFrame:
@@ -144,20 +155,15 @@ def derivatives(
     metadata: DataFrame,
     owners: DataFrame,
     only_owned: bool = False,
-    hot: HotKeys = NONE,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Comments, mirrors and quotes, seen from the parent publication.
 
     A child whose parent is missing keeps its row without publication and profile.
     """
-    children = records.filter(F.col("parent_publication_id").isNotNull()).select(
-        F.col("parent_publication_id").alias("parent_id"),
-        F.col("profile_id").alias("interaction_profile_id"),
-        F.col("publication_id").alias("interaction_publication_id"),
-        F.col("app").alias("interaction_app"),
-        F.col("publication_type").alias("interaction_type"),
-        "block_timestamp",
-    )
+    if hot is None:
+        hot = find_hot({"parents": (records, "parent_publication_id")})["parents"]
+    children = _children(records)
     owned = _owned(children, owners, "parent_id", only_owned, hot)
     spoken = lookup(owned, _languages(metadata), "interaction_publication_id", "metadata_id")
     return spoken.select(
@@ -179,8 +185,7 @@ def collects_v2(
     modules: DataFrame,
     revenue: DataFrame,
     only_owned: bool = False,
-    hot_acted: HotKeys = NONE,
-    hot_modules: HotKeys = NONE,
+    hot: Mapping[str, HotKeys] | None = None,
 ) -> DataFrame:
     """Acted records with the listed price of the publication.
 
@@ -188,6 +193,10 @@ def collects_v2(
     of its publication, and an act that is no collect keeps its row, without a
     type.
     """
+    if hot is None:
+        hot = find_hot(
+            {"acted": (acted, "publication_id"), "modules": (modules, "publication_id")}
+        )
     terms = pair(
         modules.select(
             F.col("publication_id").alias("terms_id"),
@@ -196,15 +205,15 @@ def collects_v2(
         revenue.select(F.col("publication_id").alias("revenue_id"), "amount_USD"),
         "terms_id",
         "revenue_id",
-        hot_modules,
+        hot["modules"],
     )
     priced = fan_out(
-        _owned(acted, owners, "publication_id", only_owned, hot_acted),
+        _owned(acted, owners, "publication_id", only_owned, hot["acted"]),
         terms.drop("revenue_id"),
         "publication_id",
         "terms_id",
-        hot_acted,
-        hot_modules,
+        hot["acted"],
+        hot["modules"],
         keys=modules.select("publication_id"),
     )
     return priced.select(
@@ -241,8 +250,10 @@ def collects_v1(ledger: DataFrame, currencies: Sequence[Currency] = CURRENCIES)
 
 
 def reactions(
-    reacted: DataFrame, owners: DataFrame, only_owned: bool = False, hot: HotKeys = NONE
+    reacted: DataFrame, owners: DataFrame, only_owned: bool = False, hot: HotKeys | None = None
 ) -> DataFrame:
+    if hot is None:
+        hot = find_hot({"reacted": (reacted, "publication_id")})["reacted"]
     return _owned(reacted, owners, "publication_id", only_owned, hot).select(
         "publication_id",
         "profile_id",
@@ -257,12 +268,14 @@ def reactions(
 
 
 def mentions(
-    mentioned: DataFrame, records: DataFrame, metadata: DataFrame, hot: HotKeys = NONE
+    mentioned: DataFrame, records: DataFrame, metadata: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Mentions, seen from the mentioned profile.
 
     The language is that of the mentioning publication, if that is found.
     """
+    if hot is None:
+        hot = find_hot({"mentioned": (mentioned, "publication_id")})["mentioned"]
     authored = lookup(
         mentioned.withColumnRenamed("publication_id", "mention_id"),
         records.select(
@@ -309,49 +322,38 @@ def interactions_of(
 
     ``ledger`` and ``revenue`` are used where already written, otherwise built.
     """
-    selected = creators is not None
-    records, metadata = sources.publication_record, sources.publication_metadata
-    owners = owners_of(records, creators)
-    modules = restrict_to(sources.action_module, owners if selected else None, "publication_id")
-    mentioned = restrict_to(sources.mention, creators, "profile_id")
-    authors = records
-    if selected:
-        ids = broadcast_if_small(mentioned.select("publication_id").distinct())
-        authors = restrict_to(records, ids, "publication_id")
-        metadata_of_authors = restrict_to(metadata, ids, "publication_id")
-    else:
-        metadata_of_authors = metadata
+    scope = _everything(sources) if creators is None else _of_creators(sources, creators)
     columns = {
-        "parents": (records, "parent_publication_id"),
+        "parents": (scope.records, "parent_publication_id"),
         "acted": (sources.acted_record, "publication_id"),
-        "modules": (modules, "publication_id"),
+        "modules": (scope.modules, "publication_id"),
         "reacted": (sources.reaction, "publication_id"),
-        "mentioned": (mentioned, "publication_id"),
+        "mentioned": (scope.mentioned, "publication_id"),
     }
     if ledger is None:
-        inputs = _ledger_inputs(sources, creators)
-        hot = find_hot({**columns, **_ledger_keys(*inputs)})
-        ledger = export_times(_ledger(sources, *inputs, currencies, hot))
+        first = (scope.posts, scope.modules_v1, scope.records_v1)
+        hot = find_hot({**columns, **ledger_keys(*first[1:])})
+        built = collect_ledger(
+            *first, sources.profile_v1, sources.profile_stats_v1, currencies, hot
+        )
+        ledger = export_times(built)
     else:
         hot = find_hot(columns)
     if revenue is None:
-        revenue = revenue_v2(modules, currencies)
+        revenue = revenue_v2(scope.modules, currencies)
+    only_owned = creators is not None
     return interaction_log(
         [
-            follows(restrict_to(sources.follower, creators, "profile_id")),
-            derivatives(records, metadata, owners, selected, hot["parents"]),
+            follows(scope.followers),
+            derivatives(
+                scope.records, scope.metadata_of_children, scope.owners, only_owned, hot["parents"]
+            ),
             collects_v2(
-                sources.acted_record,
-                owners,
-                modules,
-                revenue,
-                selected,
-                hot["acted"],
-                hot["modules"],
+                sources.acted_record, scope.owners, scope.modules, revenue, only_owned, hot
             ),
             collects_v1(restrict_to(ledger, creators, "profile_id"), currencies),
-            reactions(sources.reaction, owners, selected, hot["reacted"]),
-            mentions(mentioned, authors, metadata_of_authors, hot["mentioned"]),
+            reactions(sources.reaction, scope.owners, only_owned, hot["reacted"]),
+            mentions(scope.mentioned, scope.authors, scope.metadata_of_authors, hot["mentioned"]),
         ]
     )
 
@@ -360,50 +362,81 @@ def ledger_of(
     sources: Sources, creators: Ids | None = None, currencies: Sequence[Currency] = CURRENCIES
 ) -> DataFrame:
     """First-generation ledger from the raw tables, of all profiles or of ``creators``."""
-    inputs = _ledger_inputs(sources, creators)
-    return _ledger(sources, *inputs, currencies, find_hot(_ledger_keys(*inputs)))
-
-
-def _ledger_inputs(
-    sources: Sources, creators: Ids | None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
     posts = restrict_to(sources.post_v1, creators, "profile_id")
-    ids = None if creators is None else broadcast_if_small(posts.select("post_id"))
-    return (
+    ids = None
+    if creators is not None:
+        ids = broadcast_small({"ids": posts.select("post_id")})["ids"]
+    return collect_ledger(
         posts,
         restrict_to(sources.collect_module_v1, ids, "publication_id"),
         restrict_to(sources.collect_record_v1, ids, "publication_id"),
+        sources.profile_v1,
+        sources.profile_stats_v1,
+        currencies,
     )
 
 
-def _ledger_keys(
-    posts: DataFrame, modules: DataFrame, records: DataFrame
-) -> dict[str, tuple[DataFrame, str]]:
-    return {
-        "ledger_modules": (modules, "publication_id"),
-        "ledger_records": (records, "publication_id"),
-        "ledger_wallets": (records, "collected_by"),
-    }
+def _everything(sources: Sources) -> SimpleNamespace:
+    records, metadata = sources.publication_record, sources.publication_metadata
+    return SimpleNamespace(
+        records=records,
+        owners=owners_of(records),
+        followers=sources.follower,
+        mentioned=sources.mention,
+        authors=records,
+        metadata_of_authors=metadata,
+        metadata_of_children=metadata,
+        modules=sources.action_module,
+        posts=sources.post_v1,
+        modules_v1=sources.collect_module_v1,
+        records_v1=sources.collect_record_v1,
+    )
 
 
-def _ledger(
-    sources: Sources,
-    posts: DataFrame,
-    modules: DataFrame,
-    records: DataFrame,
-    currencies: Sequence[Currency],
-    hot: dict[str, HotKeys],
-) -> DataFrame:
-    return collect_ledger(
-        posts,
-        modules,
-        records,
-        sources.profile_v1,
-        sources.profile_stats_v1,
-        currencies,
-        hot["ledger_modules"],
-        hot["ledger_records"],
-        hot["ledger_wallets"],
+def _of_creators(sources: Sources, creators: Ids) -> SimpleNamespace:
+    """The parts of the tables that the creators' interactions are made from.
+
+    Large tables are cut by semi joins with the ids that occur, which need no
+    shuffle while these ids are small enough to broadcast.
+    """
+    records, metadata = sources.publication_record, sources.publication_metadata
+    mentioned = restrict_to(sources.mention, creators, "profile_id")
+    posts = restrict_to(sources.post_v1, creators, "profile_id")
+    keys = broadcast_small(
+        {
+            "owners": owners_of(records, creators),
+            "mentions": mentioned.select("publication_id").distinct(),
+            "posts": posts.select("post_id"),
+        }
+    )
+    children = _children(records).join(
+        keys["owners"], F.col("parent_id") == F.col("owned_id"), "left_semi"
+    )
+    children_ids = children.select("interaction_publication_id")
+    keys.update(broadcast_small({"children": children_ids}))
+    return SimpleNamespace(
+        records=records,
+        owners=keys["owners"],
+        followers=restrict_to(sources.follower, creators, "profile_id"),
+        mentioned=mentioned,
+        authors=restrict_to(records, keys["mentions"], "publication_id"),
+        metadata_of_authors=restrict_to(metadata, keys["mentions"], "publication_id"),
+        metadata_of_children=restrict_to(metadata, keys["children"], "publication_id"),
+        modules=restrict_to(sources.action_module, keys["owners"], "publication_id"),
+        posts=posts,
+        modules_v1=restrict_to(sources.collect_module_v1, keys["posts"], "publication_id"),
+        records_v1=restrict_to(sources.collect_record_v1, keys["posts"], "publication_id"),
+    )
+
+
+def _children(records: DataFrame) -> DataFrame:
+    return records.filter(F.col("parent_publication_id").isNotNull()).select(
+        F.col("parent_publication_id").alias("parent_id"),
+        F.col("profile_id").alias("interaction_profile_id"),
+        F.col("publication_id").alias("interaction_publication_id"),
+        F.col("app").alias("interaction_app"),
+        F.col("publication_type").alias("interaction_type"),
+        "block_timestamp",
     )
 
 

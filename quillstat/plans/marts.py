@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillstat.functions.calendar import hour_of, weekday_label, year_month
 from quillstat.functions.labels import engagement_points, value_tier
-from quillstat.operators.joins import Ids, lookup, restrict_to, small_enough
+from quillstat.operators.joins import BROADCAST_BYTES, Ids, lookup, restrict_to, sizes
 from quillstat.operators.skew import find_hot
 from quillstat.schemas import PRODUCTS, align
 
@@ -96,7 +96,7 @@ def interactions_by_age(interactions: DataFrame, publications: DataFrame) -> Dat
     dates = publications.select(
         F.col("publication_id").alias("dated_id"), "publication_date"
     ).distinct()
-    if small_enough(dates):
+    if sizes({"dates": dates})["dates"] <= BROADCAST_BYTES:
         dated = lookup(interactions, F.broadcast(dates), "publication_id", "dated_id")
     else:
         hot = find_hot({"interactions": (interactions, "publication_id")})["interactions"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from quillstat.functions.money import currency_label, token_amount, usd
 from quillstat.operators.joins import fan_out, lookup
 from quillstat.operators.ranking import first_by
 from quillstat.operators.rows import literal_table
-from quillstat.operators.skew import NONE, HotKeys
+from quillstat.operators.skew import NONE, HotKeys, find_hot
 from quillstat.schemas import COLLECT_LEDGER, PRODUCTS, align
 
 
@@ -102,9 +102,7 @@ def collect_ledger(
     profiles: DataFrame,
     stats: DataFrame,
     currencies: Sequence[Currency] = CURRENCIES,
-    hot_modules: HotKeys = NONE,
-    hot_records: HotKeys = NONE,
-    hot_wallets: HotKeys = NONE,
+    hot: Mapping[str, HotKeys] | None = None,
 ) -> DataFrame:
     """First-generation collects: post, its modules, its collects, the collector.
 
@@ -113,6 +111,8 @@ def collect_ledger(
     The price is repeated on each collect and kept without any (as the source
     system has it), so revenue here is not bound to a collect.
     """
+    if hot is None:
+        hot = find_hot(ledger_keys(modules, records))
     wallets = top_profile_per_owner(profiles, stats).select(
         F.col("owned_by").alias("wallet"),
         F.col("profile_id").alias("profile_id_collected"),
@@ -128,7 +128,7 @@ def collect_ledger(
         wallets,
         "collector",
         "wallet",
-        hot_wallets,
+        hot["ledger_wallets"],
         null_keys=True,
     ).select(
         "record_id",
@@ -138,17 +138,26 @@ def collect_ledger(
         "referral_id",
     )
     ledger = fan_out(
-        priced_posts(posts, modules, currencies, hot_modules),
+        priced_posts(posts, modules, currencies, hot["ledger_modules"]),
         collects,
         "post_id",
         "record_id",
-        hot_modules,
-        hot_records,
+        hot["ledger_modules"],
+        hot["ledger_records"],
         keys=records.select("publication_id"),
     )
     return align(ledger, COLLECT_LEDGER)
 
 
+def ledger_keys(modules: DataFrame, records: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+    """The columns of the ledger's inputs in which a value may be hot."""
+    return {
+        "ledger_modules": (modules, "publication_id"),
+        "ledger_records": (records, "publication_id"),
+        "ledger_wallets": (records, "collected_by"),
+    }
+
+
 def revenue_v1(ledger: DataFrame) -> DataFrame:
     """Ledger amounts per post and currency."""
     return ledger.groupBy("post_id", "currency").agg(F.sum("amount").alias("amount"))

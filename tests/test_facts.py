@@ -180,7 +180,7 @@ def test_collect_rows_multiply_by_modules_and_currencies(raw):
     )
     for hot in (HotKeys(), HotKeys({16: ("p", "c")})):
         got = facts.collects_v2(
-            acted, facts.owners_of(records), modules, revenue, False, hot, hot
+            acted, facts.owners_of(records), modules, revenue, False, {"acted": hot, "modules": hot}
         )
         assert rows(got, *columns) == sorted(want, key=repr)
     owned = facts.collects_v2(acted, facts.owners_of(records, ["2"]), modules, revenue, True)

@@ -120,7 +120,7 @@ def test_monthly_and_hourly_rollups_count_everything_once(table):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_age(table, monkeypatch, small):
-    monkeypatch.setattr(marts, "small_enough", lambda df: small)
+    monkeypatch.setattr(marts, "BROADCAST_BYTES", 1000 if small else -1)
     interactions = table(
         INTERACTION_LOG,
         act("COMMENT", publication="p"),

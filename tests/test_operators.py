@@ -100,10 +100,12 @@ def test_restrict_to_never_repeats_rows(spark):
 
 
 def test_broadcast_is_hinted_only_below_the_limit(spark):
-    df = spark.createDataFrame([("a" * 100,)] * 10, "k string")
-    assert joins.small_enough(df, 2000)
-    assert not joins.small_enough(df, 1000)
-    assert joins.small_enough(df.limit(0), 0)
+    wide = spark.createDataFrame([("a" * 100,)] * 10, "k string")
+    empty = wide.limit(0)
+    assert joins.sizes({"wide": wide, "empty": empty}) == {"wide": 1320, "empty": 0}
+    small = joins.broadcast_small({"wide": wide, "empty": empty}, 1000)
+    assert small["wide"] is wide
+    assert "hint" in small["empty"]._jdf.queryExecution().logical().toString().lower()
 
 
 @pytest.mark.parametrize("partitions", [1, 7])

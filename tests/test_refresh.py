@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 
 from quillstat.checks.roles import CREATORS, PROBED, load
 from quillstat.operators.skew import find_hot
-from quillstat.plans import dimensions, facts, marts, refresh
+from quillstat.plans import dimensions, facts, marts, refresh, stage
 from quillstat.schemas import PRODUCTS, RAW, check
 from quillstat.session import run_dir
 from quillstat.sources import sinks, tables
@@ -62,13 +62,14 @@ def test_left_joins_lose_nothing(done, src):
 
 
 def test_creators_above_the_broadcast_limit(src, monkeypatch, done):
-    monkeypatch.setattr("quillstat.operators.joins.small_enough", lambda df, limit=0: False)
+    monkeypatch.setattr("quillstat.operators.joins.BROADCAST_BYTES", -1)
     assert rows(facts.interactions_of(src, CREATORS)) == rows(done["L3_interaction"])
 
 
 def test_hot_keys_change_no_result(src, monkeypatch, done):
     sensitive = functools.partial(find_hot, sample=1.0, task_rows=3)
     monkeypatch.setattr(facts, "find_hot", sensitive)
+    monkeypatch.setattr(stage, "find_hot", sensitive)
     monkeypatch.setattr(dimensions, "find_hot", sensitive)
     found = sensitive({"a": (src.acted_record, "publication_id"), "m": (src.action_module, "publication_id")})
     assert found["m"]

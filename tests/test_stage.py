@@ -88,7 +88,8 @@ def test_ledger_with_hot_keys_is_the_same(sources):
         src.profile_stats_v1,
     )
     plain = stage.collect_ledger(*args)
-    salted = stage.collect_ledger(*args, CURRENCIES, hot, hot, hot)
+    names = ("ledger_modules", "ledger_records", "ledger_wallets")
+    salted = stage.collect_ledger(*args, CURRENCIES, {name: hot for name in names})
     assert rows(salted) == rows(plain)
 
 
