@@ -31,10 +31,28 @@ CODES = {
 }
 
 
+# Columns the roles use; declared, so that no job reads footers to infer them.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_tax double, l_returnflag string,"
+        " l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "part": "p_partkey bigint, p_brand string, p_size int",
+    "documents": "doc_id bigint, lang string, source string, n_chars bigint",
+}
+
+
 def load(spark: SparkSession, sf_dir: str) -> Sources:
     @cache
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     cust, order, line = F.col("c_custkey"), F.col("o_orderkey"), F.col("l_orderkey")
     event, user = F.col("event_id"), F.col("user_id")

@@ -94,11 +94,13 @@ def fan_out(
     """Left join to a table that may hold very many rows of one key.
 
     A left join cannot divide its right side, as every part would have to know
-    whether another one matched. So the matched rows come from an inner join and
-    the others from a check against the distinct keys, which are reduced before
-    they are shuffled. ``keys`` is a table with the same keys that is cheaper than
-    ``right``, if there is one; its first column counts.
+    whether another one matched. So if a right key is hot, the matched rows come
+    from an inner join and the others from a check against the distinct keys, which
+    are reduced before they are shuffled. ``keys`` is a table with the same keys
+    that is cheaper than ``right``, if there is one; its first column counts.
     """
+    if not hot_right:
+        return lookup(left, right, left_on, right_on, hot_left)
     matched = pair(left, right, left_on, right_on, hot_left, hot_right)
     keys = right.select(right_on) if keys is None else keys
     distinct = keys.select(F.col(keys.columns[0]).alias("_known")).distinct()

@@ -16,12 +16,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 0.01
+SAMPLE = 0.001
 TASK_ROWS = 1_000_000
 # Keys beyond the hottest thousand hold less than a thousandth of the rows each.
 MAX_KEYS = 1000
 # A hot key is divided into the first of these that makes its parts small enough.
-PARTS = (16, 256, 4096)
+PARTS = (16, 256, 4096, 65536)
 NULL_PARTS = 1024
 
 
