@@ -23,9 +23,10 @@ def year_month(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM")
 
 
-def weekday_label(date: Column) -> Column:
-    """``1-Monday`` to ``7-Sunday``, so that labels sort in week order."""
-    return F.concat((F.weekday(date) + 1).cast("string"), F.lit("-"), F.date_format(date, "EEEE"))
+def weekday_label(weekday: Column) -> Column:
+    """``1-Monday`` to ``7-Sunday`` for 0 to 6, so that labels sort in week order."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), weekday)  # this was a Monday
+    return F.concat((weekday + 1).cast("string"), F.lit("-"), F.date_format(day, "EEEE"))
 
 
 def to_micros(ts: Column) -> Column:

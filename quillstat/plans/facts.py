@@ -323,22 +323,29 @@ def interactions_of(
     ``ledger`` and ``revenue`` are used where already written, otherwise built.
     """
     scope = _everything(sources) if creators is None else _of_creators(sources, creators)
+    # Keys are counted on the raw tables: cheaper than on the creators' part of them,
+    # and a key that does not occur there does no harm.
     columns = {
-        "parents": (scope.records, "parent_publication_id"),
+        "parents": (sources.publication_record, "parent_publication_id"),
         "acted": (sources.acted_record, "publication_id"),
-        "modules": (scope.modules, "publication_id"),
+        "modules": (sources.action_module, "publication_id"),
         "reacted": (sources.reaction, "publication_id"),
-        "mentioned": (scope.mentioned, "publication_id"),
+        "mentioned": (sources.mention, "publication_id"),
     }
     if ledger is None:
-        first = (scope.posts, scope.modules_v1, scope.records_v1)
-        hot = find_hot({**columns, **ledger_keys(*first[1:])})
+        columns |= ledger_keys(sources.collect_module_v1, sources.collect_record_v1)
+    hot = find_hot(columns)
+    if ledger is None:
         built = collect_ledger(
-            *first, sources.profile_v1, sources.profile_stats_v1, currencies, hot
+            scope.posts,
+            scope.modules_v1,
+            scope.records_v1,
+            sources.profile_v1,
+            sources.profile_stats_v1,
+            currencies,
+            hot,
         )
         ledger = export_times(built)
-    else:
-        hot = find_hot(columns)
     if revenue is None:
         revenue = revenue_v2(scope.modules, currencies)
     only_owned = creators is not None
@@ -373,6 +380,7 @@ def ledger_of(
         sources.profile_v1,
         sources.profile_stats_v1,
         currencies,
+        find_hot(ledger_keys(sources.collect_module_v1, sources.collect_record_v1)),
     )
 
 

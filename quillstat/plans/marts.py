@@ -2,6 +2,7 @@
 
 Counts of users are exact. Spark plans them as a distinct on group and user
 before the count per group, so a group with very many rows is spread by user.
+Labels are formatted after grouping, once per group instead of once per row.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstat.functions.calendar import hour_of, weekday_label, year_month
+from quillstat.functions.calendar import hour_of, month_start, weekday_label, year_month
 from quillstat.functions.labels import engagement_points, value_tier
 from quillstat.operators.joins import BROADCAST_BYTES, Ids, lookup, restrict_to, sizes
 from quillstat.operators.skew import find_hot
@@ -27,17 +28,19 @@ def profile_mart(profiles: DataFrame) -> DataFrame:
 
 
 def interactions_by_month(interactions: DataFrame) -> DataFrame:
-    month = year_month(F.col("interaction_date")).alias("year_month")
+    month = month_start(F.col("interaction_date")).alias("month")
     rollup = interactions.groupBy("profile_id", month, "interaction_type").agg(*_measures())
-    return align(rollup, PRODUCTS["L3_interaction_year_month"])
+    labelled = rollup.withColumn("year_month", year_month(F.col("month")))
+    return align(labelled, PRODUCTS["L3_interaction_year_month"])
 
 
 def publications_by_month(publications: DataFrame) -> DataFrame:
-    month = year_month(F.col("publication_date")).alias("year_month")
+    month = month_start(F.col("publication_date")).alias("month")
     rollup = publications.groupBy("profile_id", month, "publication_type").agg(
         F.count(F.lit(1)).alias("number_publication")
     )
-    return align(rollup, PRODUCTS["L3_publication_year_month"])
+    labelled = rollup.withColumn("year_month", year_month(F.col("month")))
+    return align(labelled, PRODUCTS["L3_publication_year_month"])
 
 
 def user_analysis(interactions: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -82,10 +85,11 @@ def interaction_weekday_hour(interactions: DataFrame) -> DataFrame:
     rollup = interactions.groupBy(
         "profile_id",
         "interaction_type",
-        weekday_label(F.col("interaction_date")).alias("weekday"),
+        F.weekday("interaction_date").alias("weekday"),
         hour_of(F.col("interaction_time")).alias("hour"),
     ).agg(*_measures())
-    return align(rollup, PRODUCTS["L3_interaction_weekday_hour"])
+    labelled = rollup.withColumn("weekday", weekday_label(F.col("weekday")))
+    return align(labelled, PRODUCTS["L3_interaction_weekday_hour"])
 
 
 def interactions_by_age(interactions: DataFrame, publications: DataFrame) -> DataFrame:
