@@ -61,18 +61,16 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
     statistics_id = F.when(cust % 5 == 0, F.concat(F.lit("x"), cust)).otherwise(_text(cust))
 
     code = F.concat("l_returnflag", "l_linestatus")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(38,0)")
-    noise = F.col("l_partkey") % 10
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
+    noise = (F.col("l_partkey") % 10).cast("string")
     address = F.lit("0xunlisted")
     for key, listed in CODES.items():
         address = F.when(code == key, listed).otherwise(address)
-    # The digit after the cents makes exact half-cent ties.
+    # Units of 10^-6 or 10^-18. The digit after the cents makes exact half-cent ties.
     amount = (
         F.when(code == "NF", cents)
-        .when(code == "NO", cents * 10**4 + noise * 10**3)
-        .otherwise(cents * F.lit(10**16) + noise * F.lit(10**15))
-        .cast("decimal(38,0)")
-        .cast("string")
+        .when(code == "NO", F.concat(cents, noise, F.lit("0" * 3)))
+        .otherwise(F.concat(cents, noise, F.lit("0" * 15)))
     )
 
     parent = (

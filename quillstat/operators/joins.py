@@ -90,6 +90,7 @@ def fan_out(
     hot_left: HotKeys = NONE,
     hot_right: HotKeys = NONE,
     keys: DataFrame | None = None,
+    null_keys: bool = False,
 ) -> DataFrame:
     """Left join to a table that may hold very many rows of one key.
 
@@ -100,11 +101,11 @@ def fan_out(
     that is cheaper than ``right``, if there is one; its first column counts.
     """
     if not hot_right:
-        return lookup(left, right, left_on, right_on, hot_left)
+        return lookup(left, right, left_on, right_on, hot_left, null_keys)
     matched = pair(left, right, left_on, right_on, hot_left, hot_right)
     keys = right.select(right_on) if keys is None else keys
     distinct = keys.select(F.col(keys.columns[0]).alias("_known")).distinct()
-    checked = lookup(left, distinct, left_on, "_known", hot_left)
+    checked = lookup(left, distinct, left_on, "_known", hot_left, null_keys)
     unmatched = checked.filter(F.col("_known").isNull()).drop("_known")
     padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
     return matched.unionByName(unmatched.select(*left.columns, *padding))

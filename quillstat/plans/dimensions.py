@@ -121,6 +121,7 @@ def handle_history(
         "record_owner",
         hot["owners"] | hot["handles"],
         hot["records"],
+        null_keys=True,
     )
     by_time = [
         F.col(c).asc_nulls_first()

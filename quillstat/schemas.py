@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 MONEY = "decimal(38,2)"  # token amounts after scaling
 USD = "decimal(38,6)"  # a MONEY amount times a decimal(18,6) rate
 
+# Columns of the raw tables.
 RAW_V1 = {
     "post_v1": "profile_id string, post_id string, block_timestamp timestamp_ntz",
     "collect_module_v1": "publication_id string, currency string, amount string, referral_fee double",
@@ -70,6 +71,8 @@ RAW_V2 = {
 
 RAW = {**RAW_V1, **RAW_V2}
 
+# Names and columns of the products, in their order. The spelling of
+# publication_total_reactios is one of them.
 INTERACTION = (
     "publication_id string, profile_id string, interaction_date date, interaction_time string,"
     " interaction_profile_id string, interaction_publication_id string, interaction_app string,"
@@ -86,7 +89,6 @@ PROFILE = (
     " profile_acted bigint, profile_followers bigint, profile_following bigint, score double"
 )
 
-# Column names, the spelling of publication_total_reactios included.
 PUBLICATION = (
     "publication_id string, profile_id string, publication_type string,"
     " publication_hidden_flag boolean, publication_momoka_flag boolean,"

@@ -55,7 +55,7 @@ def test_pair_and_fan_out(left, right, hot_left, hot_right):
     assert Counter(map(tuple, got.collect())) == brute(left, right, "inner")
     got = fan_out(left, right, "k", "k2", hot_left, hot_right)
     assert Counter(map(tuple, got.collect())) == brute(left, right, "left")
-    got = fan_out(left, right, "k", "k2", hot_left, hot_right, keys=right.select("k2"))
+    got = fan_out(left, right, "k", "k2", hot_left, hot_right, right.select("k2"), True)
     assert Counter(map(tuple, got.collect())) == brute(left, right, "left")
 
 
