@@ -121,7 +121,8 @@ def restrict_to(df: DataFrame, ids: Ids | None, on: str) -> DataFrame:
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
-        return df.join(ids.select(F.col(ids.columns[0]).alias(on)), on, "left_semi")
+        listed = ids.select(F.col(ids.columns[0]).alias(on))
+        return df.join(listed, on, "left_semi").select(*df.columns)
     return df.filter(F.col(on).isin(list(ids)))
 
 

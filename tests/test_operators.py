@@ -73,6 +73,14 @@ def test_hot_keys_are_found_and_divided(spark):
     assert {r.k: r.n for r in used.collect()}["a"] >= 2
 
 
+def test_parts_survive_a_retry_with_rows_in_another_order(spark):
+    df = spark.range(2000).repartition(4, "id").select((F.col("id") % 50).alias("v"), "id")
+    ways = [df.sortWithinPartitions("id"), df.sortWithinPartitions(F.desc("id"))]
+    parts = [rows(d.select("id", skew.row_part(d, F.lit(64)).alias("part"))) for d in ways]
+    assert parts[0] == parts[1]
+    assert len({p for _, p in parts[0]}) == 64
+
+
 def test_null_keys_are_spread_over_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -95,6 +103,8 @@ def test_restrict_to_never_repeats_rows(spark):
     ids = spark.createDataFrame([("a",), ("a",), (None,)], "x string")
     want = [("a", 1), ("a", 3)]
     assert rows(restrict_to(df, ids, "id")) == want
+    swapped = df.select("v", "id")
+    assert restrict_to(swapped, ids, "id").columns == ["v", "id"]
     assert rows(restrict_to(df, ["a", "a"], "id")) == want
     assert restrict_to(df, None, "id") is df
 

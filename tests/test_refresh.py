@@ -5,6 +5,7 @@ import functools
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from quillstat.checks.roles import CREATORS, PROBED, load
 from quillstat.operators.skew import find_hot
@@ -80,6 +81,33 @@ def test_hot_keys_change_no_result(src, monkeypatch, done):
     assert rows(history) == rows(done["handle_history"])
 
 
+def test_results_do_not_depend_on_the_order_of_rows(src, done):
+    """Every ordering is complete: shuffled inputs give the same rows."""
+    mixed = tables.Sources(
+        {n: (lambda n=n: getattr(src, n).repartition(5).orderBy(F.rand(len(n)))) for n in RAW}
+    )
+    profiles = dimensions.profile_dimension(
+        mixed.profile_record,
+        mixed.profile_metadata,
+        mixed.profile_last_logged_in,
+        mixed.profile_stats,
+        mixed.follower_stats,
+        mixed.profile_quality,
+    )
+    assert rows(profiles) == rows(done["L2_profile"])
+    assert rows(facts.ledger_of(mixed)) == rows(done["publication_collect"])
+    history = dimensions.handle_history(
+        mixed.ownership_history, mixed.handle_history, mixed.profile_record, PROBED
+    )
+    assert rows(history) == rows(done["handle_history"])
+
+
+def test_creators_from_a_table(spark, src, done):
+    listed = done["md_allowlist"].unionByName(done["md_allowlist"])
+    assert rows(facts.interactions_of(src, listed)) == rows(done["L3_interaction"])
+    assert rows(marts.of_creators(done["L2_publication"], listed)) == rows(done["L3_publication"])
+
+
 def test_months_are_pruned(done):
     log = done["L2_interaction"]
     part = tables.between(
