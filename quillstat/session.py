@@ -39,6 +39,8 @@ def build_session(cores: int | str = "*", app: str = "quillstat", **extra: str)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
+        # Recording the Python line of every column doubles the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**SQL_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
