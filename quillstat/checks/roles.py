@@ -181,7 +181,9 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
             F.col("source").alias("tags_vector"),
             (F.col("n_chars") % 2 == 0).alias("is_encrypted"),
         ),
-        "publication_stats": lambda: table("lineitem").groupBy(_text(line).alias("publication_id")).agg(
+        "publication_stats": lambda: table("lineitem")
+        .groupBy(_text(line).alias("publication_id"))
+        .agg(
             F.count(F.lit(1)).alias("total_amount_of_collects"),
             F.sum(F.col("l_quantity").cast("bigint")).alias("total_amount_of_mirrors"),
             F.max("l_linenumber").alias("total_amount_of_comments"),

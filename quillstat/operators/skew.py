@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 SAMPLE = 0.001
 TASK_ROWS = 1_000_000
-# Keys beyond the hottest thousand hold less than a thousandth of the rows each.
+# Any key beyond these holds less than a thousandth of all rows counted.
 MAX_KEYS = 1000
 # A hot key is divided into the first of these that makes its parts small enough.
 PARTS = (16, 256, 4096, 65536)

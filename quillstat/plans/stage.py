@@ -90,7 +90,9 @@ def priced_posts(
         token_amount(F.col("currency"), F.col("amount"), currencies).alias("amount"),
         F.col("referral_fee").alias("referral_fee_pct"),
     )
-    dated = posts.select("profile_id", "post_id", F.col("block_timestamp").alias("publication_date"))
+    dated = posts.select(
+        "profile_id", "post_id", F.col("block_timestamp").alias("publication_date")
+    )
     priced = fan_out(dated, terms, "post_id", "module_id", hot_right=hot_modules)
     return priced.drop("module_id")
 
@@ -188,7 +190,8 @@ def revenue_v1_from_raw(
         F.count(F.lit(1)).alias("collects")
     )
     copies = posts.groupBy("post_id").agg(F.count(F.lit(1)).alias("copies"))
-    joined = lookup(lookup(copies, prices, "post_id", "module_id"), collects, "post_id", "record_id")
+    priced = lookup(copies, prices, "post_id", "module_id")
+    joined = lookup(priced, collects, "post_id", "record_id")
     times = F.col("copies") * F.coalesce(F.col("collects"), F.lit(1))
     amount = (F.col("price") * times.cast("decimal(20,0)")).cast("decimal(38,2)")
     return joined.select("post_id", "currency", amount.alias("amount"))

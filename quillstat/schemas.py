@@ -18,9 +18,12 @@ USD = "decimal(38,6)"  # a MONEY amount times a decimal(18,6) rate
 # Columns of the raw tables.
 RAW_V1 = {
     "post_v1": "profile_id string, post_id string, block_timestamp timestamp_ntz",
-    "collect_module_v1": "publication_id string, currency string, amount string, referral_fee double",
+    "collect_module_v1": (
+        "publication_id string, currency string, amount string, referral_fee double"
+    ),
     "collect_record_v1": (
-        "publication_id string, block_timestamp timestamp_ntz, collected_by string, referral_id string"
+        "publication_id string, block_timestamp timestamp_ntz, collected_by string,"
+        " referral_id string"
     ),
     "profile_v1": "profile_id string, owned_by string, handle string",
     "profile_stats_v1": "profile_id string, total_collects bigint",
