@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstat.llm import mixing, sharding
+from quillstat.llm import langid, mixing, quality, sharding
 from quillstat.llm.oracle import ORACLE
 from quillstat.llm.tables import read
 
@@ -15,13 +15,23 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(read(spark, sf_dir, "documents"))
+
+
 _QUERIES = (
     op6_sharding,
+    op7_quality,
     op8_mixing,
+    op9_langid,
 )
 
 
