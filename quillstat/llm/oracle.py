@@ -38,4 +38,33 @@ SELECT doc_id, size, source_size, target,
 FROM ranked
 """
 
-ORACLE = {"op8_mixing": MIXING}
+MINHASH = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 2
+    THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+    ELSE w END AS s
+  FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach(u, v) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+), named AS (
+  SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN named USING (doc_id)
+"""
+
+ORACLE = {"op5_minhash": MINHASH, "op8_mixing": MIXING}

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstat.llm import langid, mixing, quality, sharding
+from quillstat.llm import langid, minhash, mixing, quality, sharding
 from quillstat.llm.oracle import ORACLE
 from quillstat.llm.tables import read
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.link(read(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read(spark, sf_dir, "documents"))
 
@@ -28,6 +32,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
+    op5_minhash,
     op6_sharding,
     op7_quality,
     op8_mixing,
