@@ -61,26 +61,27 @@ def split_words(texts: Sequence[bytes], lower: bool = False) -> Texts:
     return Texts(buf, offset, start, end - start, first)
 
 
-def hash_words(texts: Texts, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each word, eight bytes at a time."""
+def hash_spans(buf: np.ndarray, start: np.ndarray, length: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, eight at a time; ``buf`` has eight to spare."""
     # Eight bytes from any place on, as one little-endian number.
-    eight = np.ndarray((len(texts.buf) - 7,), "<u8", texts.buf, strides=(1,))
-    left, at = texts.length, texts.start
-    h = blend(left.astype(np.uint64) + GOLDEN * np.uint64(seed + 1))
-    h = blend(h ^ (eight[at] & _KEEP[np.minimum(left, 8)]))
-    rows = np.flatnonzero(left > 8)
+    eight = np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,))
+    h = blend(length.astype(np.uint64) + np.uint64(int(GOLDEN) * (seed + 1) % 2**64))
+    h = blend(h ^ (eight[start] & _KEEP[np.minimum(length, 8)]))
+    rows, done = np.flatnonzero(length > 8), 8
+    at, left = start[rows], length[rows]
     while len(rows):
-        at, left = texts.start[rows], texts.length[rows]
-        done = 8
-        while len(rows):
-            part = eight[at + done] & _KEEP[np.minimum(left - done, 8)]
-            h[rows] = blend(h[rows] ^ part)
-            done += 8
-            more = left > done
-            rows, at, left = rows[more], at[more], left[more]
+        part = eight[at + done] & _KEEP[np.minimum(left - done, 8)]
+        h[rows] = blend(h[rows] ^ part)
+        done += 8
+        more = left > done
+        rows, at, left = rows[more], at[more], left[more]
     return h
 
 
+def hash_words(texts: Texts, seed: int = 0) -> np.ndarray:
+    return hash_spans(texts.buf, texts.start, texts.length, seed)
+
+
 def batches(sizes: Sequence[int], most: int) -> Iterator[slice]:
     """Consecutive items of at most ``most`` in size together; a larger item comes alone."""
     begin, total = 0, 0

@@ -67,4 +67,26 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM sets JOIN named USING (doc_id)
 """
 
-ORACLE = {"op5_minhash": MINHASH, "op8_mixing": MIXING}
+LINES = r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), each AS (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS place FROM split
+), windows AS (
+  SELECT doc_id, place, row(line, lead(line) OVER d, lead(line, 2) OVER d) AS w,
+    lead(place, 2) OVER d IS NOT NULL AS whole
+  FROM each WINDOW d AS (PARTITION BY doc_id ORDER BY place)
+), later AS (
+  SELECT doc_id, place FROM windows WHERE whole
+  QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, place) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, place + step AS place FROM later, (SELECT unnest([0, 1, 2]) AS step)
+)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines,
+  CAST(count(gone.place) AS BIGINT) AS n_removed,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY each.place) FILTER (WHERE gone.place IS NULL), '')) AS kept_sha256
+FROM each LEFT JOIN gone USING (doc_id, place)
+GROUP BY doc_id
+"""
+
+ORACLE = {"op5_minhash": MINHASH, "op8_mixing": MIXING, "op10_line_dedup": LINES}

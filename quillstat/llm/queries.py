@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillstat.llm import langid, minhash, mixing, quality, sharding
+from quillstat.llm import langid, lines, minhash, mixing, quality, sharding
 from quillstat.llm.oracle import ORACLE
 from quillstat.llm.tables import read
 
@@ -31,12 +32,18 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(read(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.dedup(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _QUERIES = (
     op5_minhash,
     op6_sharding,
     op7_quality,
     op8_mixing,
     op9_langid,
+    op10_line_dedup,
 )
 
 
