@@ -89,4 +89,29 @@ FROM each LEFT JOIN gone USING (doc_id, place)
 GROUP BY doc_id
 """
 
-ORACLE = {"op5_minhash": MINHASH, "op8_mixing": MIXING, "op10_line_dedup": LINES}
+WORDS = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS l FROM documents
+), each AS (
+  SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) AS place FROM split
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(l) - 11)) AS place,
+    unnest(list_transform(range(1, len(l) - 11), lambda i: md5(array_to_string(l[i:i+12], ' ')))) AS w
+  FROM split WHERE len(l) >= 13
+), firsts AS (
+  SELECT w, min(doc_id) AS first FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, place + step AS place
+  FROM windows JOIN firsts USING (w), (SELECT unnest(range(13)) AS step)
+  WHERE doc_id > first
+), counted AS (
+  SELECT doc_id, count(*) AS n_words, count(gone.place) AS n_removed,
+    string_agg(word, ' ' ORDER BY each.place) FILTER (WHERE gone.place IS NULL) AS kept
+  FROM each LEFT JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words,
+  CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN counted USING (doc_id)
+"""
+
+ORACLE = {"op4_recompression": WORDS, "op5_minhash": MINHASH, "op8_mixing": MIXING, "op10_line_dedup": LINES}

@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstat.llm import langid, lines, minhash, mixing, quality, sharding
+from quillstat.llm import langid, lines, minhash, mixing, quality, recompression, sharding
 from quillstat.llm.oracle import ORACLE
 from quillstat.llm.tables import read
 
 
+def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = recompression.dedup(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(read(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
+    op4_recompression,
     op5_minhash,
     op6_sharding,
     op7_quality,
