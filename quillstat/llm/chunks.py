@@ -68,11 +68,16 @@ class Asked:
 
     def answers(self, replies: pd.DataFrame) -> np.ndarray:
         """One byte per record, in the order of ``records``."""
-        own = replies[replies["kind"] == self.kind].sort_values("target")
-        codes = np.frombuffer(b"".join(own["data"]), np.uint8)
-        out = np.empty(len(self.records), np.uint8)
-        out[self.order] = codes
-        return out
+        return in_order(replies, self.kind, self.order)
+
+
+def in_order(replies: pd.DataFrame, kind: int, order: np.ndarray, width: int = 1) -> np.ndarray:
+    """The replies of a kind, ``width`` bytes per record, in the order the records had."""
+    own = replies[replies["kind"] == kind].sort_values("target")
+    codes = np.frombuffer(b"".join(own["data"]), np.uint8).reshape(len(order), width)
+    out = np.empty((len(order), width), np.uint8)
+    out[order] = codes
+    return out[:, 0] if width == 1 else out
 
 
 def table(rows: Iterable[tuple]) -> pd.DataFrame:
@@ -83,7 +88,7 @@ def answered(messages: DataFrame, dtypes: dict[int, np.dtype], decide: Decide) -
     """Replies to all messages; notes come back as they are.
 
     ``decide`` gets a kind, all its records in the bucket and the number of the message
-    that each came in, and returns a byte for each.
+    that each came in, and returns a byte for each, or as many for each.
     """
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:

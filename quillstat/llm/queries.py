@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstat.llm import langid, lines, minhash, mixing, quality, recompression, sharding
+from quillstat.llm import langid, lines, minhash, mixing, parsing, quality, recompression, sharding
 from quillstat.llm.oracle import ORACLE
 from quillstat.llm.tables import read
 
 
+def op3_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = parsing.dedup(read(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recompression.dedup(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -43,6 +50,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
+    op3_prefix_free_parsing,
     op4_recompression,
     op5_minhash,
     op6_sharding,

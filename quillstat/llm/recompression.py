@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from quillstat.llm.arrays import blend, chain, hash_words, split_words
 from quillstat.llm.chunks import (
-    BUCKET_BYTES, NOTE, TABLE, Asked, answered, chunked, groups, least_of, ordered, table,
+    BUCKET_BYTES, NOTE, TABLE, Asked, answered, chunked, groups, in_order, least_of, ordered, table,
 )
 from quillstat.llm.tables import parts_for
 
@@ -270,10 +270,7 @@ def dedup(
             return pd.DataFrame(columns=["id", "n_words", "n_removed", "kept"])
         given, _, texts = ordered(pdf)
         note = {k: d for k, d in zip(replies["kind"], replies["data"], strict=True) if k != _WINDOW}
-        own = replies[replies["kind"] == _WINDOW].sort_values("target")
-        codes = np.frombuffer(b"".join(own["data"]), np.uint8)
-        answer = np.empty(len(codes), np.uint8)
-        answer[np.frombuffer(note[_PLACE_ORDER], "<i4")] = codes
+        answer = in_order(replies, _WINDOW, np.frombuffer(note[_PLACE_ORDER], "<i4"))
         places = np.frombuffer(note[_OPEN], _PLACE)
         gone_at = places["at"][answer[places["record"]] > 0].astype(np.int64)
         split = [t.split() for t in texts]
