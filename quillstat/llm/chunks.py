@@ -36,16 +36,18 @@ def chunked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int
     with_library(docs.sparkSession)
     text = text_of(text_col)
     size = docs.select(F.sum(F.octet_length(text) + F.lit(64)).alias("n")).first()["n"] or 0
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    # pandas would turn a column of numbers with nulls into floats.
+    rows = docs.select(F.col(id_col).cast("long").cast("string").alias("id"), text.alias("text"))
     chunk = F.pmod(F.xxhash64("id", "text"), F.lit(parts_for(size, CHUNK_BYTES)))
     return rows.withColumn("chunk", chunk), size
 
 
 def ordered(pdf: pd.DataFrame) -> tuple[list, np.ndarray, list[bytes]]:
     """Ids as given, ids to compare, and texts, in an order that every step repeats."""
-    ids = [None if pd.isna(i) else int(i) for i in pdf["id"]]
-    rows = sorted(zip((LAST if i is None else i for i in ids), pdf["text"], ids, strict=True), key=lambda r: r[:2])
-    return [r[2] for r in rows], np.array([r[0] for r in rows], np.int64), [r[1] for r in rows]
+    ids = [LAST if i is None else int(i) for i in pdf["id"]]
+    rows = sorted(zip(ids, pdf["text"], pdf["id"], strict=True), key=lambda row: row[:2])
+    given = [None if i is None else int(i) for _, _, i in rows]
+    return given, np.array([i for i, _, _ in rows], np.int64), [text for _, text, _ in rows]
 
 
 class Asked:
