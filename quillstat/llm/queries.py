@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstat.llm import langid, lempelziv, lines, minhash, mixing, parsing, quality, recompression, sharding
+from quillstat.llm import decontamination, langid, lempelziv, lines, minhash, mixing, parsing, quality, recompression, sharding
 from quillstat.llm.oracle import ORACLE
 from quillstat.llm.tables import read
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lempelziv.compare(read(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
+    op1_decontamination,
     op2_lempel_ziv,
     op3_prefix_free_parsing,
     op4_recompression,
