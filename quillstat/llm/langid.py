@@ -33,6 +33,7 @@ DIMENSIONS = 1024
 NGRAM = 3
 TRAIN_ROWS = 4000
 UNKNOWN = "und"
+MIN_SCORE = 0.001
 # Texts are handled in lots of about so many characters.
 LOT = 1_000_000
 BLANK = 32
@@ -194,12 +195,16 @@ def predict(
 
 def keep_known(
     docs: DataFrame,
-    min_score: float,
+    min_score: float = MIN_SCORE,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> DataFrame:
-    """The documents in a learned language: those without a letter or below ``min_score`` go."""
+    """The documents in a learned language: those without a letter or below ``min_score`` go.
+
+    A short text is far from every language whatever it says, so the default only
+    rejects texts that are no nearer to any language than chance.
+    """
     languages = learn(docs.filter(~held_out_rows(id_col)), id_col, text_col, lang_col)
     scored = docs.select(
         F.struct("*").alias("row"), score_column(F.col(text_col), languages).alias("scored")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quillstat.llm import decontamination, langid, lempelziv, lines, minhash, mixing, parsing, quality, recompression, sharding
 from quillstat.llm.oracle import ORACLE
 from quillstat.llm.tables import read
@@ -57,6 +58,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _QUERIES = (
     op1_decontamination,
     op2_lempel_ziv,
@@ -68,6 +73,7 @@ _QUERIES = (
     op8_mixing,
     op9_langid,
     op10_line_dedup,
+    pipeline,
 )
 
 

@@ -209,11 +209,11 @@ def assign(
 def deal(
     docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` with all columns, and the ``shard`` of each; clashing columns go."""
+    """The rows of ``docs`` with all columns, and ``shard`` and ``slot``, which replace such columns."""
     size, _, key = _measures(F.col(text_col))
     rows = cut(docs.select(size.alias("size"), key.alias("key")), "sharding-rows")
-    shard_of = pack(_groups(rows), shards).withColumnRenamed("key", "shard_key")
-    kept = [c for c in docs.columns if c != "shard"]
-    tagged = docs.select(F.struct(*kept).alias("row"), key.alias("key"))
-    joined = tagged.join(shard_of, F.col("key") == F.col("shard_key"))
-    return joined.select("row.*", F.col("shard").cast("int").alias("shard"))
+    shard_of = pack(_groups(rows), shards)
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    tagged = docs.select(F.struct(*kept).alias("row"), F.col(id_col).alias("id"), key.alias("key"))
+    numbered = _slots(tagged.join(shard_of, "key"), ["id", "key"], rows.count() // shards)
+    return numbered.select("row.*", F.col("shard").cast("int").alias("shard"), "slot")
