@@ -94,7 +94,7 @@ class Items:
         words = np.split(hashes, laid.first[1:-1]) if texts else []
         grams = [_grams(w, size) if len(w) >= size else w[:0] for w in words]
         key = np.concatenate([np.zeros(0, np.uint64), *grams])
-        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        item = np.repeat(np.arange(len(grams)), np.array([len(g) for g in grams], np.int64))
         place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for g in grams]])
         return cls._sorted(words, key, item, place)
 
@@ -145,6 +145,8 @@ def _matches(laid: Texts, hashes: np.ndarray, items: Items, size: int, min_score
     at, number = items.lookup.find(_grams(hashes, size))
     inside = of[at] == of[at + size - 1]
     at, number = at[inside], number[inside]
+    if not len(at):
+        return found
     times = items.first[number + 1] - items.first[number]
     entry = np.repeat(items.first[number] - np.cumsum(times) + times, times) + np.arange(times.sum())
     at = np.repeat(at, times)
@@ -152,7 +154,7 @@ def _matches(laid: Texts, hashes: np.ndarray, items: Items, size: int, min_score
     order = np.lexsort((begin, item, text))
     text, item, begin = text[order], item[order], begin[order]
     # Seeds of an item that lie in a row belong to one passage.
-    length = np.array([len(w) for w in items.words], np.int64)[item] if len(item) else item
+    length = np.array([len(w) for w in items.words], np.int64)[item]
     new = np.ones(len(order), bool)
     new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > length[1:])
     starts = np.flatnonzero(new)
