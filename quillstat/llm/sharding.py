@@ -106,6 +106,17 @@ def best_fit(sizes: Sequence[int], capacity: int, bins: int | None = None) -> li
     return chosen
 
 
+def _even(groups: DataFrame, total: int, shards: int) -> int:
+    """The capacity at which all shards are full, but for groups larger than that."""
+    # At most as many rows as there are shards.
+    large = groups.filter(F.col("size") > total / shards).select("size").collect()
+    for (size,) in sorted(large, reverse=True):
+        if size * shards <= total or shards == 1:
+            break
+        total, shards = total - size, shards - 1
+    return max(1, -(-total // shards))
+
+
 def pack(groups: DataFrame, shards: int | None = SHARDS, capacity: int | None = None) -> DataFrame:
     """Assign every group to a shard: ``key``, ``shard``.
 
@@ -116,7 +127,7 @@ def pack(groups: DataFrame, shards: int | None = SHARDS, capacity: int | None =
     with_library(groups.sparkSession)
     count, total = groups.agg(F.count("key"), F.coalesce(F.sum("size"), F.lit(0))).first()
     if capacity is None:
-        capacity = max(1, -(-total // shards))
+        capacity = _even(groups, total, shards)
     else:
         shards = None
     lots = max(1, total // capacity)
