@@ -17,7 +17,7 @@ have equal anchors at equal offsets. Then:
 3. Each chunk learns which offsets of its contexts are repeated, marks their bytes,
    merges the marks into spans and cuts them out.
 
-A phrase in more than ``HOT`` distinct contexts is not gathered: its strings are sent
+A phrase that occurs more than ``hot`` times is not gathered: its strings are sent
 one by one, each once per chunk, and spread by their own hash. Strings without a trigger
 (they have short periods) take that way from the start.
 
@@ -231,7 +231,7 @@ def _string_hashes(contexts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     return context, offsets, found[0][wanted], found[1][wanted]
 
 
-def _decide(length: int):
+def _decide(length: int, hot: int):
     """For phrases 0 once, 1 repeated, 2 hot; for contexts their repeated offsets as bits."""
 
     def decide(kind: int, records: np.ndarray, message: np.ndarray) -> np.ndarray:
@@ -241,7 +241,7 @@ def _decide(length: int):
         starts = np.flatnonzero(np.diff(group, prepend=-1))
         times = np.add.reduceat(records["times"][order].astype(np.int64), starts)[group]
         code = np.empty(len(records), np.uint8)
-        code[order] = np.where(times > HOT, 2, np.where(times > 1, 1, 0))
+        code[order] = np.where(times > hot, 2, np.where(times > 1, 1, 0))
         return code
 
     return decide
@@ -269,7 +269,11 @@ def _repeated(records: np.ndarray, length: int) -> np.ndarray:
 
 
 def dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    hot: int = HOT,
 ) -> DataFrame:
     """One row per document: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` bytes."""
     chunks, size = chunked(docs, id_col, text_col)
@@ -326,7 +330,7 @@ def dedup(
              "n_spans": spans, "kept": kept}
         )
 
-    decide = _decide(length)
+    decide = _decide(length, hot)
     first = chunks.groupBy("chunk").applyInPandas(ask, TABLE)
     replies = answered(first, {_PHRASE: _SEEN}, decide)
     second = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInPandas(ask_contexts, TABLE)
