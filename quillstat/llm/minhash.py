@@ -3,15 +3,16 @@
 1. Every text becomes the set of hashes of its two-word shingles, and ``BANDS * ROWS``
    minima of universal hash functions over it. Equal texts are one node from here on.
 2. Nodes that agree on all minima of a band meet in a bucket. Instead of all pairs, the
-   first node of a bucket is paired with the others; once verified links have joined
-   nodes into components, only buckets that still hold several components go on, with
-   four times as many pivots, and only pairs across components. So a bucket of
-   copies costs as many pairs as it has members, and no pair that could join two
-   components is left out.
+   node of a bucket that shares most buckets with others is paired with the rest, so a
+   bucket of copies costs as many pairs as it has members.
 3. A pair is dropped if the sizes of its sets, or the low bits of their minima, rule the
    similarity out, and is confirmed on the full sets otherwise. A pivot with many
    partners is copied to several lots, so a lot is bounded.
 4. Confirmed links give components by alternating large-star and small-star.
+5. Where a bucket still holds several components, its rows outside the largest are
+   compared with all its rows on the full sets, in blocks of bounded size, and the links
+   found join components once more. So no link within a bucket is lost, and no pairs are
+   emitted.
 
 At the threshold itself two texts share no bucket with a chance of 3 in a million; the
 bits miss it by about as little.
@@ -31,7 +32,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quillstat.llm.arrays import batches, blend, chain, hash_words, split_words
 from quillstat.llm.stars import components
@@ -47,6 +47,9 @@ MOST_BITS = 31
 # Partners of one copy of a pivot, and rows of a lot.
 PARTNERS = 512
 LOT_ROWS = 2048
+# Rows on one side of a block, and columns of the tables that intersect them.
+BLOCK = 1024
+COLUMNS = 4096
 # Texts are handled in lots of about so many bytes.
 LOT = 2_000_000
 
@@ -181,40 +184,111 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("lot").applyInPandas(_verify(percent), "u long, v long")
 
 
+def _shared(o: list[np.ndarray], a: list[np.ndarray]) -> np.ndarray:
+    """The size of every intersection of two lists of sets."""
+
+    def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        return rows, np.concatenate(sets)
+
+    (row_o, item_o), (row_a, item_a) = flat(o), flat(a)
+    both = np.intersect1d(item_o, item_a)
+    counts = np.zeros((len(o), len(a)), np.float32)
+    for at in range(0, len(both), COLUMNS):
+        some = both[at : at + COLUMNS]
+
+        def dense(rows: np.ndarray, items: np.ndarray, height: int, some=some) -> np.ndarray:
+            place = np.minimum(np.searchsorted(some, items), len(some) - 1)
+            known = some[place] == items
+            table = np.zeros((height, len(some)), np.float32)
+            table[rows[known], place[known]] = 1
+            return table
+
+        counts += dense(row_o, item_o, len(o)) @ dense(row_a, item_a, len(a)).T
+    return counts.astype(np.int64)
+
+
+def _verify_blocks(percent: int):
+    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets: dict[int, np.ndarray] = {}
+        firsts = pdf.drop_duplicates("node")
+        texts = firsts["text"].tolist()
+        for lot in batches([len(t) for t in texts], LOT):
+            sets |= zip(firsts["node"].iloc[lot], shingle_sets(texts[lot]), strict=True)
+        links = []
+        for _, own in pdf.groupby(["key", "i", "j"]):
+            sides = [own[own["apart"] == x].drop_duplicates("node") for x in (True, False)]
+            if not (len(sides[0]) and len(sides[1])):
+                continue
+            (o, a), (label_o, label_a) = ([s[c].to_numpy() for s in sides] for c in ("node", "label"))
+            both = _shared([sets[n] for n in o], [sets[n] for n in a])
+            sizes = [np.array([len(sets[n]) for n in side]) for side in (o, a)]
+            union = sizes[0][:, None] + sizes[1][None, :] - both
+            near = (100 * both >= percent * union) & (label_o[:, None] != label_a[None, :])
+            links += [(o[u], a[v]) for u, v in zip(*np.nonzero(near), strict=True)]
+        return pd.DataFrame(links, columns=["u", "v"], dtype="int64").drop_duplicates()
+
+    return verify
+
+
+def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links across the components that still share a bucket.
+
+    In every such bucket the rows outside its largest component are compared with all
+    rows, block by block. Rows are sent to blocks; pairs are only formed inside tasks.
+    """
+    rows = members.join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label")
+    )
+    sizes = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    open_ = (
+        sizes.groupBy("key")
+        .agg(F.max(F.struct("c", "label")).alias("most"), F.sum("c").alias("c"))
+        .filter((F.col("c") > F.col("most.c")) & (F.col("c") > 2))
+        .select(
+            "key",
+            F.col("most.label").alias("most"),
+            F.ceil(F.col("c") / BLOCK).alias("blocks"),
+            F.ceil((F.col("c") - F.col("most.c")) / BLOCK).alias("blocks_apart"),
+        )
+    )
+    rows = cut(rows.join(open_, "key"), "minhash-open")
+
+    def block(of: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(of))
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+
+    kept = ("key", "node", "label")
+    apart = rows.filter(F.col("label") != F.col("most")).select(
+        *kept, F.lit(True).alias("apart"), block("blocks_apart").alias("i"), every("blocks").alias("j")
+    )
+    everyone = rows.select(
+        *kept, F.lit(False).alias("apart"), every("blocks_apart").alias("i"), block("blocks").alias("j")
+    )
+    routes = cut(apart.unionByName(everyone), "minhash-routes")
+    lots = parts_for(routes.count(), LOT_ROWS)
+    met = routes.withColumn("lot", F.pmod(F.xxhash64("key", "i", "j"), F.lit(lots))).join(texts, "node")
+    return met.groupBy("lot").applyInPandas(_verify_blocks(percent), "u long, v long")
+
+
 def _links(members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Label every node that is linked with another: ``node``, ``label``."""
-    tested, pivots = 0, 1
-    rows = members.withColumn("label", F.col("node"))
-    edges, labels = None, None
-    while True:
-        several = (
-            rows.groupBy("key")
-            .agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("c"))
-            .filter((F.col("a") < F.col("b")) & (F.col("c") > tested + 1))
-            .select("key")
-        )
-        rows = cut(rows.join(several, "key"), "minhash-open")
-        if rows.isEmpty():
-            break
-        # Spark keeps the first rows of each key before it shuffles them.
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        chosen = (
-            rows.withColumn("rank", rank)
-            .filter((F.col("rank") <= pivots) & (F.col("rank") > tested))
-            .select("key", F.col("node").alias("pivot"), F.col("label").alias("other"))
-        )
-        across = (F.col("node") > F.col("pivot")) & (F.col("label") != F.col("other"))
-        pairs = rows.join(chosen, "key").filter(across).select("pivot", "node").distinct()
-        found = _confirm(_possible(pairs, nodes, percent), texts, percent)
-        edges = found if edges is None else labels.toDF("u", "v").union(found)
-        labels = components(edges)
-        rows = (
-            rows.drop("label")
-            .join(labels, "node", "left")
-            .select("key", "node", F.coalesce("label", "node").alias("label"))
-        )
-        tested, pivots = pivots, pivots * 4
-    return labels if labels is not None else members.select("node", F.col("node").alias("label")).limit(0)
+    # The node that shares most buckets with most others is likely to be near them all.
+    weights = members.groupBy("node").agg(F.sum("c").alias("weight"))
+    pivots = (
+        members.join(weights, "node")
+        .groupBy("key")
+        .agg(F.max(F.struct("weight", "node")).alias("p"))
+        .select("key", F.col("p.node").alias("pivot"))
+    )
+    pairs = members.join(pivots, "key").filter(F.col("node") != F.col("pivot"))
+    pairs = pairs.select("pivot", "node").distinct()
+    first = _confirm(_possible(pairs, nodes, percent), texts, percent)
+    labels = components(first)
+    rest = _rest(members, labels, texts, percent)
+    return components(labels.toDF("u", "v").union(rest))
 
 
 def _resolved(
@@ -246,12 +320,7 @@ def _resolved(
     first = rows.join(own, "row")
     nodes = first.select(F.col("row").alias("node"), "n", "one", "two")
     bands = first.select(F.explode("bands").alias("key"), F.col("row").alias("node"))
-    shared = (
-        bands.groupBy("key")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        .filter(F.col("low") < F.col("high"))
-        .select("key")
-    )
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
     members = cut(bands.join(shared, "key"), "minhash-members")
     wanted = (
         members.select("node").distinct().join(classes, "node")
