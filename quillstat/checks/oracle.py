@@ -248,6 +248,23 @@ PRODUCTS = {
     LEFT JOIN publication_record o ON o.publication_id = a.publication_id
     LEFT JOIN action_module m ON m.publication_id = a.publication_id
     LEFT JOIN revenue_v2 r ON r.publication_id = a.publication_id""",
+    "collects_v2_apart": _branch(
+        "a.publication_id",
+        "o.profile_id",
+        "a.ts",
+        "a.actor",
+        """CASE WHEN a.is_collect THEN
+        CASE WHEN m.amount > 0 THEN 'PAID COLLECT' ELSE 'FREE COLLECT' END END""",
+        units="r.units",
+    )
+    + """
+    FROM acted_record a
+    LEFT JOIN publication_record o ON o.publication_id = a.publication_id
+    LEFT JOIN action_module m ON m.publication_id = a.publication_id
+    LEFT JOIN revenue_apart r ON r.publication_id = a.publication_id""",
+    "revenue_apart": """
+    SELECT CAST(CAST(publication_id AS BIGINT) + 3 AS VARCHAR) AS publication_id, units
+    FROM revenue_v2""",
     "collects_v1": _branch(
         "l.post_id",
         "l.profile_id",
@@ -319,9 +336,9 @@ _ORDER = """ORDER BY block_timestamp, profile_id, ownership_owner, handle NULLS
         handle_time NULLS FIRST, profile_record_id NULLS FIRST"""
 
 
-def _history(where: str) -> str:
+def _history(where: str, extra: str = "") -> str:
     return f"""
-    SELECT profile_id, profile_record_id, ownership_owner, handle_owner, record_owner, handle,
+    SELECT {extra} profile_id, profile_record_id, ownership_owner, handle_owner, record_owner, handle,
       strftime(block_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS block_timestamp,
       row_number() OVER (PARTITION BY profile_id {_ORDER}) > 1 AS profile_changed_flag,
       row_number() OVER (PARTITION BY handle {_ORDER}) > 1 AS address_changed_flag
@@ -360,6 +377,7 @@ QUERIES = {
     "interaction_follow": _interactions("follows"),
     "interaction_derivative": _interactions("derivatives"),
     "interaction_collect_v2": _interactions("collects_v2"),
+    "collect_v2_staged_apart": _interactions("collects_v2_apart"),
     "interaction_collect_v1": _interactions("collects_v1"),
     "interaction_reaction": _interactions("reactions"),
     "interaction_mention": _interactions("mentions"),
@@ -370,6 +388,10 @@ QUERIES = {
       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS block_timestamp FROM events""",
     "creator_publications": "SELECT * FROM creator_publications",
     "creator_interactions": _interactions("creator_interactions", month=True),
+    "profile_check": """
+    SELECT CAST(sum(n) AS BIGINT) AS number_row, count(*) AS number_profile,
+      count(*) FILTER (WHERE n > 1) AS number_repeated
+    FROM (SELECT profile_id, count(*) AS n FROM profiles GROUP BY profile_id)""",
     "profile_mart": "SELECT * FROM profiles",
     "interactions_by_month": f"""
     SELECT profile_id, substring(CAST(interaction_date AS VARCHAR), 1, 7) AS year_month,
@@ -406,9 +428,11 @@ QUERIES = {
     GROUP BY ALL""",
     "handle_history": _history(""),
     "handle_history_probe": _history(
-        f"WHERE profile_id IN ({', '.join(repr(i) for i in PROBED)})"
+        f"WHERE profile_id IN ({', '.join(repr(i) for i in PROBED)})",
+        "strftime(handle_time, '%Y-%m-%d %H:%M:%S.%f') AS handle_time,",
     ),
 }
+QUERIES["refreshed_interactions_by_month"] = QUERIES["interactions_by_month"]
 
 
 def sql(name: str) -> str:

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from quillstat.checks.roles import CREATORS, PROBED, load
 from quillstat.functions.money import currency_label, token_amount
-from quillstat.operators.joins import restrict_to
+from quillstat.operators.joins import Ids, restrict_to
 from quillstat.operators.rows import days
+from quillstat.operators.skew import find_hot
 from quillstat.plans import dimensions, facts, marts, stage
+from quillstat.plans.refresh import refresh
 from quillstat.schemas import INTERACTION, align
 from quillstat.session import run_dir, tune
 from quillstat.sources.sinks import export_times, import_times, write_files
@@ -51,9 +53,7 @@ def creator_allowlist(src: Sources) -> DataFrame:
 
 
 def fx_rates(src: Sources) -> DataFrame:
-    label = currency_label(F.col("currency")).alias("currency")
-    used = src.action_module.groupBy(label).agg(F.count(F.lit(1)).alias("modules"))
-    return stage.with_rate(used).withColumn("rate_known", F.col("rate").isNotNull())
+    return stage.currency_check(src.action_module)
 
 
 def amount_scaling(src: Sources) -> DataFrame:
@@ -87,8 +87,13 @@ def revenue_v1(src: Sources) -> DataFrame:
 
 
 def profile_dimension(src: Sources) -> DataFrame:
+    return profiles_of(src, None)
+
+
+def profiles_of(src: Sources, ids: Ids | None) -> DataFrame:
+    """The profile dimension, of all profiles or of those in ``ids``."""
     return dimensions.profile_dimension(
-        src.profile_record,
+        restrict_to(src.profile_record, ids, "profile_id"),
         src.profile_metadata,
         src.profile_last_logged_in,
         src.profile_stats,
@@ -132,7 +137,7 @@ def interaction_mention(src: Sources) -> DataFrame:
 
 
 def interaction_log(src: Sources) -> DataFrame:
-    return facts.interactions_of(src)
+    return facts.interactions_of(src, hot=find_hot(facts.log_joins(src)))
 
 
 def interaction_log_partitioned(src: Sources) -> DataFrame:
@@ -157,42 +162,73 @@ def creator_interactions(src: Sources) -> DataFrame:
     return facts.interactions_of(src, CREATORS)
 
 
+def profile_check(src: Sources) -> DataFrame:
+    return dimensions.profile_check(profile_dimension(src))
+
+
+def collect_v2_staged_apart(src: Sources) -> DataFrame:
+    """Revenue staged from other rows than the modules are: each may be missing alone."""
+    number = F.col("publication_id").cast("bigint") + 3
+    staged = src.action_module.withColumn("publication_id", number.cast("string"))
+    owners = facts.owners_of(src.publication_record)
+    rows = facts.collects_v2(src.acted_record, owners, src.action_module, stage.revenue_v2(staged))
+    return align(rows, INTERACTION)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A product written to the shared folder and read back, as the marts get it."""
+    path = write_files(df, run_dir(df.sparkSession, name))
+    return read_product(df.sparkSession, path, name)
+
+
+def refreshed_interactions_by_month(src: Sources) -> DataFrame:
+    """A mart as the full refresh leaves it."""
+    spark = src.publication_record.sparkSession
+    done = refresh(spark, src, run_dir(spark, "refresh"), CREATORS, history=PROBED)
+    return done["L3_interaction_year_month"]
+
+
 def profile_mart(src: Sources) -> DataFrame:
     return marts.profile_mart(profile_dimension(src))
 
 
 def interactions_by_month(src: Sources) -> DataFrame:
-    return marts.interactions_by_month(creator_interactions(src))
+    return marts.interactions_by_month(written(creator_interactions(src), "L3_interaction"))
 
 
 def publications_by_month(src: Sources) -> DataFrame:
-    return marts.publications_by_month(creator_publications(src))
+    return marts.publications_by_month(written(creator_publications(src), "L3_publication"))
 
 
 def user_analysis(src: Sources) -> DataFrame:
-    return marts.user_analysis(creator_interactions(src), profile_mart(src))
+    interactions = written(creator_interactions(src), "L3_interaction")
+    # Only the acting users are looked up, so only theirs are built.
+    acting = interactions.select("interaction_profile_id")
+    return marts.user_analysis(interactions, profiles_of(src, acting))
 
 
 def interaction_weekday_hour(src: Sources) -> DataFrame:
-    return marts.interaction_weekday_hour(creator_interactions(src))
+    return marts.interaction_weekday_hour(written(creator_interactions(src), "L3_interaction"))
 
 
 def interactions_by_age(src: Sources) -> DataFrame:
-    return marts.interactions_by_age(creator_interactions(src), creator_publications(src))
+    return marts.interactions_by_age(
+        written(creator_interactions(src), "L3_interaction"),
+        written(creator_publications(src), "L3_publication"),
+    )
 
 
 def handle_history(src: Sources) -> DataFrame:
     """All profiles."""
-    return dimensions.handle_history(
-        src.ownership_history, src.handle_history, src.profile_record, None
-    )
+    tables = (src.ownership_history, src.handle_history, src.profile_record)
+    hot = find_hot(dimensions.history_joins(*tables))
+    return dimensions.handle_history(*tables, None, hot)
 
 
 def handle_history_probe(src: Sources) -> DataFrame:
-    """The operator's own list of profiles; flags are relative to these."""
-    return dimensions.handle_history(
-        src.ownership_history, src.handle_history, src.profile_record, PROBED
-    )
+    """The operator's own list of profiles, sorted; flags are relative to these."""
+    tables = (src.ownership_history, src.handle_history, src.profile_record)
+    return dimensions.sorted_history(*tables, PROBED)
 
 
 _QUERIES = (
@@ -210,6 +246,7 @@ _QUERIES = (
     interaction_follow,
     interaction_derivative,
     interaction_collect_v2,
+    collect_v2_staged_apart,
     interaction_collect_v1,
     interaction_reaction,
     interaction_mention,
@@ -218,8 +255,10 @@ _QUERIES = (
     micros_roundtrip,
     creator_publications,
     creator_interactions,
+    profile_check,
     profile_mart,
     interactions_by_month,
+    refreshed_interactions_by_month,
     publications_by_month,
     user_analysis,
     interaction_weekday_hour,

@@ -13,9 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstat.fixed_values import CURRENCIES, Currency
-from quillstat.schemas import MONEY
+from quillstat.schemas import MONEY, USD
 
 RAW_TYPE = "decimal(38,0)"
+# Raw amounts from here on are set aside. A decimal holds 38 digits; a USD value keeps six
+# decimals and a cent amount two, so ten amounts just below this can still be summed and
+# valued one to one, which is what unlisted currencies are.
+LIMIT = Decimal(10) ** 31
 
 
 def currency_label(address: Column, currencies: Sequence[Currency] = CURRENCIES) -> Column:
@@ -30,13 +34,24 @@ def currency_label(address: Column, currencies: Sequence[Currency] = CURRENCIES)
 
 
 def raw_amount(amount: Column) -> Column:
-    """Text to integer; text that is no number below 10^38 stops the job.
+    """Text to integer; text that is no number below 10^38 stops the job."""
+    return _strict(amount.try_cast(RAW_TYPE), amount, RAW_TYPE)
 
-    ``try_cast`` plus ``raise_error`` keeps this strict in sessions without ANSI
-    mode too, where a plain cast would quietly give NULL.
+
+def _strict(value: Column, source: Column, kind: str) -> Column:
+    """``value``, or an error where it is NULL although ``source`` is not.
+
+    The functions that give NULL on overflow plus ``raise_error`` keep this strict in
+    sessions without ANSI mode too, where plain ones would quietly give NULL.
     """
-    bad = F.raise_error(F.concat(F.lit("amount out of range: "), amount)).cast(RAW_TYPE)
-    return F.coalesce(amount.try_cast(RAW_TYPE), F.when(amount.isNotNull(), bad))
+    told = F.concat(F.lit("amount out of range: "), source.cast("string"))
+    bad = F.raise_error(told).cast(kind)
+    return F.coalesce(value, F.when(source.isNotNull(), bad))
+
+
+def exact_sum(amount: Column) -> Column:
+    """Sum of amounts; an overflow stops the job instead of giving NULL."""
+    return _strict(F.try_sum(amount), F.max(amount), MONEY)
 
 
 def token_amount(
@@ -49,7 +64,7 @@ def token_amount(
     would give 0.01).
     """
     raw = raw_amount(amount)
-    scaled = raw.cast(MONEY)
+    scaled = _strict(raw.try_cast(MONEY), raw, MONEY)
     for decimals in sorted({c.decimals for c in currencies}):
         listed = [c.address for c in currencies if c.decimals == decimals]
         tokens = F.round(raw, 2 - decimals) * F.lit(Decimal(1).scaleb(-decimals))
@@ -58,8 +73,9 @@ def token_amount(
 
 
 def usd(amount: Column, rate: Column) -> Column:
-    """Value in USD; a currency without a rate counts one to one."""
-    return amount * F.coalesce(rate, F.lit(1).cast("decimal(18,6)"))
+    """Value in USD, below 10^32; a currency without a rate counts one to one."""
+    known = F.coalesce(rate, F.lit(1).cast("decimal(18,6)"))
+    return _strict(F.try_multiply(amount, known), amount, USD)
 
 
 def split_amounts(modules: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -67,10 +83,8 @@ def split_amounts(modules: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Amounts are 256-bit on chain while decimals hold 38 digits. Use the first
     table where one bad row must not stop the job, and keep the second for
-    inspection. The bound leaves room for a rate and for summing.
+    inspection, as the refresh does.
     """
     value = F.col("amount").try_cast(RAW_TYPE)
-    usable = F.col("amount").isNull() | F.coalesce(
-        F.abs(value) < F.lit(Decimal(10**28)), F.lit(False)
-    )
+    usable = F.col("amount").isNull() | F.coalesce(F.abs(value) < F.lit(LIMIT), F.lit(False))
     return modules.filter(usable), modules.filter(~usable)

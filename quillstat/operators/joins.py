@@ -2,20 +2,18 @@
 
 Both sides must have distinct column names; the result has all of them, so the
 right key tells whether a row was matched. Where no key is hot these are the plain
-Spark joins.
+Spark joins, which adaptive execution broadcasts or divides by real sizes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstat.operators.skew import NONE, NULL_PARTS, HotKeys, all_parts, row_part
+from quillstat.operators.skew import NONE, Hot, Parts, all_parts, row_part
 
-BROADCAST_BYTES = 64 * 1024 * 1024
 Ids = Sequence[str] | DataFrame
 
 
@@ -24,62 +22,59 @@ def lookup(
     right: DataFrame,
     left_on: str,
     right_on: str,
-    hot: HotKeys = NONE,
+    hot: Hot = NONE,
     null_keys: bool = False,
 ) -> DataFrame:
     """Left join to a table with few rows per key.
 
     The left rows of a hot key are divided into parts, and its right rows copied
-    to each part. With ``null_keys`` left rows without a key, which can never
-    match but would all go to one task, are divided as well.
+    to each part. With ``null_keys`` left rows without a key, which can never match,
+    are set aside before the join and take no part in its shuffle.
     """
+    if null_keys:
+        known = lookup(left.filter(F.col(left_on).isNotNull()), right, left_on, right_on, hot)
+        return known.unionByName(_padded(left.filter(F.col(left_on).isNull()), right))
     same = F.col(left_on) == F.col(right_on)
-    if not (hot or null_keys):
+    if not hot.left:
         return left.join(right, same, "left")
-    parts = hot.parts(F.col(left_on))
-    if null_keys:
-        parts = F.when(F.col(left_on).isNull(), NULL_PARTS).otherwise(parts)
+    parts = hot.left.of(F.col(left_on))
     part = F.when(parts > 1, row_part(left, parts)).otherwise(0)
-    if hot:
-        copies = all_parts(hot.parts(F.col(right_on)))
-    else:
-        # Part 0 for every key. Computed from the key so that it is not folded to a
-        # constant, which would take it out of the join keys again.
-        copies = F.pmod(F.hash(right_on), F.lit(1))
     joined = left.withColumn("_part", part).join(
-        right.withColumn("_copy", copies), same & (F.col("_part") == F.col("_copy")), "left"
+        right.withColumn("_copy", all_parts(hot.left.of(F.col(right_on)))),
+        same & (F.col("_part") == F.col("_copy")),
+        "left",
     )
     return joined.drop("_part", "_copy")
 
 
 def pair(
-    left: DataFrame,
-    right: DataFrame,
-    left_on: str,
-    right_on: str,
-    hot_left: HotKeys = NONE,
-    hot_right: HotKeys = NONE,
+    left: DataFrame, right: DataFrame, left_on: str, right_on: str, hot: Hot = NONE
 ) -> DataFrame:
-    """Inner join in which a key may be hot on either side, or on both.
+    """Inner join in which a key may be hot on either side, or in the product.
 
-    Each side divides the rows of its own hot keys and copies its rows to all
-    parts of the other side's. Every pair of rows meets in exactly one place.
+    Each side divides the rows of its hot keys and copies its rows to all parts of
+    the other side's. Every pair of rows meets in exactly one place.
     """
     same = F.col(left_on) == F.col(right_on)
     columns = left.columns + right.columns
-    if hot_left:
-        parts = hot_left.parts(F.col(left_on))
-        part = F.when(parts > 1, row_part(left, parts)).otherwise(0)
-        left = left.withColumn("_left_part", part)
-        right = right.withColumn("_left_copy", all_parts(hot_left.parts(F.col(right_on))))
+
+    def own(df: DataFrame, on: str, keys: Parts):
+        parts = keys.of(F.col(on))
+        return F.when(parts > 1, row_part(df, parts)).otherwise(0)
+
+    def copies(on: str, keys: Parts):
+        return all_parts(keys.of(F.col(on)))
+
+    lefts, rights = left, right
+    if hot.left:
+        lefts = lefts.withColumn("_left_part", own(left, left_on, hot.left))
+        rights = rights.withColumn("_left_copy", copies(right_on, hot.left))
         same = same & (F.col("_left_part") == F.col("_left_copy"))
-    if hot_right:
-        parts = hot_right.parts(F.col(right_on))
-        part = F.when(parts > 1, row_part(right, parts)).otherwise(0)
-        left = left.withColumn("_right_copy", all_parts(hot_right.parts(F.col(left_on))))
-        right = right.withColumn("_right_part", part)
+    if hot.right:
+        rights = rights.withColumn("_right_part", own(right, right_on, hot.right))
+        lefts = lefts.withColumn("_right_copy", copies(left_on, hot.right))
         same = same & (F.col("_right_part") == F.col("_right_copy"))
-    return left.join(right, same, "inner").select(*columns)
+    return lefts.join(rights, same, "inner").select(*columns)
 
 
 def fan_out(
@@ -87,8 +82,7 @@ def fan_out(
     right: DataFrame,
     left_on: str,
     right_on: str,
-    hot_left: HotKeys = NONE,
-    hot_right: HotKeys = NONE,
+    hot: Hot = NONE,
     keys: DataFrame | None = None,
     null_keys: bool = False,
 ) -> DataFrame:
@@ -100,53 +94,31 @@ def fan_out(
     are reduced before they are shuffled. ``keys`` is a table with the same keys
     that is cheaper than ``right``, if there is one; its first column counts.
     """
-    if not hot_right:
-        return lookup(left, right, left_on, right_on, hot_left, null_keys)
-    matched = pair(left, right, left_on, right_on, hot_left, hot_right)
+    if not hot.right:
+        return lookup(left, right, left_on, right_on, hot, null_keys)
+    matched = pair(left, right, left_on, right_on, hot)
     keys = right.select(right_on) if keys is None else keys
     distinct = keys.select(F.col(keys.columns[0]).alias("_known")).distinct()
-    checked = lookup(left, distinct, left_on, "_known", hot_left, null_keys)
+    checked = lookup(left, distinct, left_on, "_known", hot, null_keys)
     unmatched = checked.filter(F.col("_known").isNull()).drop("_known")
+    return matched.unionByName(_padded(unmatched, right))
+
+
+def _padded(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left rows that match nothing: the right columns are NULL."""
     padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
-    return matched.unionByName(unmatched.select(*left.columns, *padding))
+    return left.select(*left.columns, *padding)
 
 
 def restrict_to(df: DataFrame, ids: Ids | None, on: str) -> DataFrame:
     """Rows whose key is in ``ids``; an id listed twice repeats nothing.
 
     A literal list becomes a predicate that reaches the scan; a table becomes a
-    left semi join on its first column, broadcast only if it carries the hint or
-    Spark finds it small.
+    left semi join on its first column, reduced to distinct ids first.
     """
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
-        listed = ids.select(F.col(ids.columns[0]).alias(on))
+        listed = ids.select(F.col(ids.columns[0]).alias(on)).distinct()
         return df.join(listed, on, "left_semi").select(*df.columns)
     return df.filter(F.col(on).isin(list(ids)))
-
-
-def sizes(tables: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Bytes of several tables, from one job with an aggregate over each."""
-
-    def size(name: str, df: DataFrame) -> DataFrame:
-        texts = [F.octet_length(F.col(n)) for n, t in df.dtypes if t == "string"]
-        width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 + 16 * len(df.columns)))
-        return df.agg(F.sum(width).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
-
-    measured = reduce(DataFrame.unionByName, [size(n, df) for n, df in tables.items()])
-    return {name: size or 0 for name, size in measured.collect()}
-
-
-def broadcast_small(
-    tables: Mapping[str, DataFrame], limit: int | None = None
-) -> dict[str, DataFrame]:
-    """Hint a broadcast for the tables that are small, leave the others as they are.
-
-    Spark estimates a filtered scan by the size of the whole file, so left alone it
-    would shuffle the big side of a join with a handful of selected keys. So the
-    tables are measured first.
-    """
-    limit = BROADCAST_BYTES if limit is None else limit
-    measured = sizes(tables)
-    return {n: F.broadcast(df) if measured[n] <= limit else df for n, df in tables.items()}

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstat.operators.skew import row_part
-
-PARTS = 4096
-
 
 def first_by(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """One row per key: the first in ``order``, which must leave no ties.
@@ -24,23 +20,23 @@ def first_by(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def not_first(
-    df: DataFrame, flag: str, key: str, order: Sequence[Column], parts: int = PARTS
-) -> DataFrame:
-    """Add ``flag``: false on the first row of each key, true on all others.
+def not_first(df: DataFrame, flags: Mapping[str, str], order: Sequence[str]) -> DataFrame:
+    """Add flags, each false on the first row of its key and true on all others.
 
-    NULL is a key like any other. A single window over the key would sort the
-    whole group in one task. Here each group is first numbered in ``parts``
-    parts; then only the parts' first rows, at most ``parts`` of them, meet in one
-    window. The other rows, which cannot be first, stay in their parts. Of several
-    equal rows exactly one is the first.
+    ``flags`` gives the key of each flag, ``order`` columns that sort ascending with
+    NULL first; the other columns break ties. NULL is a key like any other. The first
+    row of a key is a minimum, which every task reduces before the shuffle, and rows
+    meet these minima on all their columns. So however many rows a key has, they are
+    moved once, evenly, and for all flags together. Of equal rows exactly one is first.
     """
-    own = Window.partitionBy(key, "_part").orderBy(*order)
-    heads = F.when(F.col("_rank") == 1, -1).otherwise(F.col("_part"))
-    meet = Window.partitionBy(key, "_part").orderBy(F.col("_rank"), *order)
-    numbered = df.withColumn("_part", row_part(df, F.lit(parts))).withColumn(
-        "_rank", F.row_number().over(own)
-    )
-    met = numbered.withColumn("_part", heads).withColumn("_place", F.row_number().over(meet))
-    later = (F.col("_part") >= 0) | (F.col("_place") > 1)
-    return met.select(*df.columns, later.alias(flag))
+    rest = [c for c in df.columns if c not in order]
+    rows = df.withColumn("_row", F.struct(*order, *rest))
+    copy = F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(1)))
+    flagged = rows.withColumn("_copy", copy)
+    for flag, key in flags.items():
+        firsts = rows.groupBy(F.col(key).alias(f"_{flag}_key")).agg(F.min("_row").alias(f"_{flag}"))
+        flagged = flagged.join(
+            firsts.select(f"_{flag}"), F.col("_row") == F.col(f"_{flag}"), "left"
+        )
+    columns = [(F.col(f"_{f}").isNull() | (F.col("_copy") > 1)).alias(f) for f in flags]
+    return flagged.select(*df.columns, *columns)

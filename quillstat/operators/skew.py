@@ -1,92 +1,135 @@
-"""Finding keys that hold a large share of the rows, and dividing their rows.
+"""Finding keys whose rows are more than one task's share, and dividing their rows.
 
-A key is hot when its rows are more than one task should take. Hot keys are found
-once, on a sample of the key columns, and handed to the joins as literals, so that
-both sides of a join and every retry of a task agree on them. The sample decides
-only which keys are divided, never which rows are returned: a key that is missed
-is joined like any other.
+A key is hot in a join if the rows it makes are more than one shuffle partition's
+share of all that the join makes. Fewer keys than partitions can be, so what comes
+to the driver is bounded without a limit. Hot keys are found on a sample and handed to
+the joins as literals, so that both sides of a join and every retry of a task agree on
+them. The sample decides only which keys are divided, never which rows are returned.
+
+Nothing here runs unless a caller asks for it: the builders of the products take hot
+keys as an argument and leave skew to adaptive execution without one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import mul
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 0.001
-TASK_ROWS = 1_000_000
-# Any key beyond these holds less than a thousandth of all rows counted.
-MAX_KEYS = 1000
-# A hot key is divided into the first of these that makes its parts small enough.
-PARTS = (16, 256, 4096, 65536)
-NULL_PARTS = 1024
+SAMPLE = 0.01
+# A key seen less often in the sample is not told from one with few rows.
+SURE = 30
 
 
 @dataclass(frozen=True)
-class HotKeys:
-    """Hot keys by the number of parts they are divided into."""
+class Parts:
+    """The number of parts that the rows of each hot key are divided into."""
 
-    keys: Mapping[int, tuple[str, ...]] = field(default_factory=dict)
+    keys: Mapping[str, int] = field(default_factory=dict)
 
     def __bool__(self) -> bool:
         return bool(self.keys)
 
-    def __or__(self, other: HotKeys) -> HotKeys:
-        parts = {key: n for hot in (self, other) for n, keys in hot.keys.items() for key in keys}
-        for n, keys in self.keys.items():
-            for key in keys:
-                parts[key] = max(parts[key], n)
-        return _by_parts(parts)
-
-    def parts(self, key: Column) -> Column:
+    def of(self, key: Column) -> Column:
         """Number of parts of a key, 1 for any that is not hot."""
         number = F.lit(1)
-        for n, keys in self.keys.items():
-            number = F.when(key.isin(list(keys)), n).otherwise(number)
+        for n in sorted(set(self.keys.values())):
+            same = sorted(k for k, parts in self.keys.items() if parts == n)
+            number = F.when(key.isin(same), n).otherwise(number)
         return number
 
 
-NONE = HotKeys()
+@dataclass(frozen=True)
+class Hot:
+    """The hot keys of one join. Parts of the left side meet all parts of the right."""
+
+    left: Parts = Parts()
+    right: Parts = Parts()
+
+    def __bool__(self) -> bool:
+        return bool(self.left or self.right)
+
+
+NONE = Hot()
+NO_HOT: Mapping[str, Hot] = MappingProxyType({})
+# Tables and keys of a join: the left one, and those whose rows the right one multiplies;
+# tables with unique keys are left out.
+Sides = Sequence[tuple[DataFrame, str]]
 
 
 def find_hot(
-    columns: Mapping[str, tuple[DataFrame, str]],
+    joins: Mapping[str, Sides],
     sample: float = SAMPLE,
-    task_rows: int = TASK_ROWS,
-) -> dict[str, HotKeys]:
-    """Hot keys of several (table, column) pairs, in one job.
+    sure: int = SURE,
+    partitions: int | None = None,
+) -> dict[str, Hot]:
+    """Hot keys of several joins, in one job that reads only the key columns.
 
-    The job reads only the key columns, shuffles counts of sampled keys, and brings
-    at most ``MAX_KEYS`` rows to the driver.
+    A join makes the product of a key's rows on both sides, so a key that is hot on
+    neither side alone can be hot in the join; it is divided on the larger side first.
     """
-    keys = [
-        df.select(F.lit(name).alias("name"), F.col(column).alias("key")).sample(sample, seed=7)
-        for name, (df, column) in columns.items()
-    ]
+    if not joins:
+        return {}
+    if partitions is None:
+        spark = next(iter(joins.values()))[0][0].sparkSession
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def keys(name: str, side: int, df: DataFrame, column: str) -> DataFrame:
+        shown = df.select(F.lit(name).alias("name"), F.lit(side).alias("side"), F.col(column).alias("key"))
+        return shown.sample(sample, seed=7).filter(F.col("key").isNotNull())
+
+    seen = [keys(n, i, *side) for n, sides in joins.items() for i, side in enumerate(sides)]
+    places = range(max(len(sides) for sides in joins.values()))
     counts = (
-        reduce(DataFrame.unionByName, keys)
-        .filter(F.col("key").isNotNull())
+        reduce(DataFrame.unionByName, seen)
         .groupBy("name", "key")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > task_rows * sample)
-        .orderBy(F.desc("rows"), "name", "key")
-        .limit(MAX_KEYS)
+        .agg(*[F.count_if(F.col("side") == i).alias(f"n{i}") for i in places])
     )
-    found: dict[str, dict[str, int]] = {name: {} for name in columns}
-    for name, key, rows in counts.collect():
-        wanted = rows / sample / task_rows
-        found[name][key] = next((n for n in PARTS if n >= wanted), PARTS[-1])
-    return {name: _by_parts(parts) for name, parts in found.items()}
+
+    def estimate(count: Column) -> Column:
+        """Rows of a side; a key that is not surely more than one row is one."""
+        return F.when(count >= sure, count / sample).otherwise(F.lit(1.0))
+
+    right = [estimate(F.col(f"n{i}")) for i in places[1:]]
+    rows = (
+        counts.withColumn("left_rows", F.col("n0") / sample)
+        .withColumn("right_rows", reduce(mul, right, F.lit(1.0)))
+        .withColumn("work", F.col("left_rows") * F.col("right_rows"))
+        .withColumn("seen", sum((F.col(f"n{i}") for i in places[1:]), F.col("n0")))
+    )
+    totals = rows.groupBy(F.col("name").alias("of")).agg(F.sum("work").alias("total"))
+    # One row per join.
+    hot = rows.join(F.broadcast(totals), F.col("name") == F.col("of")).filter(
+        (F.col("work") * partitions > F.col("total")) & (F.col("seen") >= sure)
+    )
+    factor = F.ceil(F.col("work") * partitions / F.col("total"))
+    found: dict[str, tuple[dict, dict]] = {name: ({}, {}) for name in joins}
+    chosen = hot.select("name", "key", factor, "left_rows", "right_rows")
+    for name, key, wanted, left_rows, right_rows in chosen.collect():
+        lefts, rights = divide(int(wanted), left_rows, max(right_rows, 1.0))
+        for parts, n in zip(found[name], (lefts, rights), strict=True):
+            if n > 1:
+                parts[key] = n
+    return {name: Hot(Parts(left), Parts(right)) for name, (left, right) in found.items()}
+
+
+def divide(wanted: int, left_rows: float, right_rows: float) -> tuple[int, int]:
+    """Parts of both sides whose product is at least ``wanted``, about equal in rows."""
+    left = min(wanted, max(1, round((wanted * left_rows / right_rows) ** 0.5)))
+    return left, -(-wanted // left)
 
 
 def row_part(df: DataFrame, parts: Column) -> Column:
     """A part below ``parts`` for every row, the same whenever a task is run again.
 
     It depends on the row and on its partition, not on the order of rows, which
-    may change with a retry. The partition tells copies of one row apart.
+    may change with a retry. The partition tells copies of one row apart. All columns
+    are hashed, so callers select the ones they need first.
     """
     row = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
     return F.pmod(row, parts.cast("bigint")).cast("int")
@@ -95,8 +138,3 @@ def row_part(df: DataFrame, parts: Column) -> Column:
 def all_parts(parts: Column) -> Column:
     """One row for each part."""
     return F.explode(F.sequence(F.lit(0), parts - 1))
-
-
-def _by_parts(parts: Mapping[str, int]) -> HotKeys:
-    grouped = {n: tuple(sorted(k for k, p in parts.items() if p == n)) for n in PARTS}
-    return HotKeys({n: keys for n, keys in grouped.items() if keys})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,8 @@ from quillstat.functions.calendar import time_text
 from quillstat.operators.joins import Ids, fan_out, lookup, restrict_to
 from quillstat.operators.ranking import first_by, not_first
 from quillstat.operators.rows import days
-from quillstat.operators.skew import find_hot
-from quillstat.schemas import PRODUCTS, PROFILE, align
+from quillstat.operators.skew import NO_HOT, NONE, Hot, Sides
+from quillstat.schemas import PRODUCTS, PROFILE, align, struct
 
 
 def date_dimension(spark: SparkSession, first: str = FIRST_DAY, last: str = LAST_DAY) -> DataFrame:
@@ -64,6 +66,17 @@ def profile_dimension(
     return align(wide, PROFILE).distinct()
 
 
+def profile_check(profiles: DataFrame) -> DataFrame:
+    """Rows, profiles, and profiles that the dimension lists more than once."""
+    copies = profiles.groupBy("profile_id").agg(F.count(F.lit(1)).alias("copies"))
+    checked = copies.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("number_row"),
+        F.count(F.lit(1)).alias("number_profile"),
+        F.count_if(F.col("copies") > 1).alias("number_repeated"),
+    )
+    return align(checked, PRODUCTS["profile_check"])
+
+
 def _prefixed(stats: DataFrame, key: str) -> DataFrame:
     """``total_posts`` becomes ``profile_posts`` and so on."""
     totals = [c for c in stats.columns if c.startswith("total_")]
@@ -73,11 +86,12 @@ def _prefixed(stats: DataFrame, key: str) -> DataFrame:
     )
 
 
-def handle_history(
+def handle_rows(
     ownership: DataFrame,
     handles: DataFrame,
     records: DataFrame,
     profiles: Ids | None = HISTORY_PROFILES,
+    hot: Mapping[str, Hot] = NO_HOT,
 ) -> DataFrame:
     """Owners a profile had, the handles and profiles of these wallets, and
     whether the row is a later one of its profile or of its handle.
@@ -86,55 +100,64 @@ def handle_history(
     names follow the source system: ``profile_changed_flag`` numbers the rows of a
     profile, ``address_changed_flag`` those of a handle. A missing handle counts
     as one handle. A wallet may own many handles and many profiles; all
-    combinations are kept.
+    combinations are kept. Handles meet profiles first, as both are few per wallet;
+    owners then meet the pairs, so the long rows are made in one join.
     """
-    chosen = restrict_to(ownership, profiles, "profile_id")
-    hot = find_hot(
-        {
-            "owners": (chosen, "owned_by"),
-            "handles": (handles, "owned_by"),
-            "records": (records, "owned_by"),
-        }
-    )
     owners = (
-        chosen.groupBy("profile_id", F.col("owned_by").alias("ownership_owner"))
+        restrict_to(ownership, profiles, "profile_id")
+        .groupBy("profile_id", F.col("owned_by").alias("ownership_owner"))
         .agg(F.max("block_timestamp").alias("block_timestamp"))
     )
-    named = fan_out(
-        owners,
-        handles.select(
+    held = fan_out(
+        handles.filter(F.col("owned_by").isNotNull()).select(
             F.col("owned_by").alias("handle_owner"),
             "handle",
             F.col("block_timestamp").alias("handle_time"),
         ),
-        "ownership_owner",
-        "handle_owner",
-        hot["owners"],
-        hot["handles"],
-    )
-    owned = fan_out(
-        named,
         records.select(
             F.col("owned_by").alias("record_owner"), F.col("profile_id").alias("profile_record_id")
         ),
         "handle_owner",
         "record_owner",
-        hot["owners"] | hot["handles"],
-        hot["records"],
+        hot.get("handles", NONE),
+    )
+    owned = fan_out(
+        owners,
+        held,
+        "ownership_owner",
+        "handle_owner",
+        hot.get("owners", NONE),
+        keys=handles.select("owned_by"),
         null_keys=True,
     )
-    by_time = [
-        F.col(c).asc_nulls_first()
-        for c in (
-            "block_timestamp",
-            "profile_id",
-            "ownership_owner",
-            "handle",
-            "handle_time",
-            "profile_record_id",
-        )
-    ]
-    flagged = not_first(owned, "profile_changed_flag", "profile_id", by_time)
-    flagged = not_first(flagged, "address_changed_flag", "handle", by_time)
-    ordered = flagged.orderBy("profile_id", "handle", F.desc("handle_time"))
-    return align(ordered, PRODUCTS["handle_history"])
+    by_time = (
+        "block_timestamp",
+        "profile_id",
+        "ownership_owner",
+        "handle",
+        "handle_time",
+        "profile_record_id",
+    )
+    flags = {"profile_changed_flag": "profile_id", "address_changed_flag": "handle"}
+    return not_first(owned, flags, by_time)
+
+
+def handle_history(*args, **kwargs) -> DataFrame:
+    """The rows of ``handle_rows`` as a product. A stored table has no order."""
+    return align(handle_rows(*args, **kwargs), PRODUCTS["handle_history"])
+
+
+def sorted_history(*args, **kwargs) -> DataFrame:
+    """The rows of ``handle_rows`` and their ``handle_time`` in reading order."""
+    rows = handle_rows(*args, **kwargs)
+    columns = [*struct(PRODUCTS["handle_history"]).names, "handle_time"]
+    ordered = rows.orderBy("profile_id", "handle", F.desc("handle_time"))
+    return ordered.select(*columns)
+
+
+def history_joins(ownership: DataFrame, handles: DataFrame, records: DataFrame) -> dict[str, Sides]:
+    """The history's joins in which a wallet may be hot."""
+    return {
+        "handles": [(handles, "owned_by"), (records, "owned_by")],
+        "owners": [(ownership, "owned_by"), (handles, "owned_by"), (records, "owned_by")],
+    }

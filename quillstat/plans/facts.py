@@ -5,8 +5,8 @@ the creators' publications are selected first and the big tables meet just these
 filtering the finished log would shuffle every table in full, because the creator
 is known only after a left join.
 
-Publications with very many interactions are looked for first (``hot``) and their
-rows divided in the joins; a caller that builds several branches looks once.
+Building a product starts no job. A caller that expects publications with very many
+interactions measures them first (``log_joins`` with ``find_hot``) and passes them on.
 """
 
 from __future__ import annotations
@@ -21,19 +21,12 @@ from quillstat.fixed_values import CURRENCIES, Currency
 from quillstat.functions.calendar import from_micros, month_start, time_text
 from quillstat.functions.labels import paid_or_free
 from quillstat.functions.money import raw_amount, usd
-from quillstat.operators.joins import (
-    Ids,
-    broadcast_small,
-    fan_out,
-    lookup,
-    pair,
-    restrict_to,
-)
+from quillstat.operators.joins import Ids, fan_out, lookup, pair, restrict_to
 from quillstat.operators.rows import union_as
-from quillstat.operators.skew import HotKeys, find_hot
+from quillstat.operators.skew import NO_HOT, NONE, Hot, Sides
 from quillstat.plans.stage import (
     collect_ledger,
-    ledger_keys,
+    ledger_joins,
     revenue_v1_from_raw,
     revenue_v2,
     with_rate,
@@ -104,9 +97,7 @@ def publications_of(
 ) -> DataFrame:
     """Publication fact from the raw tables, of all profiles or of ``creators``."""
     records = restrict_to(sources.publication_record, creators, "profile_id")
-    ids = None
-    if creators is not None:
-        ids = broadcast_small({"ids": records.select("publication_id")})["ids"]
+    ids = None if creators is None else records.select("publication_id")
 
     def of(table: DataFrame, key: str = "publication_id") -> DataFrame:
         return restrict_to(table, ids, key)
@@ -155,14 +146,12 @@ def derivatives(
     metadata: DataFrame,
     owners: DataFrame,
     only_owned: bool = False,
-    hot: HotKeys | None = None,
+    hot: Hot = NONE,
 ) -> DataFrame:
     """Comments, mirrors and quotes, seen from the parent publication.
 
     A child whose parent is missing keeps its row without publication and profile.
     """
-    if hot is None:
-        hot = find_hot({"parents": (records, "parent_publication_id")})["parents"]
     children = _children(records)
     owned = _owned(children, owners, "parent_id", only_owned, hot)
     spoken = lookup(owned, _languages(metadata), "interaction_publication_id", "metadata_id")
@@ -185,38 +174,35 @@ def collects_v2(
     modules: DataFrame,
     revenue: DataFrame,
     only_owned: bool = False,
-    hot: Mapping[str, HotKeys] | None = None,
+    hot: Mapping[str, Hot] = NO_HOT,
 ) -> DataFrame:
     """Acted records with the listed price of the publication.
 
     As in the source system a record appears once per module and revenue currency
     of its publication, and an act that is no collect keeps its row, without a
-    type.
+    type. Modules and revenue are looked up independently: a publication may be in
+    one table and not in the other, where the revenue was staged earlier.
     """
-    if hot is None:
-        hot = find_hot(
-            {"acted": (acted, "publication_id"), "modules": (modules, "publication_id")}
-        )
-    terms = pair(
-        modules.select(
-            F.col("publication_id").alias("terms_id"),
-            F.coalesce(raw_amount(F.col("amount")), F.lit(0)).alias("price"),
-        ),
-        revenue.select(F.col("publication_id").alias("revenue_id"), "amount_USD"),
-        "terms_id",
-        "revenue_id",
-        hot["modules"],
+    prices = modules.select(
+        F.col("publication_id").alias("terms_id"),
+        F.coalesce(raw_amount(F.col("amount")), F.lit(0)).alias("price"),
     )
     priced = fan_out(
-        _owned(acted, owners, "publication_id", only_owned, hot["acted"]),
-        terms.drop("revenue_id"),
+        _owned(acted, owners, "publication_id", only_owned, hot.get("acted", NONE)),
+        prices,
         "publication_id",
         "terms_id",
-        hot["acted"],
-        hot["modules"],
+        hot.get("modules", NONE),
         keys=modules.select("publication_id"),
     )
-    return priced.select(
+    valued = lookup(
+        priced,
+        revenue.select(F.col("publication_id").alias("revenue_id"), "amount_USD"),
+        "publication_id",
+        "revenue_id",
+        hot.get("modules", NONE),
+    )
+    return valued.select(
         "publication_id",
         "profile_id",
         *_when("block_timestamp"),
@@ -250,10 +236,8 @@ def collects_v1(ledger: DataFrame, currencies: Sequence[Currency] = CURRENCIES)
 
 
 def reactions(
-    reacted: DataFrame, owners: DataFrame, only_owned: bool = False, hot: HotKeys | None = None
+    reacted: DataFrame, owners: DataFrame, only_owned: bool = False, hot: Hot = NONE
 ) -> DataFrame:
-    if hot is None:
-        hot = find_hot({"reacted": (reacted, "publication_id")})["reacted"]
     return _owned(reacted, owners, "publication_id", only_owned, hot).select(
         "publication_id",
         "profile_id",
@@ -268,27 +252,30 @@ def reactions(
 
 
 def mentions(
-    mentioned: DataFrame, records: DataFrame, metadata: DataFrame, hot: HotKeys | None = None
+    mentioned: DataFrame, records: DataFrame, metadata: DataFrame, hot: Hot = NONE
 ) -> DataFrame:
     """Mentions, seen from the mentioned profile.
 
-    The language is that of the mentioning publication, if that is found.
+    The language is that of the mentioning publication, if that is found. Authors
+    meet their languages first, so the mentions are looked up once.
     """
-    if hot is None:
-        hot = find_hot({"mentioned": (mentioned, "publication_id")})["mentioned"]
-    authored = lookup(
-        mentioned.withColumnRenamed("publication_id", "mention_id"),
+    authors = lookup(
         records.select(
             F.col("publication_id").alias("author_id"),
             F.col("profile_id").alias("interaction_profile_id"),
             F.col("app").alias("interaction_app"),
         ),
-        "mention_id",
+        _languages(metadata),
         "author_id",
-        hot,
+        "metadata_id",
     )
     spoken = lookup(
-        authored, _languages(metadata), "author_id", "metadata_id", hot, null_keys=True
+        mentioned.withColumnRenamed("publication_id", "mention_id"),
+        authors,
+        "mention_id",
+        "author_id",
+        hot,
+        null_keys=True,
     )
     return spoken.select(
         _null("publication_id"),
@@ -317,24 +304,13 @@ def interactions_of(
     currencies: Sequence[Currency] = CURRENCIES,
     ledger: DataFrame | None = None,
     revenue: DataFrame | None = None,
+    hot: Mapping[str, Hot] = NO_HOT,
 ) -> DataFrame:
     """Interaction log from the raw tables, of all profiles or of ``creators``.
 
     ``ledger`` and ``revenue`` are used where already written, otherwise built.
     """
     scope = _everything(sources) if creators is None else _of_creators(sources, creators)
-    # Keys are counted on the raw tables: cheaper than on the creators' part of them,
-    # and a key that does not occur there does no harm.
-    columns = {
-        "parents": (sources.publication_record, "parent_publication_id"),
-        "acted": (sources.acted_record, "publication_id"),
-        "modules": (sources.action_module, "publication_id"),
-        "reacted": (sources.reaction, "publication_id"),
-        "mentioned": (sources.mention, "publication_id"),
-    }
-    if ledger is None:
-        columns |= ledger_keys(sources.collect_module_v1, sources.collect_record_v1)
-    hot = find_hot(columns)
     if ledger is None:
         built = collect_ledger(
             scope.posts,
@@ -353,26 +329,49 @@ def interactions_of(
         [
             follows(scope.followers),
             derivatives(
-                scope.records, scope.metadata_of_children, scope.owners, only_owned, hot["parents"]
+                scope.records,
+                scope.metadata_of_children,
+                scope.owners,
+                only_owned,
+                hot.get("parents", NONE),
             ),
             collects_v2(
                 sources.acted_record, scope.owners, scope.modules, revenue, only_owned, hot
             ),
             collects_v1(restrict_to(ledger, creators, "profile_id"), currencies),
-            reactions(sources.reaction, scope.owners, only_owned, hot["reacted"]),
-            mentions(scope.mentioned, scope.authors, scope.metadata_of_authors, hot["mentioned"]),
+            reactions(sources.reaction, scope.owners, only_owned, hot.get("reacted", NONE)),
+            mentions(
+                scope.mentioned,
+                scope.authors,
+                scope.metadata_of_authors,
+                hot.get("mentioned", NONE),
+            ),
         ]
     )
 
 
+def log_joins(sources: Sources) -> dict[str, Sides]:
+    """The joins of the log, and of the ledger, in which a publication may be hot."""
+    acted = (sources.acted_record, "publication_id")
+    return {
+        "parents": [(sources.publication_record, "parent_publication_id")],
+        "acted": [acted],
+        "modules": [acted, (sources.action_module, "publication_id")],
+        "reacted": [(sources.reaction, "publication_id")],
+        "mentioned": [(sources.mention, "publication_id")],
+        **ledger_joins(sources.post_v1, sources.collect_module_v1, sources.collect_record_v1),
+    }
+
+
 def ledger_of(
-    sources: Sources, creators: Ids | None = None, currencies: Sequence[Currency] = CURRENCIES
+    sources: Sources,
+    creators: Ids | None = None,
+    currencies: Sequence[Currency] = CURRENCIES,
+    hot: Mapping[str, Hot] = NO_HOT,
 ) -> DataFrame:
     """First-generation ledger from the raw tables, of all profiles or of ``creators``."""
     posts = restrict_to(sources.post_v1, creators, "profile_id")
-    ids = None
-    if creators is not None:
-        ids = broadcast_small({"ids": posts.select("post_id")})["ids"]
+    ids = None if creators is None else posts.select("post_id")
     return collect_ledger(
         posts,
         restrict_to(sources.collect_module_v1, ids, "publication_id"),
@@ -380,7 +379,7 @@ def ledger_of(
         sources.profile_v1,
         sources.profile_stats_v1,
         currencies,
-        find_hot(ledger_keys(sources.collect_module_v1, sources.collect_record_v1)),
+        hot,
     )
 
 
@@ -404,36 +403,30 @@ def _everything(sources: Sources) -> SimpleNamespace:
 def _of_creators(sources: Sources, creators: Ids) -> SimpleNamespace:
     """The parts of the tables that the creators' interactions are made from.
 
-    Large tables are cut by semi joins with the ids that occur, which need no
-    shuffle while these ids are small enough to broadcast.
+    Large tables are cut by semi joins with the ids that occur; whether these are
+    broadcast is left to Spark, which knows their size once they are computed.
     """
     records, metadata = sources.publication_record, sources.publication_metadata
     mentioned = restrict_to(sources.mention, creators, "profile_id")
     posts = restrict_to(sources.post_v1, creators, "profile_id")
-    keys = broadcast_small(
-        {
-            "owners": owners_of(records, creators),
-            "mentions": mentioned.select("publication_id").distinct(),
-            "posts": posts.select("post_id"),
-        }
-    )
+    owners = owners_of(records, creators)
+    mentions = mentioned.select("publication_id")
+    posts_ids = posts.select("post_id")
     children = _children(records).join(
-        keys["owners"], F.col("parent_id") == F.col("owned_id"), "left_semi"
-    )
-    children_ids = children.select("interaction_publication_id")
-    keys.update(broadcast_small({"children": children_ids}))
+        owners, F.col("parent_id") == F.col("owned_id"), "left_semi"
+    ).select("interaction_publication_id")
     return SimpleNamespace(
         records=records,
-        owners=keys["owners"],
+        owners=owners,
         followers=restrict_to(sources.follower, creators, "profile_id"),
         mentioned=mentioned,
-        authors=restrict_to(records, keys["mentions"], "publication_id"),
-        metadata_of_authors=restrict_to(metadata, keys["mentions"], "publication_id"),
-        metadata_of_children=restrict_to(metadata, keys["children"], "publication_id"),
-        modules=restrict_to(sources.action_module, keys["owners"], "publication_id"),
+        authors=restrict_to(records, mentions, "publication_id"),
+        metadata_of_authors=restrict_to(metadata, mentions, "publication_id"),
+        metadata_of_children=restrict_to(metadata, children, "publication_id"),
+        modules=restrict_to(sources.action_module, owners, "publication_id"),
         posts=posts,
-        modules_v1=restrict_to(sources.collect_module_v1, keys["posts"], "publication_id"),
-        records_v1=restrict_to(sources.collect_record_v1, keys["posts"], "publication_id"),
+        modules_v1=restrict_to(sources.collect_module_v1, posts_ids, "publication_id"),
+        records_v1=restrict_to(sources.collect_record_v1, posts_ids, "publication_id"),
     )
 
 
@@ -449,7 +442,7 @@ def _children(records: DataFrame) -> DataFrame:
 
 
 def _owned(
-    rows: DataFrame, owners: DataFrame, key: str, only_owned: bool, hot: HotKeys
+    rows: DataFrame, owners: DataFrame, key: str, only_owned: bool, hot: Hot
 ) -> DataFrame:
     """Add the owner; ``only_owned`` drops rows whose publication is not there."""
     if only_owned:

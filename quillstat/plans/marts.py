@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from quillstat.functions.calendar import hour_of, month_start, weekday_label, year_month
 from quillstat.functions.labels import engagement_points, value_tier
-from quillstat.operators.joins import BROADCAST_BYTES, Ids, lookup, restrict_to, sizes
-from quillstat.operators.skew import find_hot
+from quillstat.operators.joins import Ids, lookup, restrict_to
+from quillstat.operators.skew import NONE, Hot
 from quillstat.schemas import PRODUCTS, align
 
 
@@ -92,19 +92,25 @@ def interaction_weekday_hour(interactions: DataFrame) -> DataFrame:
     return align(labelled, PRODUCTS["L3_interaction_weekday_hour"])
 
 
-def interactions_by_age(interactions: DataFrame, publications: DataFrame) -> DataFrame:
+def interactions_by_age(
+    interactions: DataFrame, publications: DataFrame, hot: Hot = NONE
+) -> DataFrame:
     """Interactions by days since the publication appeared.
 
-    Follows and mentions have no publication, hence no age.
+    Follows and mentions have no publication, hence no age, and meet no date.
     """
     dates = publications.select(
         F.col("publication_id").alias("dated_id"), "publication_date"
     ).distinct()
-    if sizes({"dates": dates})["dates"] <= BROADCAST_BYTES:
-        dated = lookup(interactions, F.broadcast(dates), "publication_id", "dated_id")
-    else:
-        hot = find_hot({"interactions": (interactions, "publication_id")})["interactions"]
-        dated = lookup(interactions, dates, "publication_id", "dated_id", hot, null_keys=True)
+    needed = interactions.select(
+        "profile_id",
+        "publication_id",
+        "interaction_type",
+        "interaction_date",
+        "interaction_profile_id",
+        "amount_USD",
+    )
+    dated = lookup(needed, dates, "publication_id", "dated_id", hot, null_keys=True)
     age = F.datediff("interaction_date", "publication_date").alias("day_since_creation")
     rollup = dated.groupBy("profile_id", "publication_id", "interaction_type", age).agg(
         *_measures()

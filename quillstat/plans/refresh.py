@@ -11,11 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from quillstat.fixed_values import ALLOWLIST, CURRENCIES, HISTORY_PROFILES, Currency
+from quillstat.functions.money import split_amounts
 from quillstat.operators.joins import Ids
+from quillstat.operators.skew import NONE, find_hot
 from quillstat.plans import dimensions, facts, marts, stage
 from quillstat.schemas import PRODUCTS, check
 from quillstat.sources.sinks import export_times, write_files
-from quillstat.sources.tables import Sources, read_product
+from quillstat.sources.tables import Sources, read_product, with_tables
 
 # Products partitioned by month, with their month column.
 MONTHS = {
@@ -30,11 +32,15 @@ def refresh(
     spark: SparkSession,
     sources: Sources,
     root: str,
-    creators: Sequence[str] = ALLOWLIST,
+    creators: Ids = ALLOWLIST,
     currencies: Sequence[Currency] = CURRENCIES,
     history: Ids | None = HISTORY_PROFILES,
 ) -> dict[str, DataFrame]:
-    """Write all products below ``root``, a new directory, and return them as read back."""
+    """Write all products below ``root``, a new directory, and return them as read back.
+
+    Amounts no decimal can hold are set aside in a product of their own first, so one
+    bad row stops nothing. Hot keys are measured once for all joins.
+    """
     done: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -42,11 +48,24 @@ def refresh(
         done[name] = read_product(spark, path, name)
         return done[name]
 
-    put("md_allowlist", stage.allowlist(spark, creators))
+    split = {n: split_amounts(getattr(sources, n)) for n in ("action_module", "collect_module_v1")}
+    put("quarantined_amount", stage.quarantined({n: bad for n, (_, bad) in split.items()}))
+    sources = with_tables(sources, **{n: good for n, (good, _) in split.items()})
+    hot = find_hot(
+        {
+            **facts.log_joins(sources),
+            **dimensions.history_joins(
+                sources.ownership_history, sources.handle_history, sources.profile_record
+            ),
+        }
+    )
+
+    listed = put("md_allowlist", stage.allowlist_of(spark, creators))
     put("stage_currency_exchange", stage.exchange_rates(spark, currencies))
     put("L2_date", dimensions.date_dimension(spark))
 
-    ledger = put("publication_collect", facts.ledger_of(sources, currencies=currencies))
+    put("currency_check", stage.currency_check(sources.action_module, currencies))
+    ledger = put("publication_collect", facts.ledger_of(sources, None, currencies, hot))
     hop = put("stage_v1_publication_collect", export_times(ledger))
     revenue = put(
         "stage_v2_publication_collect", stage.revenue_v2(sources.action_module, currencies)
@@ -62,10 +81,11 @@ def refresh(
             sources.profile_quality,
         ),
     )
+    put("profile_check", dimensions.profile_check(profiles))
     put(
         "handle_history",
         dimensions.handle_history(
-            sources.ownership_history, sources.handle_history, sources.profile_record, history
+            sources.ownership_history, sources.handle_history, sources.profile_record, history, hot
         ),
     )
     publications = put(
@@ -80,16 +100,16 @@ def refresh(
     )
     log = put(
         "L2_interaction",
-        facts.interactions_of(sources, None, currencies, ledger=hop, revenue=revenue),
+        facts.interactions_of(sources, None, currencies, hop, revenue, hot),
     )
 
-    publications = put("L3_publication", marts.of_creators(publications, creators))
-    interactions = put("L3_interaction", marts.of_creators(log, creators))
+    publications = put("L3_publication", marts.of_creators(publications, listed))
+    interactions = put("L3_interaction", marts.of_creators(log, listed))
     profiles = put("L3_profile", marts.profile_mart(profiles))
 
     put("L3_interaction_year_month", marts.interactions_by_month(interactions))
     put("L3_publication_year_month", marts.publications_by_month(publications))
     put("L3_user_analysis", marts.user_analysis(interactions, profiles))
     put("L3_interaction_weekday_hour", marts.interaction_weekday_hour(interactions))
-    put("L3_publication_analysis", marts.interactions_by_age(interactions, publications))
+    put("L3_publication_analysis", marts.interactions_by_age(interactions, publications, hot.get("acted", NONE)))
     return done

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstat.fixed_values import ALLOWLIST, CURRENCIES, Currency
-from quillstat.functions.money import currency_label, token_amount, usd
-from quillstat.operators.joins import fan_out, lookup
+from quillstat.functions.money import currency_label, exact_sum, token_amount, usd
+from quillstat.operators.joins import Ids, fan_out, lookup
 from quillstat.operators.ranking import first_by
-from quillstat.operators.rows import literal_table
-from quillstat.operators.skew import NONE, HotKeys, find_hot
+from quillstat.operators.rows import literal_table, union_as
+from quillstat.operators.skew import NO_HOT, NONE, Hot, Sides
 from quillstat.schemas import COLLECT_LEDGER, PRODUCTS, align
 
 
@@ -20,6 +20,13 @@ def allowlist(spark: SparkSession, ids: Sequence[str] = ALLOWLIST) -> DataFrame:
     return literal_table(spark, {"profile_id": list(ids)}, PRODUCTS["md_allowlist"])
 
 
+def allowlist_of(spark: SparkSession, creators: Ids) -> DataFrame:
+    """The allowlist from a list of ids, or from the first column of a table."""
+    if not isinstance(creators, DataFrame):
+        return allowlist(spark, creators)
+    return align(creators.toDF("profile_id", *creators.columns[1:]), PRODUCTS["md_allowlist"])
+
+
 def exchange_rates(
     spark: SparkSession, currencies: Sequence[Currency] = CURRENCIES
 ) -> DataFrame:
@@ -44,6 +51,24 @@ def with_rate(df: DataFrame, currencies: Sequence[Currency] = CURRENCIES) -> Dat
     return joined.drop("rate_label")
 
 
+def currency_check(
+    modules: DataFrame, currencies: Sequence[Currency] = CURRENCIES
+) -> DataFrame:
+    """The currencies in use; those without a known rate are valued one to one."""
+    label = currency_label(F.col("currency"), currencies).alias("currency")
+    used = modules.groupBy(label).agg(F.count(F.lit(1)).alias("modules"))
+    checked = with_rate(used, currencies).withColumn("rate_known", F.col("rate").isNotNull())
+    return align(checked, PRODUCTS["currency_check"])
+
+
+def quarantined(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows set aside from tables with amounts, with the name of their table."""
+    return union_as(
+        [df.withColumn("raw_table", F.lit(name)) for name, df in tables.items()],
+        PRODUCTS["quarantined_amount"],
+    )
+
+
 def revenue_v2(modules: DataFrame, currencies: Sequence[Currency] = CURRENCIES) -> DataFrame:
     """Revenue per publication and currency, scaled per row before summing."""
     revenue = (
@@ -53,7 +78,7 @@ def revenue_v2(modules: DataFrame, currencies: Sequence[Currency] = CURRENCIES)
             token_amount(F.col("currency"), F.col("amount"), currencies).alias("amount"),
         )
         .groupBy("publication_id", "currency")
-        .agg(F.sum("amount").alias("amount"))
+        .agg(exact_sum(F.col("amount")).alias("amount"))
     )
     priced = with_rate(revenue, currencies).withColumn(
         "amount_USD", usd(F.col("amount"), F.col("rate"))
@@ -81,7 +106,7 @@ def priced_posts(
     posts: DataFrame,
     modules: DataFrame,
     currencies: Sequence[Currency] = CURRENCIES,
-    hot_modules: HotKeys = NONE,
+    hot: Hot = NONE,
 ) -> DataFrame:
     """Posts by their collect modules; a post without a module stays."""
     terms = modules.select(
@@ -93,7 +118,7 @@ def priced_posts(
     dated = posts.select(
         "profile_id", "post_id", F.col("block_timestamp").alias("publication_date")
     )
-    priced = fan_out(dated, terms, "post_id", "module_id", hot_right=hot_modules)
+    priced = fan_out(dated, terms, "post_id", "module_id", hot)
     return priced.drop("module_id")
 
 
@@ -104,7 +129,7 @@ def collect_ledger(
     profiles: DataFrame,
     stats: DataFrame,
     currencies: Sequence[Currency] = CURRENCIES,
-    hot: Mapping[str, HotKeys] | None = None,
+    hot: Mapping[str, Hot] = NO_HOT,
 ) -> DataFrame:
     """First-generation collects: post, its modules, its collects, the collector.
 
@@ -113,8 +138,6 @@ def collect_ledger(
     The price is repeated on each collect and kept without any (as the source
     system has it), so revenue here is not bound to a collect.
     """
-    if hot is None:
-        hot = find_hot(ledger_keys(modules, records))
     wallets = top_profile_per_owner(profiles, stats).select(
         F.col("owned_by").alias("wallet"),
         F.col("profile_id").alias("profile_id_collected"),
@@ -130,7 +153,7 @@ def collect_ledger(
         wallets,
         "collector",
         "wallet",
-        hot["ledger_wallets"],
+        hot.get("ledger_wallets", NONE),
         null_keys=True,
     ).select(
         "record_id",
@@ -140,29 +163,28 @@ def collect_ledger(
         "referral_id",
     )
     ledger = fan_out(
-        priced_posts(posts, modules, currencies, hot["ledger_modules"]),
+        priced_posts(posts, modules, currencies, hot.get("ledger_posts", NONE)),
         collects,
         "post_id",
         "record_id",
-        hot["ledger_modules"],
-        hot["ledger_records"],
+        hot.get("ledger_modules", NONE),
         keys=records.select("publication_id"),
     )
     return align(ledger, COLLECT_LEDGER)
 
 
-def ledger_keys(modules: DataFrame, records: DataFrame) -> dict[str, tuple[DataFrame, str]]:
-    """The columns of the ledger's inputs in which a value may be hot."""
+def ledger_joins(posts: DataFrame, modules: DataFrame, records: DataFrame) -> dict[str, Sides]:
+    """The ledger's joins in which a key may be hot."""
     return {
-        "ledger_modules": (modules, "publication_id"),
-        "ledger_records": (records, "publication_id"),
-        "ledger_wallets": (records, "collected_by"),
+        "ledger_posts": [(posts, "post_id"), (modules, "publication_id")],
+        "ledger_modules": [(modules, "publication_id"), (records, "publication_id")],
+        "ledger_wallets": [(records, "collected_by")],
     }
 
 
 def revenue_v1(ledger: DataFrame) -> DataFrame:
     """Ledger amounts per post and currency."""
-    return ledger.groupBy("post_id", "currency").agg(F.sum("amount").alias("amount"))
+    return ledger.groupBy("post_id", "currency").agg(exact_sum(F.col("amount")).alias("amount"))
 
 
 def revenue_v1_from_raw(
@@ -184,7 +206,7 @@ def revenue_v1_from_raw(
             token_amount(F.col("currency"), F.col("amount"), currencies).alias("price"),
         )
         .groupBy("module_id", "currency")
-        .agg(F.sum("price").alias("price"))
+        .agg(exact_sum(F.col("price")).alias("price"))
     )
     collects = records.groupBy(F.col("publication_id").alias("record_id")).agg(
         F.count(F.lit(1)).alias("collects")

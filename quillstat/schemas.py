@@ -125,6 +125,14 @@ PRODUCTS = {
     "stage_v2_publication_collect": (
         f"publication_id string, currency string, amount {MONEY}, amount_USD {USD}"
     ),
+    # Products of our own: what was set aside, and checks of what was built.
+    "quarantined_amount": (
+        "raw_table string, publication_id string, currency string, amount string"
+    ),
+    "currency_check": (
+        "currency string, modules bigint, rate decimal(18,6), rate_known boolean"
+    ),
+    "profile_check": "number_row bigint, number_profile bigint, number_repeated bigint",
     "L2_date": "date date",
     "L2_profile": PROFILE,
     "L2_publication": PUBLICATION,

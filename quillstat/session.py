@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,14 +48,12 @@ def build_session(cores: int | str = "*", app: str = "quillstat", **extra: str)
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A new directory for one run, under the shared folder the session names.
+    """A new directory for one run, in a folder that driver and executors share.
 
-    A machine-local folder is used only in local mode with nothing configured.
+    That is ``spark.checkpoint.dir``, or the warehouse where it is unset. The caller
+    may delete the directory when its run is over; nothing else uses it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = os.path.join(tempfile.gettempdir(), "quillstat")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

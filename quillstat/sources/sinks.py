@@ -18,9 +18,14 @@ def write_files(df: DataFrame, path: str, month: str | None = None) -> str:
     return path
 
 
-def replace_table(df: DataFrame, name: str, month: str | None = None) -> None:
-    """Create or replace a catalog table."""
-    _writer(df, month).mode("overwrite").format("parquet").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str, month: str | None = None) -> None:
+    """Create or replace a catalog table, as a view of files in a new directory.
+
+    The name points to the old files until all new ones are written, so readers see
+    either table whole. ``name`` and ``path`` are the caller's own, not user input.
+    """
+    write_files(df, path, month)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
 
 
 def _writer(df: DataFrame, month: str | None):

@@ -31,6 +31,12 @@ class Sources:
         return table
 
 
+def with_tables(sources: Sources, **tables: DataFrame) -> Sources:
+    """The same raw tables, but for the ones given."""
+    readers = {n: (lambda n=n: getattr(sources, n)) for n in RAW}
+    return Sources(readers | {n: (lambda df=df: df) for n, df in tables.items()})
+
+
 def from_parquet(spark: SparkSession, root: str) -> Sources:
     """Read ``<root>/<table>`` with declared schemas, so that nothing is inferred."""
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 from conftest import rows, ts
 
 from quillstat.fixed_values import CURRENCIES
-from quillstat.operators.skew import HotKeys
+from quillstat.operators.skew import Hot, Parts
 from quillstat.plans import dimensions, facts, stage
 from quillstat.schemas import INTERACTION, INTERACTION_LOG, PROFILE, PUBLICATION, check
 
@@ -120,7 +120,7 @@ def family(raw):
 def test_children_of_missing_parents_stay(raw):
     records = family(raw)
     metadata = raw("publication_metadata", {"publication_id": "c", "language": "en"})
-    for hot in (HotKeys(), HotKeys({16: ("p", "gone")})):
+    for hot in (Hot(), Hot(Parts({"p": 16, "gone": 16}))):
         got = facts.derivatives(records, metadata, facts.owners_of(records), hot=hot)
         chosen = rows(
             got,
@@ -178,7 +178,8 @@ def test_collect_rows_multiply_by_modules_and_currencies(raw):
         "interaction_type",
         "amount_USD",
     )
-    for hot in (HotKeys(), HotKeys({16: ("p", "c")})):
+    parts = Parts({"p": 16, "c": 16})
+    for hot in (Hot(), Hot(parts, parts)):
         got = facts.collects_v2(
             acted, facts.owners_of(records), modules, revenue, False, {"acted": hot, "modules": hot}
         )
@@ -187,6 +188,30 @@ def test_collect_rows_multiply_by_modules_and_currencies(raw):
     assert rows(owned, *columns) == [("c", "2", "5", "FREE COLLECT", None)]
 
 
+def test_modules_and_revenue_are_independent(raw):
+    """A publication may be in one of the two tables alone."""
+    records = family(raw)
+    acted = raw(
+        "acted_record",
+        {"publication_id": "p", "acted_profile_id": "5", "is_collect": True, "block_timestamp": TIME},
+    )
+    module = {"publication_id": "p", "currency": ADDRESS["DAI"], "amount": "5" + "0" * 18}
+    none, some = raw("action_module"), raw("action_module", module)
+    five = Decimal("5.000000")
+    for modules, staged, want in (
+        (some, none, ("PAID COLLECT", None)),
+        (none, some, ("FREE COLLECT", five)),
+        (some, some, ("PAID COLLECT", five)),
+        (none, none, ("FREE COLLECT", None)),
+    ):
+        for parts in (Parts(), Parts({"p": 4})):
+            hot = {"acted": Hot(parts), "modules": Hot(parts, parts)}
+            got = facts.collects_v2(
+                acted, facts.owners_of(records), modules, stage.revenue_v2(staged), False, hot
+            )
+            assert rows(got, "interaction_type", "amount_USD") == [want]
+
+
 def test_mention_takes_author_and_language_if_found(raw):
     got = facts.mentions(
         raw(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstat.functions.calendar import from_micros, time_text, to_micros, weekday_label
 from quillstat.plans import marts
+from quillstat.operators.skew import Hot, Parts
 from quillstat.schemas import INTERACTION_LOG, PRODUCTS, PROFILE, PUBLICATION, check, struct
 
 D17, D10 = dt.date(2024, 3, 17), dt.date(2024, 3, 10)
@@ -118,9 +119,8 @@ def test_monthly_and_hourly_rollups_count_everything_once(table):
     assert hour.agg(F.sum("number_interaction")).first()[0] == interactions.count()
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_age(table, monkeypatch, small):
-    monkeypatch.setattr(marts, "BROADCAST_BYTES", 1000 if small else -1)
+@pytest.mark.parametrize("hot", [Hot(), Hot(Parts({"p": 8}))])
+def test_age(table, hot):
     interactions = table(
         INTERACTION_LOG,
         act("COMMENT", publication="p"),
@@ -133,7 +133,7 @@ def test_age(table, monkeypatch, small):
         {"publication_id": "p", "publication_date": D10, "publication_currency": "DAI"},
         {"publication_id": "p", "publication_date": D10, "publication_currency": "NCT"},
     )
-    got = marts.interactions_by_age(interactions, publications)
+    got = marts.interactions_by_age(interactions, publications, hot)
     check(got, PRODUCTS["L3_publication_analysis"])
     assert rows(got) == sorted(
         [

@@ -34,7 +34,9 @@ def scaled(spark, *pairs):
         (USDC, "5000", "0.01"),
         (USDC, "4999", "0.00"),
         ("0xother", "7", "7.00"),
-        ("0xother", "1" + "0" * 30, "1" + "0" * 30 + ".00"),
+        ("0xother", "1" + "0" * 28, "1" + "0" * 28 + ".00"),
+        ("0xother", "1" + "0" * 31, "1" + "0" * 31 + ".00"),
+        ("0xother", "9" * 36, "9" * 36 + ".00"),
         (USDC.lower(), "5000", "5000.00"),  # another case is another currency
     ],
 )
@@ -80,6 +82,42 @@ def test_quarantine_keeps_every_row(spark, raw):
     assert rows(bad, "publication_id") == [("a",), ("b",)]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    ("digits", "usable", "valued"),
+    [(28, True, True), (30, True, True), (31, False, True), (32, False, False), (36, False, False),
+     (38, False, False)],
+)
+def test_range_of_amounts(spark, raw, ansi, digits, usable, valued):
+    """Up to the limit values are exact; beyond it the rows are set aside, and never NULL."""
+    modules = raw(
+        "action_module", {"publication_id": "p", "currency": "0xother", "amount": "1" + "0" * digits}
+    )
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good, bad = split_amounts(modules)
+        assert (good.count(), bad.count()) == ((1, 0) if usable else (0, 1))
+        if valued:
+            (row,) = revenue_v2(modules).collect()
+            assert row.amount == row.amount_USD == Decimal(10) ** digits
+        else:
+            with pytest.raises(PySparkException, match="amount out of range|out of range|overflow"):
+                revenue_v2(modules).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_sum_out_of_range_stops_the_job(spark, raw, ansi):
+    row = {"publication_id": "p", "currency": "0xother", "amount": "9" * 36}
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException, match="out of range|overflow"):
+            revenue_v2(raw("action_module", row, row, row)).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_labels(spark):
     df = spark.createDataFrame([(WETH,), (WETH.lower(),), (None,)], "a string")
     assert [r[0] for r in df.select(currency_label(F.col("a"))).collect()] == [

@@ -7,12 +7,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from quillstat.operators import joins, skew
+from quillstat.operators import skew
 from quillstat.operators.joins import fan_out, lookup, pair, restrict_to
 from quillstat.operators.ranking import first_by, not_first
-from quillstat.operators.skew import HotKeys
+from quillstat.operators.skew import Hot, Parts
 
-HOT = HotKeys({16: ("a",), 256: ("b",)})
+PARTS = Parts({"a": 16, "b": 256})
 
 
 @pytest.fixture
@@ -41,38 +41,78 @@ def brute(left, right, how):
     return out
 
 
-@pytest.mark.parametrize("hot", [skew.NONE, HOT])
+@pytest.mark.parametrize("hot", [skew.NONE, Hot(PARTS)])
 @pytest.mark.parametrize("null_keys", [False, True])
 def test_lookup_is_a_left_join(left, right, hot, null_keys):
     got = lookup(left, right, "k", "k2", hot, null_keys)
     assert Counter(map(tuple, got.collect())) == brute(left, right, "left")
 
 
-@pytest.mark.parametrize("hot_left", [skew.NONE, HOT])
-@pytest.mark.parametrize("hot_right", [skew.NONE, HOT])
+@pytest.mark.parametrize("hot_left", [Parts(), PARTS])
+@pytest.mark.parametrize("hot_right", [Parts(), PARTS])
 def test_pair_and_fan_out(left, right, hot_left, hot_right):
-    got = pair(left, right, "k", "k2", hot_left, hot_right)
+    hot = Hot(hot_left, hot_right)
+    got = pair(left, right, "k", "k2", hot)
     assert Counter(map(tuple, got.collect())) == brute(left, right, "inner")
-    got = fan_out(left, right, "k", "k2", hot_left, hot_right)
+    got = fan_out(left, right, "k", "k2", hot)
     assert Counter(map(tuple, got.collect())) == brute(left, right, "left")
-    got = fan_out(left, right, "k", "k2", hot_left, hot_right, right.select("k2"), True)
+    got = fan_out(left, right, "k", "k2", hot, right.select("k2"), True)
     assert Counter(map(tuple, got.collect())) == brute(left, right, "left")
 
 
-def test_hot_keys_are_found_and_divided(spark):
-    data = [("a",)] * 3000 + [("b",)] * 150 + [(str(i),) for i in range(500)] + [(None,)] * 999
+def test_hot_keys_are_a_share_of_the_rows(spark):
+    data = [("a",)] * 3000 + [("b",)] * 700 + [(str(i),) for i in range(500)] + [(None,)] * 999
     df = spark.createDataFrame(data, "k string")
-    found = skew.find_hot({"x": (df, "k"), "y": (df.filter("k <> 'a'"), "k")}, 1.0, 100)
-    assert found["x"].keys == {16: ("b",), 256: ("a",)}
-    assert found["y"].keys == {16: ("b",)}
-    merged = found["x"] | HotKeys({4096: ("b",), 16: ("a",)})
-    assert merged.keys == {256: ("a",), 4096: ("b",)}
-    parts = skew.row_part(df, found["x"].parts(F.col("k")))
+    found = skew.find_hot({"x": [(df, "k")], "y": [(df.filter("k <> 'a'"), "k")]}, 1.0, 2, 10)
+    assert found["x"].left.keys == {"a": 8, "b": 2}
+    assert found["y"].left.keys == {"b": 6}
+    assert not found["x"].right
+    parts = skew.row_part(df, found["x"].left.of(F.col("k")))
     used = df.withColumn("part", parts).groupBy("k").agg(F.count_distinct("part").alias("n"))
     # Equal rows are told apart by their partition.
     assert {r.k: r.n for r in used.collect()}["a"] >= 2
 
 
+def test_thousands_of_hot_keys_are_all_found(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("k"))
+    df = keys.crossJoin(spark.range(3)).select("k")
+    found = skew.find_hot({"x": [(df, "k")]}, 1.0, 2, 6000)["x"]
+    assert len(found.left.keys) == 5000 and set(found.left.keys.values()) == {2}
+
+
+def test_a_key_hot_in_the_product_alone(spark):
+    """A tenth of either side, but nearly all rows of the join."""
+    def side(name):
+        hot = spark.range(1000).select(F.lit("hot").alias(name), "id")
+        return hot.unionByName(spark.range(9000).select(F.concat(F.lit("c"), "id").alias(name), "id"))
+
+    left, right = side("l"), side("r").withColumnRenamed("id", "id2")
+    assert not skew.find_hot({"x": [(left, "l")]}, 1.0, 2, 8)["x"]
+    hot = skew.find_hot({"x": [(left, "l"), (right, "r")]}, 1.0, 2, 8)["x"]
+    lefts, rights = hot.left.keys["hot"], hot.right.keys["hot"]
+    assert lefts * rights >= 8 and set(hot.left.keys) == {"hot"}
+    joined = pair(left, right, "l", "r", hot)
+    assert joined.count() == 1000 * 1000 + 9000
+    left = left.withColumn("p", F.when(F.col("l") == "hot", skew.row_part(left, F.lit(lefts))))
+    largest = left.groupBy("p").count().filter("p is not null").agg(F.max("count")).first()[0]
+    assert largest < 2 * 1000 / lefts
+
+
+def test_parts_of_three_tables(spark):
+    one = spark.createDataFrame([("a",)] * 20 + [("b",)] * 20, "k string")
+    two = spark.createDataFrame([("a",)] * 30 + [("b",)], "k string")
+    found = skew.find_hot({"x": [(one, "k"), (two, "k"), (two, "k")]}, 1.0, 2, 10)["x"]
+    assert set(found.left.keys) | set(found.right.keys) == {"a"}
+    assert found.left.keys.get("a", 1) * found.right.keys["a"] >= 10
+
+
+@pytest.mark.parametrize(("wanted", "left", "right"), [(16, 100, 1), (16, 100, 100), (7, 1, 1e6), (1, 5, 5)])
+def test_divide(wanted, left, right):
+    a, b = skew.divide(wanted, left, right)
+    assert 1 <= a <= wanted and a * b >= wanted and a * (b - 1) < wanted
+    assert a >= b or right > left
+
+
 def test_parts_survive_a_retry_with_rows_in_another_order(spark):
     df = spark.range(2000).repartition(4, "id").select((F.col("id") % 50).alias("v"), "id")
     ways = [df.sortWithinPartitions("id"), df.sortWithinPartitions(F.desc("id"))]
@@ -81,21 +121,20 @@ def test_parts_survive_a_retry_with_rows_in_another_order(spark):
     assert len({p for _, p in parts[0]}) == 64
 
 
-def test_null_keys_are_spread_over_tasks(spark):
+def test_null_keys_are_not_shuffled(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         left = spark.range(4000).select(
             F.when(F.col("id") < 5, F.col("id").cast("string")).alias("k"), "id"
         )
         right = spark.range(5).select(F.col("id").cast("string").alias("k2"))
         joined = lookup(left, right, "k", "k2", null_keys=True)
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert max(r["count"] for r in sizes) < 1300
         assert joined.count() == 4000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and "Union" in plan
+        assert "Filter (id" in plan  # the rows without a key, beside the join
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_restrict_to_never_repeats_rows(spark):
@@ -109,15 +148,6 @@ def test_restrict_to_never_repeats_rows(spark):
     assert restrict_to(df, None, "id") is df
 
 
-def test_broadcast_is_hinted_only_below_the_limit(spark):
-    wide = spark.createDataFrame([("a" * 100,)] * 10, "k string")
-    empty = wide.limit(0)
-    assert joins.sizes({"wide": wide, "empty": empty}) == {"wide": 1320, "empty": 0}
-    small = joins.broadcast_small({"wide": wide, "empty": empty}, 1000)
-    assert small["wide"] is wide
-    assert "hint" in small["empty"]._jdf.queryExecution().logical().toString().lower()
-
-
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_first_by(spark, partitions):
     data = [("a", 1, "x"), ("a", 3, "z"), ("a", 3, "y"), ("b", None, "q"), ("b", 0, "r")]
@@ -134,14 +164,19 @@ def test_first_by_limits_rows_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("partitions", [1, 5])
-@pytest.mark.parametrize("parts", [1, 4, 256])
-def test_not_first_flags_all_but_one_row_of_each_key(spark, partitions, parts):
+def test_not_first_flags_all_but_one_row_of_each_key(spark, partitions):
     rng = random.Random(3)
-    data = [(rng.choice(["a", "a", "a", "b", None]), rng.randrange(5)) for _ in range(300)]
-    data += [("copies", 1)] * 50 + [("one", 1)]
-    df = spark.createDataFrame(data, "k string, t int").repartition(partitions)
-    got = not_first(df, "later", "k", [F.col("t").asc_nulls_first()], parts).collect()
-    assert Counter((r.k, r.t) for r in got) == Counter(data)
-    for key in {k for k, _ in data}:
-        first = [r.t for r in got if r.k == key and not r.later]
-        assert first == [min(t for k, t in data if k == key)]
+    keys = ["a", "a", "a", "b", None]
+    data = [(rng.choice(keys), rng.choice(keys), rng.choice([0, 1, 2, None])) for _ in range(300)]
+    data += [("copies", "x", 1)] * 50 + [("one", None, 1)]
+    df = spark.createDataFrame(data, "k string, other string, t int").repartition(partitions)
+    got = not_first(df, {"later": "k", "late": "other"}, ["t", "k"]).collect()
+    assert Counter((r.k, r.other, r.t) for r in got) == Counter(data)
+
+    def rank(t):
+        return (t is not None, t or 0)
+
+    for place, flag in ((0, "later"), (1, "late")):
+        for key in {row[place] for row in data}:
+            first = [r.t for r in got if r[place] == key and not r[flag]]
+            assert first == [min((row[2] for row in data if row[place] == key), key=rank)]

@@ -5,7 +5,7 @@ from decimal import Decimal
 from conftest import rows, ts
 
 from quillstat.fixed_values import ALLOWLIST, CURRENCIES
-from quillstat.operators.skew import HotKeys
+from quillstat.operators.skew import Hot, Parts
 from quillstat.plans import stage
 from quillstat.plans.facts import collects_v1, ledger_of
 from quillstat.sources.sinks import export_times
@@ -79,7 +79,8 @@ def test_ledger_keeps_posts_without_modules_or_collects(sources):
 
 def test_ledger_with_hot_keys_is_the_same(sources):
     src = world(sources)
-    hot = HotKeys({16: ("p", "w")})
+    parts = Parts({"p": 16, "w": 16})
+    hot = Hot(parts, parts)
     args = (
         src.post_v1,
         src.collect_module_v1,
@@ -88,7 +89,7 @@ def test_ledger_with_hot_keys_is_the_same(sources):
         src.profile_stats_v1,
     )
     plain = stage.collect_ledger(*args)
-    names = ("ledger_modules", "ledger_records", "ledger_wallets")
+    names = ("ledger_posts", "ledger_modules", "ledger_wallets")
     salted = stage.collect_ledger(*args, CURRENCIES, {name: hot for name in names})
     assert rows(salted) == rows(plain)
 
