@@ -51,12 +51,17 @@ def ordered(pdf: pd.DataFrame) -> tuple[list, np.ndarray, list[bytes]]:
 
 
 class Asked:
-    """Records of one kind that a chunk asks about, in the order they are sent."""
+    """Records of one kind that a chunk asks about.
+
+    They are sent by bucket; ``sent`` is the place of each record among those sent.
+    """
 
     def __init__(self, kind: int, records: np.ndarray, by: str, buckets: int) -> None:
         self.kind, self.records = kind, records
         self.bucket = (records[by] % np.uint64(buckets)).astype(np.int64)
         self.order = np.argsort(self.bucket, kind="stable")
+        self.sent = np.empty(len(records), np.int64)
+        self.sent[self.order] = np.arange(len(records))
 
     def messages(self, chunk: int) -> list[tuple]:
         bucket = self.bucket[self.order]
@@ -70,16 +75,13 @@ class Asked:
 
     def answers(self, replies: pd.DataFrame) -> np.ndarray:
         """One byte per record, in the order of ``records``."""
-        return in_order(replies, self.kind, self.order)
+        return as_sent(replies, self.kind)[self.sent, 0]
 
 
-def in_order(replies: pd.DataFrame, kind: int, order: np.ndarray, width: int = 1) -> np.ndarray:
-    """The replies of a kind, ``width`` bytes per record, in the order the records had."""
+def as_sent(replies: pd.DataFrame, kind: int, width: int = 1) -> np.ndarray:
+    """The replies of a kind, ``width`` bytes for each record, in the order they were sent."""
     own = replies[replies["kind"] == kind].sort_values("target")
-    codes = np.frombuffer(b"".join(own["data"]), np.uint8).reshape(len(order), width)
-    out = np.empty((len(order), width), np.uint8)
-    out[order] = codes
-    return out[:, 0] if width == 1 else out
+    return np.frombuffer(b"".join(own["data"]), np.uint8).reshape(-1, width)
 
 
 def table(rows: Iterable[tuple]) -> pd.DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quillstat.llm.arrays import blend, hash_spans
 from quillstat.llm.chunks import (
-    BUCKET_BYTES, NOTE, TABLE, Asked, answered, chunked, groups, in_order, ordered, table,
+    BUCKET_BYTES, NOTE, TABLE, Asked, answered, as_sent, chunked, groups, ordered, table,
 )
 from quillstat.llm.recompression import least_name
 from quillstat.llm.tables import parts_for
@@ -48,7 +48,7 @@ LENGTH = 200
 TRIGGER = 8
 EVERY = 16
 HOT = 4096
-_PHRASE, _CONTEXT, _PLACES, _ORDER = range(4)
+_PHRASE, _CONTEXT, _PLACES = range(3)
 _SEEN = np.dtype([("key", "<u8"), ("times", "<u2")])
 _PLACE = np.dtype([("start", "<i8"), ("from", "<i2"), ("to", "<i2"), ("record", "<i4")])
 _MOST = np.iinfo(np.uint16).max
@@ -194,10 +194,11 @@ class _Chunk:
         places = np.zeros(len(whole) + len(run), _PLACE)
         places["start"][: len(whole)] = self.anchor[whole]
         places["from"][: len(whole)], places["to"][: len(whole)] = sent["from"], sent["to"]
-        places["record"][: len(whole)] = same
+        asked = Asked(_CONTEXT, np.concatenate([distinct, alone]), "key", buckets)
+        places["record"][: len(whole)] = asked.sent[same]
         places["start"][len(whole) :] = start
-        places["record"][len(whole) :] = kind + len(distinct)
-        return Asked(_CONTEXT, np.concatenate([distinct, alone]), "key", buckets), places
+        places["record"][len(whole) :] = asked.sent[kind + len(distinct)]
+        return asked, places
 
 
 def _prints(rows: np.ndarray, seed: int) -> np.ndarray:
@@ -289,20 +290,16 @@ def dedup(
             return table([])
         number = int(pdf["chunk"].iloc[0])
         asked, places = _Chunk(pdf, length).ask_contexts(replies, buckets)
-        notes = [
-            (NOTE - number, number, _PLACES, places.tobytes()),
-            (NOTE - number, number, _ORDER, asked.order.astype("<i4").tobytes()),
-        ]
-        return table(asked.messages(number) + notes)
+        note = (NOTE - number, number, _PLACES, places.tobytes())
+        return table([*asked.messages(number), note])
 
     def finish(pdf: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pd.DataFrame(columns=["id", "n_bytes", "n_removed", "n_spans", "kept"])
         given, _, texts = ordered(pdf)
         note = dict(zip(replies["kind"], replies["data"], strict=True))
-        order = np.frombuffer(note[_ORDER], "<i4")
         places = np.frombuffer(note[_PLACES], _PLACE)
-        answer = in_order(replies, _CONTEXT, order, width)
+        answer = as_sent(replies, _CONTEXT, width)
         sizes = np.array([len(t) for t in texts], np.int64)
         total = int(sizes.sum())
         marks = np.zeros(total + 1, np.int64)
