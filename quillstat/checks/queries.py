@@ -212,10 +212,9 @@ def interaction_weekday_hour(src: Sources) -> DataFrame:
 
 
 def interactions_by_age(src: Sources) -> DataFrame:
-    return marts.interactions_by_age(
-        written(creator_interactions(src), "L3_interaction"),
-        written(creator_publications(src), "L3_publication"),
-    )
+    # Of the publications only ids and dates are read, without the joins of the rest.
+    interactions = written(creator_interactions(src), "L3_interaction")
+    return marts.interactions_by_age(interactions, creator_publications(src))
 
 
 def handle_history(src: Sources) -> DataFrame:
