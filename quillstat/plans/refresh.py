@@ -61,6 +61,8 @@ def refresh(
     )
 
     listed = put("md_allowlist", stage.allowlist_of(spark, creators))
+    # A short list reaches the scans as a predicate, a table is joined.
+    chosen = listed if isinstance(creators, DataFrame) else creators
     put("stage_currency_exchange", stage.exchange_rates(spark, currencies))
     put("L2_date", dimensions.date_dimension(spark))
 
@@ -103,8 +105,8 @@ def refresh(
         facts.interactions_of(sources, None, currencies, hop, revenue, hot),
     )
 
-    publications = put("L3_publication", marts.of_creators(publications, listed))
-    interactions = put("L3_interaction", marts.of_creators(log, listed))
+    publications = put("L3_publication", marts.of_creators(publications, chosen))
+    interactions = put("L3_interaction", marts.of_creators(log, chosen))
     profiles = put("L3_profile", marts.profile_mart(profiles))
 
     put("L3_interaction_year_month", marts.interactions_by_month(interactions))
