@@ -94,6 +94,14 @@ def batches(sizes: Sequence[int], most: int) -> Iterator[slice]:
         yield slice(begin, len(sizes))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values. Sorting is many times faster here than ``np.unique``, which hashes."""
+    ordered = np.sort(values)
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered[new]
+
+
 def dense(values: np.ndarray, space: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values below ``space``, ascending, and the place of each value among them."""
     if space > 1 << 24:

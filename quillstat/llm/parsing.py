@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstat.llm.arrays import blend, hash_spans
+from quillstat.llm.arrays import blend, distinct, hash_spans
 from quillstat.llm.chunks import (
     BUCKET_BYTES, NOTE, TABLE, Asked, answered, as_sent, chunked, groups, ordered, table,
 )
@@ -95,7 +95,7 @@ class _Chunk:
         last = self.ends[self.ends - self.begins >= self.length] - self.length + 1
         reach = self.length - TRIGGER
         # The triggers inside a string change only where one comes or goes.
-        edges = np.unique(np.concatenate([first, last, self.trigger + 1, self.trigger - reach]))
+        edges = distinct(np.concatenate([first, last, self.trigger + 1, self.trigger - reach]))
         edges = edges[(edges >= 0) & (edges <= self.size)]
         inside = np.searchsorted(first, edges, "right") > np.searchsorted(last, edges, "right")
         begin = edges[inside]
