@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 from quillstat.llm.tables import parts_for, text_of, with_library
 
 CHUNK_BYTES = 4_000_000
-BUCKET_BYTES = 8_000_000
+# A chunk sends a message to most buckets. So that messages stay long as the corpus grows,
+# chunks and buckets grow too, up to so many times their least size.
+GROWTH = 4
+CHUNKS = 1000
 TABLE = "target long, chunk long, kind int, data binary"
 LAST = np.iinfo(np.int64).max
 NOTE = -1
@@ -31,6 +34,16 @@ NOTE = -1
 Decide = Callable[[int, np.ndarray, np.ndarray], np.ndarray]
 
 
+def grain(size: int) -> int:
+    """Bytes of a chunk for a corpus of this size."""
+    return min(max(CHUNK_BYTES, size // CHUNKS), GROWTH * CHUNK_BYTES)
+
+
+def buckets_for(size: int, asked: int) -> int:
+    """Buckets for ``asked`` bytes of records from a corpus of ``size`` bytes."""
+    return parts_for(asked, 2 * grain(size))
+
+
 def chunked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """The texts with their ``chunk``, and the bytes of all. Null ids come last."""
     with_library(docs.sparkSession)
@@ -38,7 +51,7 @@ def chunked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int
     size = docs.select(F.sum(F.octet_length(text) + F.lit(64)).alias("n")).first()["n"] or 0
     # pandas would turn a column of numbers with nulls into floats.
     rows = docs.select(F.col(id_col).cast("long").cast("string").alias("id"), text.alias("text"))
-    chunk = F.pmod(F.xxhash64("id", "text"), F.lit(parts_for(size, CHUNK_BYTES)))
+    chunk = F.pmod(F.xxhash64("id", "text"), F.lit(parts_for(size, grain(size))))
     return rows.withColumn("chunk", chunk), size
 
 

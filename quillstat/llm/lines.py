@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 from quillstat.llm.arrays import chain, hash_spans
 from quillstat.llm.chunks import (
-    BUCKET_BYTES, TABLE, Asked, answered, chunked, groups, least_of, ordered, table,
+    TABLE, Asked, answered, buckets_for, chunked, groups, least_of, ordered, table,
 )
-from quillstat.llm.tables import parts_for
 
 WINDOW = 3
 _RECORD = np.dtype([("one", "<u8"), ("two", "<u8"), ("id", "<i8"), ("line", "<i8")])
@@ -76,7 +75,7 @@ def dedup(
 ) -> DataFrame:
     """One row per document: id, ``n_lines``, ``n_removed``, ``kept`` text."""
     chunks, size = chunked(docs, id_col, text_col)
-    buckets = parts_for(size // 2, BUCKET_BYTES)
+    buckets = buckets_for(size, size // 2)
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
         asked = Asked(0, _Lines(pdf, window).records, "one", buckets)

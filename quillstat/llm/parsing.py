@@ -39,10 +39,9 @@ from pyspark.sql import functions as F
 
 from quillstat.llm.arrays import blend, distinct, hash_spans
 from quillstat.llm.chunks import (
-    BUCKET_BYTES, NOTE, TABLE, Asked, answered, as_sent, chunked, groups, ordered, table,
+    NOTE, TABLE, Asked, answered, as_sent, buckets_for, chunked, groups, ordered, table,
 )
 from quillstat.llm.recompression import least_name
-from quillstat.llm.tables import parts_for
 
 LENGTH = 200
 TRIGGER = 8
@@ -278,7 +277,7 @@ def dedup(
 ) -> DataFrame:
     """One row per document: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` bytes."""
     chunks, size = chunked(docs, id_col, text_col)
-    buckets = parts_for(size, BUCKET_BYTES)
+    buckets = buckets_for(size, size)
     width = -(-length // 8)
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -36,9 +36,8 @@ from pyspark.sql import functions as F
 
 from quillstat.llm.arrays import blend, chain, hash_words, split_words
 from quillstat.llm.chunks import (
-    BUCKET_BYTES, NOTE, TABLE, Asked, answered, as_sent, chunked, groups, least_of, ordered, table,
+    NOTE, TABLE, Asked, answered, as_sent, buckets_for, chunked, groups, least_of, ordered, table,
 )
-from quillstat.llm.tables import parts_for
 
 WINDOW = 13
 ROUNDS = 10
@@ -247,7 +246,7 @@ def dedup(
 ) -> DataFrame:
     """One row per document: id, ``n_words``, ``n_removed``, ``kept`` words as text."""
     chunks, size = chunked(docs, id_col, text_col)
-    buckets = parts_for(size, BUCKET_BYTES)
+    buckets = buckets_for(size, size)
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
         chunk = _Chunk(pdf, window, buckets)
