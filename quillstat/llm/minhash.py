@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstat.llm.arrays import batches, blend, chain, hash_words, split_words
+from quillstat.llm.arrays import batches, blend, chain, distinct, hash_words, split_words
 from quillstat.llm.stars import components
 from quillstat.llm.tables import cut, parts_for, text_of, with_library
 
@@ -68,7 +68,7 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     sets = []
     for begin, end in zip(laid.first[:-1], laid.first[1:], strict=True):
         if end - begin >= size:
-            sets.append(np.unique(grams[begin : end - size + 1]))
+            sets.append(distinct(grams[begin : end - size + 1]))
         elif end > begin:
             whole = words[begin : begin + 1]
             for i in range(begin + 1, end):
