@@ -27,12 +27,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstat.llm.arrays import batches, blend, hash_words, split_words
-from quillstat.llm.tables import cut, parts_for, with_library
+from quillstat.llm.arrays import batches, blend, distinct, hash_words, split_words
+from quillstat.llm.tables import checked_broadcast, cut, parts_for, with_library
 
 SIGNATURE = 128
 LONG = 24
-PART_BYTES = 16_000_000
+PART_BYTES = 4_000_000
+SPLIT_SAMPLE = 20
 # Texts are handled in lots of about so many bytes.
 LOT = 1_000_000
 
@@ -137,22 +138,32 @@ def _walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _in_parts(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Rows with their ``part``; parts follow each other in descending order of id."""
-    size, low = docs.agg(F.sum(F.octet_length("text") + 64), F.min("id")).first()
-    parts = parts_for(size, PART_BYTES)
-    if low is None or parts == 1:
+    """Rows with their ``part``; parts follow each other in descending order of id.
+
+    There are no more parts than shuffle partitions, and split points come from
+    ``SPLIT_SAMPLE`` sampled ids for each part. A part is a stream to its task, so its
+    size is no matter of memory.
+    """
+    size, rows = docs.agg(F.sum(F.octet_length("text") + 64), F.count("id")).first()
+    wished = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(parts_for(size, PART_BYTES), wished)
+    if not rows or parts == 1:
         return docs.withColumn("part", F.lit(0)), 1
-    steps = [i / parts for i in range(1, parts)]
-    found = docs.select(F.col("id").cast("double")).approxQuantile("id", steps, 0.1 / parts)
-    splits = np.unique(np.array(found))
+    share = min(1.0, SPLIT_SAMPLE * parts / rows)
+    known = docs.select("id").filter(F.col("id").isNotNull())
+    found = [i for (i,) in known.sample(share, seed=1).collect()]
+    sampled = np.sort(np.array(found, np.int64))
+    places = [len(sampled) * k // parts for k in range(1, parts)] if len(sampled) else []
+    splits = distinct(sampled[places].astype(np.int64))
 
     @F.pandas_udf("int")
     def part_of(ids: pd.Series) -> pd.Series:
-        known = ids.astype("float64").to_numpy()
-        at = len(splits) - np.searchsorted(splits, known, "right")
-        return pd.Series(np.where(np.isnan(known), len(splits) + 1, at))
+        missing = ids.isna().to_numpy()
+        # As text, since pandas would turn numbers with nulls into floats.
+        at = len(splits) - np.searchsorted(splits, ids.fillna("0").astype("int64"), "right")
+        return pd.Series(np.where(missing, len(splits) + 1, at))
 
-    return docs.withColumn("part", part_of("id")), parts
+    return docs.withColumn("part", part_of(F.col("id").cast("string"))), parts
 
 
 def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,11 +177,10 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     tops = cut(rows.groupBy("part").agg(F.max("id").alias("top")), "lempelziv-tops")
     in_order = Window.orderBy("part")
     before = F.coalesce(F.lag("part").over(in_order), F.max("part").over(Window.partitionBy()))
-    wanted = tops.select(F.col("part").alias("p"), "top", before.alias("before"))
-    # One row per part: bounded by the number of parts, so it may always be broadcast.
+    wanted = tops.select(F.col("part").alias("p"), "top", before.alias("before"))  # a row per part
     same = (F.col("part") == F.col("p")) & F.col("id").eqNullSafe(F.col("top"))
     heads = (
-        rows.join(F.broadcast(wanted), same)
+        rows.join(checked_broadcast(wanted), same)
         .groupBy("before")
         .agg(F.min("text").alias("text"))
         .select(F.lit(None).cast("long").alias("id"), "text", F.col("before").alias("part"))
