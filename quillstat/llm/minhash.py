@@ -1,7 +1,8 @@
 """Near-duplicates by minima of universal hashes, banding, verification and components.
 
-1. Every text becomes the set of hashes of its two-word shingles, and ``BANDS * ROWS``
-   minima of universal hash functions over it. Equal texts are one node from here on.
+1. Every text becomes the set of hashes of its shingles, of ``SHINGLE`` words or of as
+   many as the caller asks for, and ``BANDS * ROWS`` minima of universal hash functions
+   over it. Equal texts are one node from here on.
 2. Nodes that agree on all minima of a band meet in a bucket. Instead of all pairs, the
    node of a bucket that shares most buckets with others is paired with the rest, so a
    bucket of copies costs as many pairs as it has members.
@@ -18,7 +19,7 @@ At the threshold itself two texts share no bucket with a chance of 3 in a millio
 bits miss it by about as little.
 
 Defined results: a text without words, or null, has an empty set and is its own
-component; a text of one word has that word as its set; equal texts are linked. The
+component; a text shorter than a shingle has itself as its set; equal texts are linked. The
 component is named by its smallest id; null ids are ignored there, and a component of
 null ids has a null name. Rows with one id and different texts are different nodes.
 No rows give no rows. Extra columns are ignored by ``link`` and kept by ``keep_first``.
@@ -107,33 +108,36 @@ def low_bits(found: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(packed).view(np.int64)
 
 
-def _sketch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in parts:
-        for lot in batches([len(t) for t in pdf["text"]], LOT):
-            own = pdf.iloc[lot]
-            sets = shingle_sets(own["text"].tolist())
-            sizes = np.array([len(s) for s in sets])
-            some = np.flatnonzero(sizes)
-            found = minima([sets[i] for i in some])
-            keys, bits = band_keys(found), low_bits(found)
-            bands: list = [None] * len(sets)
-            one, two = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
-            for i, k in zip(some, keys, strict=True):
-                bands[i] = k
-            one[some], two[some] = bits[:, 0], bits[:, 1]
-            yield pd.DataFrame(
-                {"id": own["id"], "text_key": own["text_key"], "n": sizes, "bands": bands,
-                 "one": one, "two": two}
-            )
-
-
-def _verify(percent: int):
+def _sketch(shingle: int):
+    def sketch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for lot in batches([len(t) for t in pdf["text"]], LOT):
+                own = pdf.iloc[lot]
+                sets = shingle_sets(own["text"].tolist(), shingle)
+                sizes = np.array([len(s) for s in sets])
+                some = np.flatnonzero(sizes)
+                found = minima([sets[i] for i in some])
+                keys, bits = band_keys(found), low_bits(found)
+                bands: list = [None] * len(sets)
+                one, two = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
+                for i, k in zip(some, keys, strict=True):
+                    bands[i] = k
+                one[some], two[some] = bits[:, 0], bits[:, 1]
+                yield pd.DataFrame(
+                    {"id": own["id"], "text_key": own["text_key"], "n": sizes, "bands": bands,
+                     "one": one, "two": two}
+                )
+
+    return sketch
+
+
+def _verify(percent: int, shingle: int):
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         sets: dict[int, np.ndarray] = {}
         firsts = pdf.drop_duplicates("node")
         texts = firsts["text"].tolist()
         for lot in batches([len(t) for t in texts], LOT):
-            sets |= zip(firsts["node"].iloc[lot], shingle_sets(texts[lot]), strict=True)
+            sets |= zip(firsts["node"].iloc[lot], shingle_sets(texts[lot], shingle), strict=True)
         links = []
         for u, v in pdf[["pivot", "node"]].drop_duplicates().itertuples(index=False):
             if u != v:
@@ -162,7 +166,7 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.filter((100 * low >= percent * high) & (differ <= MOST_BITS)).select("pivot", "node")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     pairs = cut(pairs, "minhash-pairs")
     counts = pairs.groupBy("pivot").agg(
@@ -181,7 +185,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         "lot", F.pmod(F.xxhash64("pivot", "copy"), F.lit(lots))
     )
     met = routes.join(texts, "node").select("lot", "pivot", "node", "text")
-    return met.groupBy("lot").applyInPandas(_verify(percent), "u long, v long")
+    return met.groupBy("lot").applyInPandas(_verify(percent, shingle), "u long, v long")
 
 
 def _shared(o: list[np.ndarray], a: list[np.ndarray]) -> np.ndarray:
@@ -208,13 +212,13 @@ def _shared(o: list[np.ndarray], a: list[np.ndarray]) -> np.ndarray:
     return counts.astype(np.int64)
 
 
-def _verify_blocks(percent: int):
+def _verify_blocks(percent: int, shingle: int):
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         sets: dict[int, np.ndarray] = {}
         firsts = pdf.drop_duplicates("node")
         texts = firsts["text"].tolist()
         for lot in batches([len(t) for t in texts], LOT):
-            sets |= zip(firsts["node"].iloc[lot], shingle_sets(texts[lot]), strict=True)
+            sets |= zip(firsts["node"].iloc[lot], shingle_sets(texts[lot], shingle), strict=True)
         links = []
         for _, own in pdf.groupby(["key", "i", "j"]):
             sides = [own[own["apart"] == x].drop_duplicates("node") for x in (True, False)]
@@ -231,7 +235,9 @@ def _verify_blocks(percent: int):
     return verify
 
 
-def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _rest(
+    members: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int
+) -> DataFrame:
     """Links across the components that still share a bucket.
 
     In every such bucket the rows outside its largest component are compared with all
@@ -270,10 +276,12 @@ def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, percent: int)
     routes = cut(apart.unionByName(everyone), "minhash-routes")
     lots = parts_for(routes.count(), LOT_ROWS)
     met = routes.withColumn("lot", F.pmod(F.xxhash64("key", "i", "j"), F.lit(lots))).join(texts, "node")
-    return met.groupBy("lot").applyInPandas(_verify_blocks(percent), "u long, v long")
+    return met.groupBy("lot").applyInPandas(_verify_blocks(percent, shingle), "u long, v long")
 
 
-def _links(members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _links(
+    members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, shingle: int
+) -> DataFrame:
     """Label every node that is linked with another: ``node``, ``label``."""
     # The node that shares most buckets with most others is likely to be near them all.
     weights = members.groupBy("node").agg(F.sum("c").alias("weight"))
@@ -285,14 +293,14 @@ def _links(members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int)
     )
     pairs = members.join(pivots, "key").filter(F.col("node") != F.col("pivot"))
     pairs = pairs.select("pivot", "node").distinct()
-    first = _confirm(_possible(pairs, nodes, percent), texts, percent)
+    first = _confirm(_possible(pairs, nodes, percent), texts, percent, shingle)
     labels = components(first)
-    rest = _rest(members, labels, texts, percent)
+    rest = _rest(members, labels, texts, percent, shingle)
     return components(labels.toDF("u", "v").union(rest))
 
 
 def _resolved(
-    docs: DataFrame, id_col: str, text_col: str, percent: int
+    docs: DataFrame, id_col: str, text_col: str, percent: int, shingle: int
 ) -> DataFrame:
     """Every row as ``id``, ``text_key``, ``n`` and ``component``."""
     spark = docs.sparkSession
@@ -302,7 +310,7 @@ def _resolved(
     )
     id_type = source.schema["id"].dataType.simpleString()
     sketched = source.mapInPandas(
-        _sketch,
+        _sketch(shingle),
         f"id {id_type}, text_key string, n long, bands array<long>, one long, two long",
     )
     rows = cut(sketched.withColumn("row", F.monotonically_increasing_id()), "minhash-rows")
@@ -328,7 +336,7 @@ def _resolved(
     )
     same = (F.col("text_key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i"))
     texts = cut(source.join(wanted, same).select("node", "text"), "minhash-texts")
-    labels = cut(_links(members, nodes, texts, percent), "minhash-labels")
+    labels = cut(_links(members, nodes, texts, percent, shingle), "minhash-labels")
     labelled = classes.join(labels, "node", "left").select(
         "text_key", "least", F.coalesce("label", "node").alias("label")
     )
@@ -347,10 +355,14 @@ def text_key(text_col: str) -> Column:
 
 
 def link(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id``, ``kept``."""
-    rows = _resolved(docs, id_col, text_col, percent)
+    rows = _resolved(docs, id_col, text_col, percent, shingle)
     return rows.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
@@ -360,13 +372,17 @@ def link(
 
 
 def keep_first(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """The rows of ``docs``, with all columns, that are the first of their component.
 
     Of rows that repeat both id and text one stays, whatever else they hold.
     """
-    rows = _resolved(docs, id_col, text_col, percent)
+    rows = _resolved(docs, id_col, text_col, percent, shingle)
     kept = (
         rows.filter(F.col("id").eqNullSafe(F.col("component")))
         .groupBy("id", "text_key")

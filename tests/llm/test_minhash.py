@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from tables_of_texts import edge_texts, prose, rows
 
+import corpus_pipeline
 from quillstat.llm import minhash
 from quillstat.llm.stars import components
 
@@ -91,6 +92,31 @@ def test_keep_first(edges):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_the_stage_compares_five_words(table):
+    """Two texts over 80 % alike by two words and under it by five are both kept by the stage."""
+    words = [f"u{k}" for k in range(100)]
+    edited = list(words)
+    for k in (10, 30, 50, 70, 90):
+        edited[k] = f"v{k}"
+    close = list(words)
+    close[50] = "v50"
+    docs = table([(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(close)), (4, "a b C"), (5, "a B c")])
+
+    def alike(a, b, size):
+        a, b = ({tuple(t[k : k + size]) for k in range(len(t) - size + 1)} for t in (a, b))
+        return len(a & b) / len(a | b)
+
+    assert alike(words, edited, 2) > 0.8 > alike(words, edited, 5)
+    assert alike(words, close, 5) > 0.8
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert [i for i, in rows(stage(docs.sparkSession, docs, ""), "doc_id")] == [1, 2, 4]
+    assert [i for i, in rows(minhash.keep_first(docs), "doc_id")] == [1, 4]
+    links = minhash.link(docs, shingle=5)
+    assert rows(links, "doc_id", "n_shingles", "component_id") == [
+        (1, 96, 1), (2, 96, 2), (3, 96, 1), (4, 1, 4), (5, 1, 4)
+    ]
+
+
 def test_nothing(empty):
     assert minhash.link(empty).count() == 0
     assert minhash.keep_first(empty).count() == 0
