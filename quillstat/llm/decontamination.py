@@ -1,15 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Texts and test items are compared as words without case and ASCII punctuation. Every
-``NGRAM`` of an item is counted in the whole corpus. An item's seeds are its n-grams
-that make up less than ``RARE`` of all n-grams, and in any case the rarest of every
-``NGRAM`` in a row, so an item that leaked into a third of all documents has seeds too.
-Where a seed of an item occurs, the words around it are aligned with the item: equal
+``NGRAM`` of an item is counted in the whole corpus. An item's seeds are all its n-grams
+that occur there, frequent ones too: the n-grams that an edited copy broke are rarer than
+those it left whole, so a choice of the rarest would miss it. Where a seed of an item occurs, the words around it are aligned with the item: equal
 words score 1, unequal and skipped words -1. The best local score over the item's
 length, from 0 to 1, tells copies, edited and partial ones included, from chance.
 
 A passage is skipped without alignment only if it holds too few of the item's words to
-reach ``min_score``. Documents stay where they are: items come to them, in blocks of at
+reach ``min_score``. A copy without a whole n-gram has no seed; at a score of one half that
+is one cut up by insertions, whose score is at most one word above the threshold. Documents stay where they are: items come to them, in blocks of at
 most ``BLOCK_BYTES``, so what is sent to the tasks is bounded however many items there are.
 
 Defined results: null texts and texts without words match nothing, and neither do items
@@ -33,7 +33,6 @@ from quillstat.llm.arrays import Texts, batches, chain, hash_words, split_words
 from quillstat.llm.tables import parts_for, with_library
 
 NGRAM = 3
-RARE = 1e-6
 MIN_SCORE = 0.5
 BLOCK_BYTES = 16_000_000
 # Texts are handled in lots of about so many characters.
@@ -104,17 +103,10 @@ class Items:
         keys, first = np.unique(key[order], return_index=True)
         return cls(words, Lookup(keys), np.append(first, len(key)), item[order], place[order])
 
-    def seeds(self, counts: np.ndarray, total: int, size: int, rare: float) -> Items:
-        """Only the rare n-grams, and the rarest of every ``size`` in a row."""
+    def seeds(self, counts: np.ndarray) -> Items:
+        """Only the n-grams that occur in the corpus."""
         number = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
-        count = counts[number]
-        order = np.lexsort((self.place, count, self.place // size, self.item))
-        stretch = np.stack([self.item[order], self.place[order] // size])
-        rarest = np.zeros(len(order), bool)
-        rarest[order] = np.concatenate(
-            [np.ones(min(1, len(order)), bool), (np.diff(stretch, axis=1) != 0).any(axis=0)]
-        )
-        chosen = (count <= rare * total) | rarest
+        chosen = counts[number] > 0
         keys = self.lookup.keys[number[chosen]]
         return self._sorted(self.words, keys, self.item[chosen], self.place[chosen])
 
@@ -187,25 +179,22 @@ def _lots(texts: pd.Series) -> Iterator[list[str]]:
         yield known[part]
 
 
-def _count(docs: DataFrame, text_col: str, items: Items, size: int) -> tuple[np.ndarray, int]:
-    """How often each n-gram of the items occurs in the corpus, and the n-grams in all."""
+def _count(docs: DataFrame, text_col: str, items: Items, size: int) -> np.ndarray:
+    """How often each n-gram of the items occurs in the corpus."""
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, total = np.zeros(len(items.lookup.keys), np.int64), 0
+        counts = np.zeros(len(items.lookup.keys), np.int64)
         for pdf in parts:
             for lot in _lots(pdf["text"]):
                 laid = _laid(lot)
                 hashes = hash_words(laid)
-                total += int(np.maximum(np.diff(laid.first) - size + 1, 0).sum())
                 if len(hashes) >= size:
                     at, number = items.lookup.find(_grams(hashes, size))
                     of = laid.of
                     number = number[of[at] == of[at + size - 1]]
                     counts += np.bincount(number, minlength=len(counts))
         some = np.flatnonzero(counts)
-        yield pd.DataFrame(
-            {"gram": np.append(some, -1), "times": np.append(counts[some], total)}
-        )
+        yield pd.DataFrame({"gram": some, "times": counts[some]})
 
     rows = (
         docs.select(F.col(text_col).alias("text"))
@@ -215,9 +204,8 @@ def _count(docs: DataFrame, text_col: str, items: Items, size: int) -> tuple[np.
         .toPandas()
     )
     counts = np.zeros(len(items.lookup.keys), np.int64)
-    known = rows[rows["gram"] >= 0]
-    counts[known["gram"].to_numpy()] = known["times"].to_numpy()
-    return counts, int(rows["times"][rows["gram"] < 0].sum())
+    counts[rows["gram"].to_numpy()] = rows["times"].to_numpy()
+    return counts
 
 
 def _blocks(items: DataFrame, text_col: str) -> Iterator[DataFrame]:
@@ -250,8 +238,7 @@ def _searches(
         rows = block.select(F.col(item_id).cast("string"), F.col(item_text)).collect()
         rows.sort(key=lambda r: (r[0] is None, r[0], r[1]))
         known = Items.of([r[1] for r in rows], NGRAM)
-        counts, total = _count(docs, text_col, known, NGRAM)
-        seeds = known.seeds(counts, total, NGRAM, RARE)
+        seeds = known.seeds(_count(docs, text_col, known, NGRAM))
         yield _search(F.col(text_col), seeds, min_score), [r[0] for r in rows]
 
 

@@ -282,6 +282,19 @@ def test_a_leak_in_most_documents(table, items):
     assert {r.score for r in found} == {1.0}
 
 
+@pytest.mark.parametrize(("every", "phase"), [(5, 4), (6, 3)])
+@pytest.mark.parametrize("verbatim", [0, 1, 60])
+def test_copies_with_every_nth_word_replaced(table, items, every, phase, verbatim):
+    """Whole n-grams that are more frequent than the broken ones are seeds too."""
+    item = [r.text for r in items.filter("item_id = 7").collect()][0].split()
+    own = " ".join(f"new{k}" if k % every == phase else w for k, w in enumerate(item))
+    pairs = [(k, f"{prose(k, 20)} {own} {prose(50 + k, 20)}") for k in range(4)]
+    pairs += [(1000 + k, f"{prose(k, 20)} {' '.join(item)}") for k in range(verbatim)]
+    found = decontamination.find(table(pairs), items).filter("item_id = 7").collect()
+    got = {r.doc_id: r.score for r in found}
+    assert got == pytest.approx({d: brute_score(" ".join(item), t) for d, t in pairs})
+
+
 def test_no_items_or_documents(edges, empty, items):
     assert decontamination.find(empty, items).count() == 0
     assert decontamination.find(edges, items.limit(0)).count() == 0
