@@ -21,7 +21,8 @@ bits miss it by about as little.
 Defined results: a text without words, or null, has an empty set and is its own
 component; a text shorter than a shingle has itself as its set; equal texts are linked. The
 component is named by its smallest id; null ids are ignored there, and a component of
-null ids has a null name. Rows with one id and different texts are different nodes.
+null ids has a null name. Rows with one id and different texts are different nodes;
+``link`` marks all of a component that bear its name as kept, ``keep_first`` keeps one text.
 No rows give no rows. Extra columns are ignored by ``link`` and kept by ``keep_first``.
 """
 
@@ -302,7 +303,11 @@ def _links(
 def _resolved(
     docs: DataFrame, id_col: str, text_col: str, percent: int, shingle: int
 ) -> DataFrame:
-    """Every row as ``id``, ``text_key``, ``n`` and ``component``."""
+    """Every row as ``id``, ``text_key``, ``n``, ``component`` and ``first``.
+
+    ``first`` is true for one text of each component: of those with the smallest id, nulls
+    last, the one with the least key.
+    """
     spark = docs.sparkSession
     with_library(spark)
     source = docs.select(
@@ -340,13 +345,19 @@ def _resolved(
     labelled = classes.join(labels, "node", "left").select(
         "text_key", "least", F.coalesce("label", "node").alias("label")
     )
-    names = labelled.groupBy("label").agg(F.min("least").alias("component"))
-    named = labelled.join(names, "label").select("text_key", "component")
+    order = F.struct(F.col("least").isNull(), "least", "text_key")
+    names = labelled.groupBy("label").agg(
+        F.min("least").alias("component"), F.min(order)["text_key"].alias("first_key")
+    )
+    named = labelled.join(names, "label").select(
+        "text_key", "component", (F.col("text_key") == F.col("first_key")).alias("first")
+    )
     return rows.select("id", "text_key", "n").join(named, "text_key").select(
         "id",
         "text_key",
         "n",
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"),
+        "first",
     )
 
 
@@ -380,11 +391,12 @@ def keep_first(
 ) -> DataFrame:
     """The rows of ``docs``, with all columns, that are the first of their component.
 
-    Of rows that repeat both id and text one stays, whatever else they hold.
+    Of rows that repeat both id and text one stays, whatever else they hold. One text of
+    each component stays, also where several share the smallest id or all ids are null.
     """
     rows = _resolved(docs, id_col, text_col, percent, shingle)
     kept = (
-        rows.filter(F.col("id").eqNullSafe(F.col("component")))
+        rows.filter(F.col("id").eqNullSafe(F.col("component")) & F.col("first"))
         .groupBy("id", "text_key")
         .agg(F.count(F.lit(1)).alias("rows"))
     )

@@ -92,6 +92,27 @@ def test_keep_first(edges):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_one_of_a_group_stays_without_ids_of_their_own(table):
+    """Near-copies whose ids are null, or one and the same, leave one row."""
+
+    def copies(seed, n):
+        words = prose(seed, 90).split()
+        return [" ".join([*words[:k], f"v{k}", *words[k + 1 :]]) for k in range(10, 10 + n)]
+
+    groups = [
+        [(None, t) for t in copies(1, 6)],
+        [(7, t) for t in copies(2, 6)],
+        [(None, t) for t in copies(3, 3)] + [(9, t) for t in copies(3, 6)[3:]] + [(8, copies(3, 7)[6])],
+        [(None, "alone"), (None, None), (7, "another")],
+    ]
+    docs = table([row for group in groups for row in group])
+    kept = [(r.doc_id, r.text) for r in minhash.keep_first(docs).collect()]
+    assert [sum(row in group for row in kept) for group in groups] == [1, 1, 1, 3]
+    assert [i for i, t in kept if (i, t) in groups[2]] == [8]
+    again = minhash.keep_first(docs.repartition(7)).collect()
+    assert {(r.doc_id, r.text) for r in again} == set(kept) and len(again) == len(kept)
+
+
 def test_the_stage_compares_five_words(table):
     """Two texts over 80 % alike by two words and under it by five are both kept by the stage."""
     words = [f"u{k}" for k in range(100)]
