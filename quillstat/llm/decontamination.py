@@ -1,6 +1,7 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Texts and test items are compared as words without case and ASCII punctuation. Every
+Texts and test items are compared as words without case and ASCII punctuation; letters of
+scripts written without blanks are words of their own. Every
 ``NGRAM`` of an item is counted in the whole corpus. An item's seeds are all its n-grams
 that occur there, frequent ones too: the n-grams that an edited copy broke are rarer than
 those it left whole, so a choice of the rarest would miss it. Where a seed of an item occurs, the words around it are aligned with the item: equal
@@ -39,13 +40,41 @@ BLOCK_BYTES = 16_000_000
 LOT = 1_000_000
 _BITS = 22
 
-_PUNCTUATION = {i: " " for i in range(128) if not chr(i).isalnum()}
+# Thai, Lao, Burmese, Khmer, kana and Han: scripts without blanks.
+_UNSPACED = (
+    (0x0E00, 0x0EFF),
+    (0x1000, 0x109F),
+    (0x1780, 0x17FF),
+    (0x3040, 0x30FF),
+    (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF),
+    (0x4E00, 0x9FFF),
+    (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F),
+    (0x20000, 0x3FFFF),
+)
+
+
+class _Words(dict):
+    """What stands for each character, by its code, when texts are split into words."""
+
+    def __missing__(self, code: int) -> str:
+        char = chr(code)
+        if code < 128 and not char.isalnum():
+            char = " "
+        elif any(low <= code <= high for low, high in _UNSPACED):
+            char = f" {char} "
+        self[code] = char
+        return char
+
+
+_WORDS = _Words()
 FOUND = "array<struct<item:int,score:double,begin:int,end:int>>"
 
 
 def _laid(texts: list[str]) -> Texts:
-    """Words without case and punctuation."""
-    lowered = (t.lower().translate(_PUNCTUATION) for t in texts)
+    """Words without case and punctuation, and single letters of scripts without blanks."""
+    lowered = (t.lower().translate(_WORDS) for t in texts)
     return split_words([t.encode() for t in lowered])
 
 

@@ -295,6 +295,16 @@ def test_copies_with_every_nth_word_replaced(table, items, every, phase, verbati
     assert got == pytest.approx({d: brute_score(" ".join(item), t) for d, t in pairs})
 
 
+def test_items_in_scripts_without_blanks(spark, table):
+    """Copies of a Japanese, a Chinese and a Thai item are found inside running text."""
+    texts = ["富士山の高さは何メートルですか", "世界上最长的河流是哪一条", "เมืองหลวงของประเทศไทยคืออะไร"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    edited = texts[0].replace("何", "幾")
+    docs = table([(k, f"前{t}後 words") for k, t in enumerate(texts)] + [(3, edited), (4, "山川草木" * 5)])
+    found = {(r.doc_id, r.item_id): r.score for r in decontamination.find(docs, items).collect()}
+    assert found == pytest.approx({(0, 0): 1, (1, 1): 1, (2, 2): 1, (3, 0): 1 - 2 / len(texts[0])})
+
+
 def test_no_items_or_documents(edges, empty, items):
     assert decontamination.find(empty, items).count() == 0
     assert decontamination.find(edges, items.limit(0)).count() == 0
