@@ -114,4 +114,125 @@ SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words,
 FROM split LEFT JOIN counted USING (doc_id)
 """
 
-ORACLE = {"op4_recompression": WORDS, "op5_minhash": MINHASH, "op8_mixing": MIXING, "op10_line_dedup": LINES}
+VECTORS = r"""
+WITH RECURSIVE sound AS MATERIALIZED (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS u, b.vec_id AS v
+  FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(u, v) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+), named AS (
+  SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u
+), counted AS (
+  SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u
+)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN named USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a string's UTF-8 bytes, bit by bit."""
+    byte = " + ".join(
+        f"{weight} * (instr('0123456789ABCDEF', substr(hex({text}), 2 * i - {back}, 1)) - 1)"
+        for weight, back in ((16, 1), (1, 0))
+    )
+    bits = f"list_transform(range(1, len(hex({text})) // 2 + 1), lambda i: [{byte}, 0, 0, 0, 0, 0, 0, 0])"
+    step = "xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1))"
+    whole = f"list_concat([CAST(4294967295 AS BIGINT)], CAST(flatten({bits}) AS BIGINT[]))"
+    return f"xor(list_reduce({whole}, lambda a, e: {step}), 4294967295)"
+
+
+TRIE = rf"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(turn ORDER BY place) AS turns FROM turns GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, turns, {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM own
+), rebuilt AS MATERIALIZED (
+  SELECT heads.conv_id,
+    list_concat(coalesce(own.turns[1:heads.h], []), heads.turns[heads.h + 1:]) AS turns
+  FROM heads LEFT JOIN own ON own.conv_id = heads.conv_id - heads.conv_id % 20
+), members AS (
+  SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt
+), nodes AS MATERIALIZED (
+  SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(turns) = depth), '')) AS ends_sha256
+  FROM members GROUP BY ALL
+), kids AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), valued AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS n_children,
+    CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM nodes LEFT JOIN kids USING (path)
+), above AS (
+  SELECT path[1:d] AS path, n_children, saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM valued)
+), sums AS (
+  SELECT path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM above GROUP BY path
+)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
+  CAST(v.n_convs AS BIGINT) AS n_convs, CAST(v.n_children AS BIGINT) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM valued v JOIN sums USING (path)
+LEFT JOIN nodes p ON v.depth > 0 AND p.path = v.path[1:v.depth - 1]
+"""
+
+SPELLING = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), lowered AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS c
+  FROM runs WHERE length(run) >= 5 GROUP BY ALL
+), hashed AS MATERIALIZED (
+  SELECT w, c, {_crc32("(CAST(doc_id AS VARCHAR) || ':' || w)")} AS h FROM lowered
+), words AS MATERIALIZED (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word,
+    CAST(sum(c) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING sum(c) >= 3 AND length(word) >= 5
+), places AS (
+  SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words
+), short AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS s FROM places
+), near AS MATERIALIZED (
+  SELECT a.word AS u, b.word AS v FROM short a JOIN short b ON a.s = b.s AND a.i = b.i AND a.word <> b.word
+  UNION SELECT short.word, s FROM short JOIN words ON s = words.word
+  UNION SELECT s, short.word FROM short JOIN words ON s = words.word
+), best AS (
+  SELECT u AS word, count(*) AS n_near, arg_min(v, row(-n, v)) AS form, max(n) AS form_n
+  FROM near JOIN words ON v = words.word GROUP BY u
+), formed AS MATERIALIZED (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chain(word, stop) AS (
+  SELECT word, word FROM formed
+  UNION ALL
+  SELECT chain.word, formed.form FROM chain JOIN formed ON chain.stop = formed.word WHERE formed.form IS NOT NULL
+), roots AS (
+  SELECT chain.word, chain.stop AS root FROM chain JOIN formed ON chain.stop = formed.word WHERE formed.form IS NULL
+)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM formed JOIN roots USING (word)
+"""
+
+ORACLE = {
+    "op4_recompression": WORDS,
+    "op5_minhash": MINHASH,
+    "op8_mixing": MIXING,
+    "op10_line_dedup": LINES,
+    "op11_vectors": VECTORS,
+    "op12_prefix_trie": TRIE,
+    "op13_spelling": SPELLING,
+}

@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillstat.llm import decontamination, langid, lempelziv, lines, minhash, mixing, parsing, quality, recompression, sharding
+from quillstat.llm import (
+    decontamination,
+    langid,
+    lempelziv,
+    lines,
+    minhash,
+    mixing,
+    parsing,
+    quality,
+    recompression,
+    sharding,
+    spelling,
+    trie,
+    vectors,
+)
 from quillstat.llm.oracle import ORACLE
 from quillstat.llm.tables import read
 
@@ -58,6 +72,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link(read(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefixes(read(spark, sf_dir, "conversations"), graft=True)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(read(spark, sf_dir, "documents"), slip=spelling.SLIP)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -73,6 +99,9 @@ _QUERIES = (
     op8_mixing,
     op9_langid,
     op10_line_dedup,
+    op11_vectors,
+    op12_prefix_trie,
+    op13_spelling,
     pipeline,
 )
 

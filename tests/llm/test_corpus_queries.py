@@ -21,14 +21,14 @@ ORACLE = queries.oracle_sql()
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "labels", "benchmark"):
+    for name in ("documents", "labels", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return con
 
 
 def test_one_query_for_each_operator():
     names = [n.split("_")[0] for n in QUERIES]
-    assert names == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert names == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
     assert set(ORACLE) < set(QUERIES)
 
 
