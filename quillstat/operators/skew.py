@@ -54,6 +54,26 @@ class Hot:
     def __bool__(self) -> bool:
         return bool(self.left or self.right)
 
+    def turned(self) -> Hot:
+        """The same join seen from its right side."""
+        return Hot(self.right, self.left)
+
+    def onward(self) -> Parts:
+        """Parts of what the join makes, where that is the left side of the next join.
+
+        A key's rows are by then those of both sides multiplied, and so are its parts: the
+        next join must not bring together what this one kept apart.
+        """
+        keys = self.left.keys | self.right.keys
+        return Parts({k: self.left.keys.get(k, 1) * self.right.keys.get(k, 1) for k in keys})
+
+    def after(self, before: Hot) -> Hot:
+        """This join as the next one after ``before``: divided at least as finely on the left."""
+        made = before.onward().keys
+        keys = self.left.keys | made
+        left = {k: max(self.left.keys.get(k, 1), made.get(k, 1)) for k in keys}
+        return Hot(Parts(left), self.right)
+
 
 NONE = Hot()
 NO_HOT: Mapping[str, Hot] = MappingProxyType({})

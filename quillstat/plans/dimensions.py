@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstat.fixed_values import FIRST_DAY, HISTORY_PROFILES, LAST_DAY
 from quillstat.functions.calendar import time_text
-from quillstat.operators.joins import Ids, fan_out, lookup, restrict_to
+from quillstat.operators.joins import Ids, fan_out, lookup, pair, restrict_to
 from quillstat.operators.ranking import first_by, not_first
 from quillstat.operators.rows import days
 from quillstat.operators.skew import NO_HOT, NONE, Hot, Sides
@@ -100,46 +100,69 @@ def handle_rows(
     names follow the source system: ``profile_changed_flag`` numbers the rows of a
     profile, ``address_changed_flag`` those of a handle. A missing handle counts
     as one handle. A wallet may own many handles and many profiles; all
-    combinations are kept. Handles meet profiles first, as both are few per wallet;
-    owners then meet the pairs, so the long rows are made in one join.
+    combinations are kept, and made once: as rows are numbered by owner, then handle,
+    then record, which row of the product is a first one follows from the first rows of
+    each side, found before the product is made.
     """
     owners = (
         restrict_to(ownership, profiles, "profile_id")
         .groupBy("profile_id", F.col("owned_by").alias("ownership_owner"))
         .agg(F.max("block_timestamp").alias("block_timestamp"))
     )
-    held = fan_out(
-        handles.filter(F.col("owned_by").isNotNull()).select(
-            F.col("owned_by").alias("handle_owner"),
-            "handle",
-            F.col("block_timestamp").alias("handle_time"),
-        ),
-        records.select(
-            F.col("owned_by").alias("record_owner"), F.col("profile_id").alias("profile_record_id")
-        ),
-        "handle_owner",
-        "record_owner",
-        hot.get("handles", NONE),
+    wallets = owners.groupBy(F.col("ownership_owner").alias("slot_owner")).agg(
+        F.min(F.struct("block_timestamp", "profile_id")).alias("seen")
     )
-    owned = fan_out(
+    held_by = hot.get("handles", NONE)
+    slots = _slots(handles, wallets, held_by)
+    with_handles = slots.filter(F.col("handle_owner").isNotNull()).select("handle_owner").distinct()
+    kept = records.select(
+        F.col("owned_by").alias("record_owner"), F.col("profile_id").alias("profile_record_id")
+    ).join(with_handles, F.col("record_owner") == F.col("handle_owner"), "left_semi")
+    kept = not_first(kept, {"later_record": "record_owner"}, ("profile_record_id",))
+    owners = not_first(
         owners,
-        held,
-        "ownership_owner",
-        "handle_owner",
-        hot.get("owners", NONE),
-        keys=handles.select("owned_by"),
-        null_keys=True,
+        {"later_owner": "profile_id", "later_profile": "ownership_owner"},
+        ("block_timestamp", "profile_id", "ownership_owner"),
     )
-    by_time = (
-        "block_timestamp",
+    # Wallets without handles have no records here, so they need no check against them.
+    held = fan_out(slots, kept, "slot_owner", "record_owner", held_by)
+    owned = pair(owners, held, "ownership_owner", "slot_owner", hot.get("owners", NONE))
+    # At most one row, that of the missing wallet; it has neither handles nor records.
+    nowhere = slots.filter(F.col("slot_owner").isNull())
+    same = F.col("ownership_owner").eqNullSafe(F.col("slot_owner"))
+    astray = owners.filter(F.col("ownership_owner").isNull()).join(F.broadcast(nowhere), same)
+    rows = owned.unionByName(astray, allowMissingColumns=True)
+    later_record = F.coalesce("later_record", F.lit(False))
+    return rows.select(
         "profile_id",
         "ownership_owner",
+        "block_timestamp",
+        "handle_owner",
         "handle",
         "handle_time",
+        "record_owner",
         "profile_record_id",
+        (F.col("later_owner") | F.col("later_slot") | later_record).alias("profile_changed_flag"),
+        (F.col("later_profile") | F.col("later_handle") | later_record).alias("address_changed_flag"),
     )
-    flags = {"profile_changed_flag": "profile_id", "address_changed_flag": "handle"}
-    return not_first(owned, flags, by_time)
+
+
+def _slots(handles: DataFrame, wallets: DataFrame, hot: Hot) -> DataFrame:
+    """The handles of the wallets that owners have, an empty one for wallets without.
+
+    ``later_slot`` is false on the first of each wallet, ``later_handle`` on the one that the
+    first row of each handle is made of: of the wallets with it, that whose first owner row
+    is first.
+    """
+    listed = handles.select(
+        F.col("owned_by").alias("handle_owner"), "handle", F.col("block_timestamp").alias("handle_time")
+    ).filter(F.col("handle_owner").isNotNull())
+    found = lookup(listed, wallets, "handle_owner", "slot_owner", hot)
+    having = listed.select("handle_owner").distinct()
+    empty = wallets.join(having, F.col("slot_owner") == F.col("handle_owner"), "left_anti")
+    slots = found.filter(F.col("slot_owner").isNotNull()).unionByName(empty, allowMissingColumns=True)
+    slots = not_first(slots, {"later_handle": "handle"}, ("seen", "slot_owner", "handle_time"))
+    return not_first(slots, {"later_slot": "slot_owner"}, ("handle", "handle_time")).drop("seen")
 
 
 def handle_history(*args, **kwargs) -> DataFrame:

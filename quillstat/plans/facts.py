@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from quillstat.fixed_values import CURRENCIES, Currency
 from quillstat.functions.calendar import from_micros, month_start, time_text
 from quillstat.functions.labels import paid_or_free
-from quillstat.functions.money import raw_amount, usd
+from quillstat.functions.money import currency_label, raw_amount, usd
 from quillstat.operators.joins import Ids, fan_out, lookup, pair, restrict_to
 from quillstat.operators.rows import union_as
 from quillstat.operators.skew import NO_HOT, NONE, Hot, Sides
@@ -195,12 +195,13 @@ def collects_v2(
         hot.get("modules", NONE),
         keys=modules.select("publication_id"),
     )
-    valued = lookup(
+    # By now a publication's rows are its acts times its modules, on whichever side it is hot.
+    valued = fan_out(
         priced,
         revenue.select(F.col("publication_id").alias("revenue_id"), "amount_USD"),
         "publication_id",
         "revenue_id",
-        hot.get("modules", NONE),
+        hot.get("revenue", NONE).after(hot.get("modules", NONE)),
     )
     return valued.select(
         "publication_id",
@@ -351,18 +352,28 @@ def interactions_of(
 
 
 def log_joins(sources: Sources) -> dict[str, Sides]:
-    """The joins of the log, and of the ledger, in which a publication may be hot."""
-    acted = (sources.acted_record, "publication_id")
+    """The joins of the log, and of the ledger, in which a publication may be hot.
+
+    Revenue has a row per currency of a publication's modules, which ``revenue_keys`` stands
+    for; it meets acts times modules.
+    """
+    acted, modules = ((t, "publication_id") for t in (sources.acted_record, sources.action_module))
     return {
         "parents": [(sources.publication_record, "parent_publication_id")],
         "acted": [acted],
-        "modules": [acted, (sources.action_module, "publication_id")],
+        "modules": [acted, modules],
+        "revenue": [acted, modules, (revenue_keys(sources.action_module), "publication_id")],
         "reacted": [(sources.reaction, "publication_id")],
         "mentioned": [(sources.mention, "publication_id")],
         **ledger_joins(sources.post_v1, sources.collect_module_v1, sources.collect_record_v1),
     }
 
 
+def revenue_keys(modules: DataFrame) -> DataFrame:
+    """The publications of the revenue table, as often as it has them, without its amounts."""
+    return modules.select("publication_id", currency_label(F.col("currency")).alias("currency")).distinct()
+
+
 def ledger_of(
     sources: Sources,
     creators: Ids | None = None,

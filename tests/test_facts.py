@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
+import pytest
 from conftest import rows, ts
+from pyspark.sql import functions as F
 
 from quillstat.fixed_values import CURRENCIES
-from quillstat.operators.skew import Hot, Parts
+from quillstat.operators.skew import Hot, Parts, find_hot
 from quillstat.plans import dimensions, facts, stage
 from quillstat.schemas import INTERACTION, INTERACTION_LOG, PROFILE, PUBLICATION, check
 
@@ -264,11 +267,12 @@ def test_log_is_the_union_of_its_branches(raw):
     check(log.drop("interaction_date_year_month"), INTERACTION)
 
 
-def history(raw, profiles):
-    def at(day):
-        return ts(f"2024-01-0{day}")
+def at(day):
+    return ts(f"2024-01-0{day}")
 
-    return dimensions.handle_history(
+
+def history(raw, profiles, make=dimensions.handle_history):
+    return make(
         raw(
             "ownership_history",
             {"profile_id": "1", "owned_by": "w1", "block_timestamp": at(1)},
@@ -319,5 +323,86 @@ def test_history_flags_count_the_chosen_profiles_only(raw):
 
 
 def test_history_order(raw):
-    got = [(r.profile_id, r.handle) for r in history(raw, None).collect()]
+    # Only the query result is sorted; the product, a stored table, has no order.
+    got = [(r.profile_id, r.handle) for r in history(raw, None, dimensions.sorted_history).collect()]
     assert [g[0] for g in got] == ["1", "1", "2", "3", "4"]
+
+
+def by_hand(owners, handles, records):
+    """The history's rows and flags, numbered one after another as the source system does."""
+    owned = {}
+    for profile, wallet, time in owners:
+        owned[profile, wallet] = max(owned.get((profile, wallet), time), time)
+    out = []
+    for (profile, wallet), time in owned.items():
+        mine = [h for h in handles if wallet is not None and h[0] == wallet]
+        for handle in mine or [(None, None, None)]:
+            ids = [r[0] for r in records if handle[0] is not None and r[1] == handle[0]]
+            out += [(time, profile, wallet, handle[1], handle[2], i) for i in ids or [None]]
+    out.sort(key=lambda r: [(x is not None, x) for x in r])
+    seen, rows_ = set(), []
+    for time, profile, wallet, handle, at_, record in out:
+        later = ("profile", profile) in seen, ("handle", handle) in seen
+        seen |= {("profile", profile), ("handle", handle)}
+        rows_.append((profile, record, wallet, handle, time, *later))
+    return sorted(rows_, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("dividing", [False, True])
+def test_flags_of_random_histories(raw, seed, dividing):
+    """Few values, so that times, wallets, handles and whole rows repeat; some are missing."""
+    rng = random.Random(seed)
+
+    def some(*values):
+        return rng.choice(values)
+
+    wallets = ("a", "b", "c", "d", None)
+    owners = [(some("1", "2", "3", "4"), some(*wallets), at(rng.randint(1, 4))) for _ in range(14)]
+    handles = [(some(*wallets), some("h", "i", None), at(rng.randint(1, 2))) for _ in range(8)]
+    records = [(some("1", "2", "3", "4", "5"), some(*wallets)) for _ in range(8)]
+    parts = Parts({"a": 3, "b": 2})
+    hot = {"handles": Hot(parts, parts), "owners": Hot(parts, parts)} if dividing else {}
+    got = dimensions.handle_history(
+        raw("ownership_history", *[dict(zip(("profile_id", "owned_by", "block_timestamp"), r)) for r in owners]),
+        raw("handle_history", *[dict(zip(("owned_by", "handle", "block_timestamp"), r)) for r in handles]),
+        raw("profile_record", *[dict(zip(("profile_id", "owned_by"), r)) for r in records]),
+        None,
+        hot,
+    )
+    columns = ("profile_id", "profile_record_id", "ownership_owner", "handle", "block_timestamp",
+               "profile_changed_flag", "address_changed_flag")
+    assert rows(got, *columns) == by_hand(owners, handles, records)
+
+
+def test_a_hot_publication_stays_divided_along_the_joins(spark, raw):
+    """Acts, then modules, then currencies: no task ever has more than its share."""
+    acts, modules, currencies, partitions = 60, 50, 30, 16
+    acted = spark.range(acts).select(
+        F.lit("p").alias("publication_id"),
+        F.col("id").cast("string").alias("acted_profile_id"),
+        F.lit(True).alias("is_collect"),
+        F.lit(TIME).alias("block_timestamp"),
+    )
+    module = spark.range(modules).select(
+        F.lit("p").alias("publication_id"), F.lit("x").alias("currency"), F.col("id").cast("string").alias("amount")
+    )
+    revenue = spark.range(currencies).select(
+        F.lit("p").alias("publication_id"), F.col("id").cast("decimal(38,6)").alias("amount_USD")
+    )
+    sides = [(t, "publication_id") for t in (acted, module, revenue)]
+    joins = {"acted": sides[:1], "modules": sides[:2], "revenue": sides}
+    hot = find_hot(joins, sample=1.0, sure=2, partitions=partitions)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": str(partitions)}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = facts.collects_v2(acted, facts.owners_of(family(raw)), module, revenue, False, hot)
+        tasks = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(tasks) == acts * modules * currencies
+    assert max(tasks) <= 4 * sum(tasks) / partitions
