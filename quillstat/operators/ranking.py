@@ -20,23 +20,30 @@ def first_by(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def not_first(df: DataFrame, flags: Mapping[str, str], order: Sequence[str]) -> DataFrame:
+def not_first(
+    df: DataFrame,
+    flags: Mapping[str, tuple[str, Sequence[str]]],
+    unique: bool = False,
+) -> DataFrame:
     """Add flags, each false on the first row of its key and true on all others.
 
-    ``flags`` gives the key of each flag, ``order`` columns that sort ascending with
+    ``flags`` gives the key of each flag and the columns that sort its rows, ascending with
     NULL first; the other columns break ties. NULL is a key like any other. The first
     row of a key is a minimum, which every task reduces before the shuffle, and rows
     meet these minima on all their columns. So however many rows a key has, they are
-    moved once, evenly, and for all flags together. Of equal rows exactly one is first.
+    moved once, evenly, and for all flags together. Of equal rows exactly one is first;
+    with ``unique`` the caller knows that there are none.
     """
-    rest = [c for c in df.columns if c not in order]
-    rows = df.withColumn("_row", F.struct(*order, *rest))
+    rows = df.withColumn("_row", F.struct(*df.columns))
     copy = F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(1)))
-    flagged = rows.withColumn("_copy", copy)
-    for flag, key in flags.items():
-        firsts = rows.groupBy(F.col(key).alias(f"_{flag}_key")).agg(F.min("_row").alias(f"_{flag}"))
+    flagged = rows if unique else rows.withColumn("_copy", copy)
+    again = F.lit(False) if unique else F.col("_copy") > 1
+    for flag, (key, order) in flags.items():
+        place = F.struct(*order, *[c for c in df.columns if c not in order])
+        first = F.min(F.struct(place.alias("place"), F.col("_row").alias("row")))
+        firsts = rows.groupBy(F.col(key).alias(f"_{flag}_key")).agg(first["row"].alias(f"_{flag}"))
         flagged = flagged.join(
             firsts.select(f"_{flag}"), F.col("_row") == F.col(f"_{flag}"), "left"
         )
-    columns = [(F.col(f"_{f}").isNull() | (F.col("_copy") > 1)).alias(f) for f in flags]
+    columns = [(F.col(f"_{f}").isNull() | again).alias(f) for f in flags]
     return flagged.select(*df.columns, *columns)

@@ -118,12 +118,9 @@ def handle_rows(
     kept = records.select(
         F.col("owned_by").alias("record_owner"), F.col("profile_id").alias("profile_record_id")
     ).join(with_handles, F.col("record_owner") == F.col("handle_owner"), "left_semi")
-    kept = not_first(kept, {"later_record": "record_owner"}, ("profile_record_id",))
-    owners = not_first(
-        owners,
-        {"later_owner": "profile_id", "later_profile": "ownership_owner"},
-        ("block_timestamp", "profile_id", "ownership_owner"),
-    )
+    kept = not_first(kept, {"later_record": ("record_owner", ("profile_record_id",))})
+    by_time = ("block_timestamp", "ownership_owner")
+    owners = not_first(owners, {"later_owner": ("profile_id", by_time)}, unique=True)
     # Wallets without handles have no records here, so they need no check against them.
     held = fan_out(slots, kept, "slot_owner", "record_owner", held_by)
     owned = pair(owners, held, "ownership_owner", "slot_owner", hot.get("owners", NONE))
@@ -133,6 +130,7 @@ def handle_rows(
     astray = owners.filter(F.col("ownership_owner").isNull()).join(F.broadcast(nowhere), same)
     rows = owned.unionByName(astray, allowMissingColumns=True)
     later_record = F.coalesce("later_record", F.lit(False))
+    later_profile = F.struct("block_timestamp", "profile_id") != F.col("seen")
     return rows.select(
         "profile_id",
         "ownership_owner",
@@ -143,12 +141,13 @@ def handle_rows(
         "record_owner",
         "profile_record_id",
         (F.col("later_owner") | F.col("later_slot") | later_record).alias("profile_changed_flag"),
-        (F.col("later_profile") | F.col("later_handle") | later_record).alias("address_changed_flag"),
+        (later_profile | F.col("later_handle") | later_record).alias("address_changed_flag"),
     )
 
 
 def _slots(handles: DataFrame, wallets: DataFrame, hot: Hot) -> DataFrame:
-    """The handles of the wallets that owners have, an empty one for wallets without.
+    """The handles of the wallets that owners have, an empty one for wallets without, each with
+    the first owner row that its wallet was ``seen`` in.
 
     ``later_slot`` is false on the first of each wallet, ``later_handle`` on the one that the
     first row of each handle is made of: of the wallets with it, that whose first owner row
@@ -161,8 +160,11 @@ def _slots(handles: DataFrame, wallets: DataFrame, hot: Hot) -> DataFrame:
     having = listed.select("handle_owner").distinct()
     empty = wallets.join(having, F.col("slot_owner") == F.col("handle_owner"), "left_anti")
     slots = found.filter(F.col("slot_owner").isNotNull()).unionByName(empty, allowMissingColumns=True)
-    slots = not_first(slots, {"later_handle": "handle"}, ("seen", "slot_owner", "handle_time"))
-    return not_first(slots, {"later_slot": "slot_owner"}, ("handle", "handle_time")).drop("seen")
+    flags = {
+        "later_handle": ("handle", ("seen", "slot_owner", "handle_time")),
+        "later_slot": ("slot_owner", ("handle", "handle_time")),
+    }
+    return not_first(slots, flags)
 
 
 def handle_history(*args, **kwargs) -> DataFrame:

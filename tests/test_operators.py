@@ -170,7 +170,7 @@ def test_not_first_flags_all_but_one_row_of_each_key(spark, partitions):
     data = [(rng.choice(keys), rng.choice(keys), rng.choice([0, 1, 2, None])) for _ in range(300)]
     data += [("copies", "x", 1)] * 50 + [("one", None, 1)]
     df = spark.createDataFrame(data, "k string, other string, t int").repartition(partitions)
-    got = not_first(df, {"later": "k", "late": "other"}, ["t", "k"]).collect()
+    got = not_first(df, {"later": ("k", ["t", "k"]), "late": ("other", ["t", "k"])}).collect()
     assert Counter((r.k, r.other, r.t) for r in got) == Counter(data)
 
     def rank(t):
