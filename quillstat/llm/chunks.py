@@ -45,13 +45,18 @@ def buckets_for(size: int, asked: int) -> int:
 
 
 def chunked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """The texts with their ``chunk``, and the bytes of all. Null ids come last."""
+    """The texts with their ``chunk``, and the bytes of all. Null ids come last.
+
+    The partition of the input takes part in the choice, so rows that repeat id and text all
+    over the table spread; those of one input partition stay together. It does not change
+    when a task is run again.
+    """
     with_library(docs.sparkSession)
     text = text_of(text_col)
     size = docs.select(F.sum(F.octet_length(text) + F.lit(64)).alias("n")).first()["n"] or 0
     # pandas would turn a column of numbers with nulls into floats.
     rows = docs.select(F.col(id_col).cast("long").cast("string").alias("id"), text.alias("text"))
-    chunk = F.pmod(F.xxhash64("id", "text"), F.lit(parts_for(size, grain(size))))
+    chunk = F.pmod(F.xxhash64("id", "text", F.spark_partition_id()), F.lit(parts_for(size, grain(size))))
     return rows.withColumn("chunk", chunk), size
 
 

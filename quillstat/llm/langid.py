@@ -19,7 +19,7 @@ no rows. Repeated and null ids are scored like any other. Extra columns are igno
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstat.llm.arrays import batches, dense
-from quillstat.llm.tables import with_library
+from quillstat.llm.tables import small_batches, with_library
 
 DIMENSIONS = 1024
 NGRAM = 3
@@ -36,6 +36,14 @@ UNKNOWN = "und"
 MIN_SCORE = 0.001
 # Texts are handled in lots of about so many characters.
 LOT = 1_000_000
+LOT_TEXTS = 2000
+# N-grams whose vectors are made at once, and cells of the table of their counts.
+BLOCK = 4096
+BLOCK_CELLS = 4_000_000
+# The table is used if more than one cell in so many is filled; else pairs are added up, so
+# many at once.
+DENSE = 64
+PAIRS = 4096
 BLANK = 32
 
 
@@ -46,7 +54,7 @@ def _letters() -> np.ndarray:
     return np.fromiter(points, bool, 0x110000)
 
 
-@cache
+@lru_cache(maxsize=1 << 15)
 def _letter_vector(point: int, dimensions: int) -> np.ndarray:
     drawn = np.random.default_rng([point, dimensions]).integers(0, 2, dimensions, np.int8)
     return drawn * np.int8(2) - np.int8(1)
@@ -83,20 +91,54 @@ def profiles(texts: list[str], dimensions: int = DIMENSIONS) -> tuple[np.ndarray
         head = parts[-1][distinct // len(alphabet)]
         parts.append(np.concatenate([head, (distinct % len(alphabet))[:, None]], axis=1))
         spaces = len(distinct)
-    vectors = np.stack([_letter_vector(int(p), dimensions) for p in alphabet])
-    bound = np.ones((spaces, dimensions), np.int8)
-    for place in range(NGRAM):
-        bound *= np.roll(vectors, NGRAM - 1 - place, axis=1)[parts[-1][:, place]]
     owner = of[NGRAM - 1 :]
     whole = of[1 : len(owner) + 1] == owner  # the n-gram lies in one text, after its blank
-    counts = np.bincount(owner[whole] * spaces + grams[whole], minlength=len(texts) * spaces)
-    sums = counts.reshape(len(texts), spaces).astype(np.float32) @ bound.astype(np.float32)
+    # How often each text has each n-gram, by n-gram; most pairs do not occur.
+    pairs = np.sort(grams[whole].astype(np.int64) * len(texts) + owner[whole])
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    times = np.diff(first, append=len(pairs)).astype(np.float32)
+    gram, text = np.divmod(pairs[first], len(texts))
+    block = min(BLOCK, max(256, BLOCK_CELLS // len(texts)))
+    for low in range(0, spaces, block):
+        begin, end = np.searchsorted(gram, [low, low + block])
+        if begin < end:
+            bound = _bound(alphabet, parts[-1][low : low + block], dimensions)
+            _add(sums, bound, gram[begin:end] - low, text[begin:end], times[begin:end])
     return sums, known
 
 
+def _bound(alphabet: np.ndarray, grams: np.ndarray, dimensions: int) -> np.ndarray:
+    """The vectors of n-grams, given by the numbers of their letters."""
+    used, place = np.unique(grams, return_inverse=True)
+    vectors = np.stack([_letter_vector(int(p), dimensions) for p in alphabet[used]])
+    place = place.reshape(grams.shape)
+    bound = np.ones((len(grams), dimensions), np.int8)
+    for at in range(NGRAM):
+        bound *= np.roll(vectors, NGRAM - 1 - at, axis=1)[place[:, at]]
+    return bound
+
+
+def _add(
+    sums: np.ndarray, bound: np.ndarray, gram: np.ndarray, text: np.ndarray, times: np.ndarray
+) -> None:
+    """Add the n-grams' vectors, as often as they occur, to those of their texts."""
+    if len(gram) * DENSE > len(sums) * len(bound):
+        counts = np.zeros((len(sums), len(bound)), np.float32)
+        counts[text, gram] = times
+        sums += counts @ bound.astype(np.float32)
+        return
+    order = np.argsort(text, kind="stable")
+    for at in range(0, len(order), PAIRS):
+        own = order[at : at + PAIRS]
+        first = np.flatnonzero(np.diff(text[own], prepend=-1))
+        rows = bound[gram[own]] * times[own, None]
+        sums[text[own][first]] += np.add.reduceat(rows, first, axis=0)
+
+
 def _lots(texts: Iterable[str | None]) -> Iterator[list[str]]:
     known = [t or "" for t in texts]
-    for part in batches([len(t) for t in known], LOT):
+    # Every text has a vector, however short it is.
+    for part in batches([len(t) + LOT // LOT_TEXTS for t in known], LOT):
         yield known[part]
 
 
@@ -114,6 +156,7 @@ def learn(
 ) -> dict[str, np.ndarray]:
     """The unit vector of each language, from at most about ``train_rows`` texts of each."""
     with_library(labelled.sparkSession)
+    small_batches(labelled.sparkSession)
     known = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = dict(known.groupBy(F.col(lang_col)).count().collect())
     if not counts:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from quillstat.llm.arrays import batches, blend, chain, distinct, hash_words, split_words
 from quillstat.llm.stars import components
-from quillstat.llm.tables import cut, parts_for, text_of, with_library
+from quillstat.llm.tables import cut, parts_for, small_batches, text_of, with_library
 
 SHINGLE = 2
 PERCENT = 80
@@ -310,6 +310,7 @@ def _resolved(
     """
     spark = docs.sparkSession
     with_library(spark)
+    small_batches(spark)
     source = docs.select(
         F.col(id_col).alias("id"), text_key(text_col).alias("text_key"), text_of(text_col).alias("text")
     )
@@ -407,5 +408,9 @@ def keep_first(
     same = (F.col("key") == F.col("kept_key")) & F.col("id").eqNullSafe(F.col("kept_id"))
     joined = tagged.join(kept, same)
     alone = joined.filter(F.col("rows") == 1).select("row.*")
-    again = joined.filter(F.col("rows") > 1).dropDuplicates(["id", "key"]).select("row.*")
-    return alone.union(again)
+    again = kept.filter(F.col("rows") > 1)
+    if again.isEmpty():
+        return alone
+    # Rows that repeat both id and text are few; only they are brought together.
+    repeated = tagged.join(again, same).dropDuplicates(["id", "key"]).select("row.*")
+    return alone.union(repeated)

@@ -12,9 +12,9 @@ is one cutoff per source. So whether a row is taken depends on the row and its s
 cutoff alone.
 
 Defined results: a null or wordless text has size 0 and takes no words; a null source is
-a source of its own, last in order; a null id is ordered as the text ``null``; rows with
-the same id are taken or left together; a source without words has target 0; no rows
-give no rows. Extra columns are ignored by ``mix`` and kept by ``repeat``.
+a source of its own, last in order; a null id is ordered as the text ``null``; rows that
+agree in id and text are taken or left together; a source without words has target 0; no
+rows give no rows. Extra columns are ignored by ``mix`` and kept by ``repeat``.
 """
 
 from __future__ import annotations
@@ -37,8 +37,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def seeded_order(row_id: Column, seed: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(row_id.cast("string"), F.lit("null"))))
+def seeded_order(row_id: Column, text: Column, seed: str) -> Column:
+    """A place in a random order that depends on the id and the text, so only equal rows tie."""
+    known = (F.coalesce(row_id.cast("string"), F.lit("null")), F.coalesce(text, F.lit("")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), known[0], F.lit(":"), known[1]))
 
 
 def cyclic_weights(sources: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
@@ -160,7 +162,7 @@ def mix(
             F.col(id_col).alias(id_col),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
-            seeded_order(F.col(id_col), seed).alias("order"),
+            seeded_order(F.col(id_col), F.col(text_col), seed).alias("order"),
         ),
         "mixing-measured",
     )
@@ -183,14 +185,14 @@ def repeat(
         docs.select(
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
-            seeded_order(F.col(id_col), seed).alias("order"),
+            seeded_order(F.col(id_col), F.col(text_col), seed).alias("order"),
         ),
         "mixing-measured",
     )
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col(source_col).alias("source"),
-        seeded_order(F.col(id_col), seed).alias("order"),
+        seeded_order(F.col(id_col), F.col(text_col), seed).alias("order"),
     )
     taken = _taken(rows, cutoffs(measured, max_epochs, weights), max_epochs)
     copies = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))

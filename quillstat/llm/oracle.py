@@ -4,7 +4,7 @@ MIXING = r"""
 WITH measured AS (
   SELECT doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-    md5('mixing:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS ord
+    md5('mixing:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')) AS ord
   FROM documents
 ), sizes AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS size,

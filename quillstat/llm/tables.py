@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows of a table that may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 100_000
+# Bytes of a batch of rows between Spark and Python.
+BATCH_BYTES = 4_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +47,17 @@ def with_library(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, known]))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python in batches of a few MB, unless the session has smaller ones.
+
+    Executors keep the memory of the largest batch that they have sent.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if ``df``, which should be cheap to count, has at most ``limit`` rows.
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from tables_of_texts import edge_texts, prose, rows
 
-from quillstat.llm import lines, parsing, recompression
+from quillstat.llm import chunks, lines, parsing, recompression
 from quillstat.llm.recompression import Symbols, least_name
 
 LAST = 2**63
@@ -157,3 +157,33 @@ def test_least_name():
     end = begin + rng.integers(1, 10, 300)
     want = [b + int(names[b:e].argmin()) for b, e in zip(begin, end, strict=True)]
     assert least_name(names, begin, end).tolist() == want
+
+
+@pytest.mark.parametrize("operator", ["lines", "words", "bytes"])
+def test_a_thousand_copies_of_a_row(table, monkeypatch, operator):
+    """Copies of one row, with and without an id, in many chunks and input partitions."""
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 20_000)
+    passage = prose(60, 60)
+    pairs = [(7, passage)] * 1000 + [(None, passage)] * 1000 + [(3, prose(61, 12) + "\n" + passage)]
+    df = table(pairs).repartition(16)
+    if operator == "lines":
+        got = rows(lines.dedup(df), "doc_id", "n_lines", "n_removed", "kept")
+        want = brute_lines(pairs)
+    elif operator == "words":
+        got = rows(recompression.dedup(df), "doc_id", "n_words", "n_removed")
+        want = [(i, len(own), sum(gone)) for i, own, gone in brute_windows(pairs, lambda t: t.split(), 13)]
+    else:
+        got = rows(parsing.dedup(df), "doc_id", "n_bytes", "n_removed")
+        # Every byte of the passage repeats, and none of the words before it.
+        want = [(i, len(t), len(passage)) for i, t in pairs]
+        assert len(passage) >= 200
+    assert got == sorted(want, key=repr)
+
+
+def test_equal_rows_spread_over_chunks(spark):
+    df = spark.range(0, 200_000, 1, 64).selectExpr("CAST(NULL AS BIGINT) AS doc_id", f"'{prose(1, 40)}' AS text")
+    spread, size = chunks.chunked(df, "doc_id", "text")
+    wanted = -(-size // chunks.CHUNK_BYTES)
+    assert wanted > 10
+    used = spread.groupBy("chunk").count().collect()
+    assert len(used) >= 0.8 * wanted and max(r["count"] for r in used) < 200_000 / 4

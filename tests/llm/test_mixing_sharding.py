@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from tables_of_texts import edge_texts, prose
 
 from quillstat.llm import mixing, sharding
@@ -76,6 +77,17 @@ def test_near_the_target(table):
     assert sorted(first) == sorted(again)
 
 
+@pytest.mark.parametrize("same", [None, 7])
+def test_rows_that_share_an_id_are_not_one_block(table, same):
+    """A third of the rows without an id, or with one id, are taken one by one."""
+    docs = table([(same if k % 3 == 0 else k, prose(k, 20 + k % 5)) for k in range(240)])
+    docs = docs.withColumn("source", F.when(F.crc32(F.col("text").cast("binary")) % 2 == 0, "a").otherwise("b"))
+    got = mixing.mix(docs).collect()
+    for target, size in {(r.target, r.source_size) for r in got}:
+        taken = sum(r.taken for r in got if r.target == target)
+        assert abs(taken - target) <= 24, (target, size)
+
+
 def test_repeat_follows_mix(edges):
     copies = sum(r.copies for r in mixing.mix(edges).collect())
     out = mixing.repeat(edges)

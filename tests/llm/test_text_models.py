@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import resource
 
 import numpy as np
 import pytest
@@ -75,6 +76,31 @@ def test_language_of_edges(edges):
     assert all(any(c.isalpha() for c in r.text or "") for r in kept.collect())
 
 
+def test_many_short_texts_in_large_alphabets():
+    """Memory follows the texts, not the product of texts and n-grams."""
+    rng = random.Random(3)
+    chinese = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(100)) for _ in range(10_000)]
+    mixed = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz/+7") for _ in range(100)) for _ in range(10_000)]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for texts in (chinese, mixed, ["a"] * 50_000):
+        for lot in langid._lots(texts):
+            sums, known = langid.profiles(lot)
+            assert len(sums) == len(lot) <= langid.LOT_TEXTS and known.min() > 0
+    after = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert after - before < 400_000  # kilobytes
+
+
+@pytest.mark.parametrize("dense", [0, 10**9])
+def test_both_ways_of_adding_up_agree(monkeypatch, dense):
+    texts = ["", "a", *[prose(k, 60) for k in range(5)], "日本語のテキスト" * 9]
+    want, _ = langid.profiles(texts)
+    monkeypatch.setattr(langid, "DENSE", dense)
+    monkeypatch.setattr(langid, "BLOCK", 300)
+    monkeypatch.setattr(langid, "PAIRS", 7)
+    got, _ = langid.profiles(texts)
+    assert (got == want).all()
+
+
 def test_nothing_learned(table, empty):
     assert langid.predict(empty).count() == 0
     unlabelled = table([(1, "some text"), (2, None)]).drop("lang").selectExpr("*", "string(null) lang")
@@ -259,14 +285,16 @@ def test_leaks(table, items, monkeypatch):
         (d, i): brute_score(t, text)
         for d, text in pairs + clean
         for i, t in known.items()
-        if text and t and len(t.split()) >= 3
+        if text and t
     }
-    want = {p: s for p, s in want.items() if s >= 0.5}
+    short = {i for i, t in known.items() if t and len(t.split()) < 3}
+    want = {p: s for p, s in want.items() if s >= (1 if p[1] in short else 0.5)}
     assert {p: s for p, s in got.items() if p[1] is not None} == pytest.approx(want)
-    assert {d for d, _ in want} == {d for d, _ in pairs}
+    # An item of two words is found where it stands whole.
+    assert {d for d, _ in want} == {d for d, _ in pairs} | {2002}
     kept = decontamination.remove(docs, items)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {d for d, _ in clean}
+    assert {r.doc_id for r in kept.collect()} == {d for d, _ in clean} - {2002}
     # The same in blocks of items.
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", 600)
     again = {(r.doc_id, r.item_id): r.score for r in decontamination.find(docs, items).collect()}
@@ -295,6 +323,52 @@ def test_copies_with_every_nth_word_replaced(table, items, every, phase, verbati
     assert got == pytest.approx({d: brute_score(" ".join(item), t) for d, t in pairs})
 
 
+@pytest.mark.parametrize("verbatim", [0, 60])
+def test_copies_with_words_inserted(table, items, verbatim):
+    """A word after every second one leaves no three words together, but pairs."""
+    known = {r.item_id: r.text.split() for r in items.collect() if r.item_id in range(8)}
+    pairs = []
+    for i, words in known.items():
+        own = " ".join(f"{w} new{k}" if k % 2 else w for k, w in enumerate(words))
+        pairs.append((i, f"{prose(i, 20)} {own} {prose(50 + i, 20)}"))
+        pairs += [(1000 + 100 * i + k, f"{prose(k, 20)} {' '.join(words)}") for k in range(verbatim)]
+    texts = dict(pairs)
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.find(table(pairs), items).collect()}
+    for i, words in known.items():
+        score = brute_score(" ".join(words), texts[i])
+        assert got.get((i, i)) == (pytest.approx(score) if score >= 0.5 else None)
+    assert sum((i, i) in got for i in known) >= 4
+
+
+def test_random_alignments_lose_nothing(table, spark):
+    """Short items of few words, in which every pair of words is common somewhere."""
+    rng = random.Random(5)
+
+    def words(n):
+        return " ".join(rng.choice("abcdefgh") for _ in range(n))
+
+    known = {k: words(rng.randint(1, 9)) for k in range(25)}
+    texts = {k: words(rng.randint(0, 25)) for k in range(40)}
+    items = spark.createDataFrame(list(known.items()), "item_id long, text string")
+    for least in (0.5, 0.8):
+        found = decontamination.find(table(list(texts.items())), items, least).collect()
+        want = {(d, i): brute_score(t, text) for d, text in texts.items() for i, t in known.items() if text}
+        want = {p: s for p, s in want.items() if s >= (1 if len(known[p[1]].split()) < 3 else least)}
+        assert {(r.doc_id, r.item_id): r.score for r in found} == pytest.approx(want)
+
+
+def test_rare_pairs_are_the_seeds():
+    items = decontamination.Items.of(["a b c d e f g h i j", "x", "y z"], 0.5)
+    counts = np.arange(1, len(items.pairs.lookup.keys) + 1)
+    seeds = items.seeds(counts)
+    # Every copy holds four of nine pairs; of the eight rarest it holds three at least.
+    assert len(counts) == 10 and list(seeds.need) == [3, 1, 1]
+    chosen = np.bincount(seeds.pairs.item, minlength=3)
+    assert list(chosen) == [8, 0, 1] and len(seeds.singles.lookup.keys) == 1
+    # Pairs that occur nowhere are none; too few that occur mean that there is no copy.
+    assert not len(items.seeds(counts * 0).pairs.lookup.keys)
+
+
 def test_items_in_scripts_without_blanks(spark, table):
     """Copies of a Japanese, a Chinese and a Thai item are found inside running text."""
     texts = ["富士山の高さは何メートルですか", "世界上最长的河流是哪一条", "เมืองหลวงของประเทศไทยคืออะไร"]
