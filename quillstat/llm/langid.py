@@ -39,7 +39,7 @@ LOT = 1_000_000
 LOT_TEXTS = 2000
 # N-grams whose vectors are made at once, and cells of the table of their counts.
 BLOCK = 4096
-BLOCK_CELLS = 4_000_000
+BLOCK_CELLS = 8_000_000
 # The table is used if more than one cell in so many is filled; else pairs are added up, so
 # many at once.
 DENSE = 64
@@ -93,6 +93,13 @@ def profiles(texts: list[str], dimensions: int = DIMENSIONS) -> tuple[np.ndarray
         spaces = len(distinct)
     owner = of[NGRAM - 1 :]
     whole = of[1 : len(owner) + 1] == owner  # the n-gram lies in one text, after its blank
+    if len(texts) * spaces <= BLOCK_CELLS:
+        counts = np.bincount(owner[whole] * spaces + grams[whole], minlength=len(texts) * spaces)
+        counts = counts.reshape(len(texts), spaces).astype(np.float32)
+        for low in range(0, spaces, BLOCK):
+            bound = _bound(alphabet, parts[-1][low : low + BLOCK], dimensions)
+            sums += counts[:, low : low + BLOCK] @ bound.astype(np.float32)
+        return sums, known
     # How often each text has each n-gram, by n-gram; most pairs do not occur.
     pairs = np.sort(grams[whole].astype(np.int64) * len(texts) + owner[whole])
     first = np.flatnonzero(np.diff(pairs, prepend=-1))

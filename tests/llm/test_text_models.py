@@ -96,6 +96,7 @@ def test_both_ways_of_adding_up_agree(monkeypatch, dense):
     want, _ = langid.profiles(texts)
     monkeypatch.setattr(langid, "DENSE", dense)
     monkeypatch.setattr(langid, "BLOCK", 300)
+    monkeypatch.setattr(langid, "BLOCK_CELLS", 2000)
     monkeypatch.setattr(langid, "PAIRS", 7)
     got, _ = langid.profiles(texts)
     assert (got == want).all()
