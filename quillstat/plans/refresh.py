@@ -1,23 +1,26 @@
 """Full refresh of all products in dependency order.
 
 Every product is written and read back, so later products start from files: a
-lost executor costs the tasks it ran, not the chain before them.
+lost executor costs the tasks it ran, not the chain before them. A refresh that broke off
+goes on where it was when it is called again with the same folder and the same sources.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import cache
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quillstat.fixed_values import ALLOWLIST, CURRENCIES, HISTORY_PROFILES, Currency
 from quillstat.functions.money import split_amounts
 from quillstat.operators.joins import Ids
-from quillstat.operators.skew import NONE, find_hot
+from quillstat.operators.skew import NONE, Hot, find_hot
 from quillstat.plans import dimensions, facts, marts, stage
-from quillstat.schemas import PRODUCTS, check
-from quillstat.sources.sinks import export_times, write_files
-from quillstat.sources.tables import Sources, read_product, with_tables
+from quillstat.sources.runs import Run, publish, together
+from quillstat.sources.sinks import export_times
+from quillstat.sources.tables import Sources, with_tables
 
 # Products partitioned by month, with their month column.
 MONTHS = {
@@ -28,6 +31,10 @@ MONTHS = {
 }
 
 
+# Large products that are read by creator.
+CLUSTERS = {name: ("profile_id", "publication_id") for name in MONTHS}
+
+
 def refresh(
     spark: SparkSession,
     sources: Sources,
@@ -35,83 +42,104 @@ def refresh(
     creators: Ids = ALLOWLIST,
     currencies: Sequence[Currency] = CURRENCIES,
     history: Ids | None = HISTORY_PROFILES,
+    base: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write all products below ``root``, a new directory, and return them as read back.
+    """Write all products below ``root`` and return them as read back.
 
-    Amounts no decimal can hold are set aside in a product of their own first, so one
-    bad row stops nothing. Hot keys are measured once for all joins.
+    ``root`` is a new directory, or that of a run with the same arguments that did not come
+    to its end; products that are finished there are not made again. With ``base`` the run is
+    published there as a whole when it is done. Amounts no decimal can hold are set
+    aside in a product of their own first, so one bad row stops nothing. Hot keys are
+    measured once for all joins, when the first product asks for them. Products that do not
+    depend on each other are written at the same time.
     """
-    done: dict[str, DataFrame] = {}
+    run = Run(spark, root)
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        path = write_files(check(df, PRODUCTS[name]), f"{root}/{name}", MONTHS.get(name))
-        done[name] = read_product(spark, path, name)
-        return done[name]
+    def put(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return run.put(name, build, MONTHS.get(name), CLUSTERS.get(name, ()))
 
     split = {n: split_amounts(getattr(sources, n)) for n in ("action_module", "collect_module_v1")}
-    put("quarantined_amount", stage.quarantined({n: bad for n, (_, bad) in split.items()}))
+    put("quarantined_amount", lambda: stage.quarantined({n: bad for n, (_, bad) in split.items()}))
     sources = with_tables(sources, **{n: good for n, (good, _) in split.items()})
-    hot = find_hot(
-        {
-            **facts.log_joins(sources),
-            **dimensions.history_joins(
-                sources.ownership_history, sources.handle_history, sources.profile_record
+    owners = (sources.ownership_history, sources.handle_history, sources.profile_record)
+    measuring = Lock()
+
+    @cache
+    def measured() -> Mapping[str, Hot]:
+        return find_hot({**facts.log_joins(sources), **dimensions.history_joins(*owners)})
+
+    def hot() -> Mapping[str, Hot]:
+        with measuring:
+            return measured()
+
+    def staged() -> DataFrame:
+        ledger = put("publication_collect", lambda: facts.ledger_of(sources, None, currencies, hot()))
+        return put("stage_v1_publication_collect", lambda: export_times(ledger))
+
+    def profiled() -> DataFrame:
+        made = put(
+            "L2_profile",
+            lambda: dimensions.profile_dimension(
+                sources.profile_record,
+                sources.profile_metadata,
+                sources.profile_last_logged_in,
+                sources.profile_stats,
+                sources.follower_stats,
+                sources.profile_quality,
             ),
-        }
-    )
+        )
+        put("profile_check", lambda: dimensions.profile_check(made))
+        return put("L3_profile", lambda: marts.profile_mart(made))
 
-    listed = put("md_allowlist", stage.allowlist_of(spark, creators))
-    # A short list reaches the scans as a predicate, a table is joined.
-    chosen = listed if isinstance(creators, DataFrame) else creators
-    put("stage_currency_exchange", stage.exchange_rates(spark, currencies))
-    put("L2_date", dimensions.date_dimension(spark))
-
-    put("currency_check", stage.currency_check(sources.action_module, currencies))
-    ledger = put("publication_collect", facts.ledger_of(sources, None, currencies, hot))
-    hop = put("stage_v1_publication_collect", export_times(ledger))
-    revenue = put(
-        "stage_v2_publication_collect", stage.revenue_v2(sources.action_module, currencies)
-    )
-    profiles = put(
-        "L2_profile",
-        dimensions.profile_dimension(
-            sources.profile_record,
-            sources.profile_metadata,
-            sources.profile_last_logged_in,
-            sources.profile_stats,
-            sources.follower_stats,
-            sources.profile_quality,
+    listed, hop, revenue, profiles, *_ = together(
+        lambda: put("md_allowlist", lambda: stage.allowlist_of(spark, creators)),
+        staged,
+        lambda: put(
+            "stage_v2_publication_collect", lambda: stage.revenue_v2(sources.action_module, currencies)
         ),
+        profiled,
+        lambda: put("handle_history", lambda: dimensions.handle_history(*owners, history, hot())),
+        lambda: put("stage_currency_exchange", lambda: stage.exchange_rates(spark, currencies)),
+        lambda: put("L2_date", lambda: dimensions.date_dimension(spark)),
+        lambda: put("currency_check", lambda: stage.currency_check(sources.action_module, currencies)),
     )
-    put("profile_check", dimensions.profile_check(profiles))
-    put(
-        "handle_history",
-        dimensions.handle_history(
-            sources.ownership_history, sources.handle_history, sources.profile_record, history, hot
+    # A short list reaches the scans as a predicate, a table is joined.
+    chosen = listed if isinstance(creators, DataFrame) else creators
+
+    def published() -> DataFrame:
+        made = put(
+            "L2_publication",
+            lambda: facts.publication_fact(
+                sources.publication_record,
+                sources.publication_metadata,
+                revenue,
+                sources.publication_stats,
+                stage.revenue_v1(hop),
+            ),
+        )
+        return put("L3_publication", lambda: marts.of_creators(made, chosen))
+
+    def logged() -> DataFrame:
+        made = put(
+            "L2_interaction",
+            lambda: facts.interactions_of(sources, None, currencies, hop, revenue, hot()),
+        )
+        return put("L3_interaction", lambda: marts.of_creators(made, chosen))
+
+    publications, interactions = together(published, logged)
+    acted = hot().get("acted", NONE) if not run.has("L3_publication_analysis") else NONE
+    together(
+        lambda: put("L3_interaction_year_month", lambda: marts.interactions_by_month(interactions)),
+        lambda: put("L3_publication_year_month", lambda: marts.publications_by_month(publications)),
+        lambda: put("L3_user_analysis", lambda: marts.user_analysis(interactions, profiles)),
+        lambda: put(
+            "L3_interaction_weekday_hour", lambda: marts.interaction_weekday_hour(interactions)
         ),
-    )
-    publications = put(
-        "L2_publication",
-        facts.publication_fact(
-            sources.publication_record,
-            sources.publication_metadata,
-            revenue,
-            sources.publication_stats,
-            stage.revenue_v1(hop),
+        lambda: put(
+            "L3_publication_analysis",
+            lambda: marts.interactions_by_age(interactions, publications, acted),
         ),
     )
-    log = put(
-        "L2_interaction",
-        facts.interactions_of(sources, None, currencies, hop, revenue, hot),
-    )
-
-    publications = put("L3_publication", marts.of_creators(publications, chosen))
-    interactions = put("L3_interaction", marts.of_creators(log, chosen))
-    profiles = put("L3_profile", marts.profile_mart(profiles))
-
-    put("L3_interaction_year_month", marts.interactions_by_month(interactions))
-    put("L3_publication_year_month", marts.publications_by_month(publications))
-    put("L3_user_analysis", marts.user_analysis(interactions, profiles))
-    put("L3_interaction_weekday_hour", marts.interaction_weekday_hour(interactions))
-    put("L3_publication_analysis", marts.interactions_by_age(interactions, publications, hot.get("acted", NONE)))
-    return done
+    if base is not None:
+        publish(spark, base, root)
+    return run.products()

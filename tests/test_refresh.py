@@ -5,15 +5,16 @@ import re
 
 import pytest
 from conftest import rows
+from pyarrow import parquet
 from pyspark.errors import AnalysisException, ArithmeticException
 from pyspark.sql import functions as F
 
 from quillstat.checks.roles import CREATORS, PROBED, load
 from quillstat.operators.skew import find_hot
-from quillstat.plans import dimensions, facts, marts, refresh
+from quillstat.plans import dimensions, facts, marts, refresh, stage
 from quillstat.schemas import PRODUCTS, RAW, check
 from quillstat.session import run_dir
-from quillstat.sources import sinks, tables
+from quillstat.sources import runs, sinks, tables
 
 
 @pytest.fixture(scope="module")
@@ -228,3 +229,85 @@ def test_creators_as_a_table_through_the_refresh(spark, src, done):
 def test_run_dir_is_shared(spark):
     assert run_dir(spark, "x") != run_dir(spark, "x")
     assert run_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# Runs
+
+
+def test_a_run_is_seen_whole_and_goes_on(spark, src, monkeypatch):
+    """A refresh that dies between two products changes nothing for readers; called again it
+    writes only the rest."""
+    base, first, second = (run_dir(spark, n) for n in ("base", "run", "run"))
+    assert runs.published(spark, base) is None
+    small = tables.Sources({n: (lambda n=n: getattr(src, n).limit(60)) for n in RAW})
+    refresh.refresh(spark, small, first, CREATORS, history=PROBED, base=base)
+    assert runs.published(spark, base).root == first
+
+    def dies(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError, match="killed"):
+        patched.setattr(facts, "interactions_of", dies)
+        refresh.refresh(spark, src, second, CREATORS, history=PROBED, base=base)
+    seen = runs.published(spark, base)
+    assert seen.root == first and set(seen.products()) == set(PRODUCTS)
+    with pytest.raises(ValueError, match="products missing: L2_interaction, L3_interaction"):
+        runs.publish(spark, base, second)
+
+    before = {r["product"]: r for r in runs.Run(spark, second).lines().collect()}
+    assert "L2_publication" in before and "L2_interaction" not in before
+    out = refresh.refresh(spark, src, second, CREATORS, history=PROBED, base=base)
+    after = {r["product"]: r for r in runs.Run(spark, second).lines().collect()}
+    assert runs.published(spark, base).root == second
+    assert {n: after[n] for n in before} == before and set(after) == set(PRODUCTS) == set(out)
+
+
+def test_half_a_product_is_not_read(spark, src):
+    """A write that fails leaves no line, and the next attempt another folder."""
+    run = runs.Run(spark, run_dir(spark, "half"))
+    good = stage.allowlist_of(spark, CREATORS)
+    broken = good.withColumn("profile_id", F.expr("CAST(1 / (length(profile_id) * 0) AS STRING)"))
+    with pytest.raises(ArithmeticException):
+        run.put("md_allowlist", lambda: broken)
+    assert not run.has("md_allowlist") and run.lines().isEmpty()
+    assert rows(run.put("md_allowlist", lambda: good)) == rows(good)
+    again = runs.Run(spark, run.root)
+    assert rows(again.put("md_allowlist", lambda: broken)) == rows(good)  # not built any more
+
+
+def test_rows_and_missing_values_are_counted_by_the_write(spark, done, src):
+    root = done["L2_interaction"].inputFiles()[0].split("/L2_interaction-")[0]
+    lines = {r["product"]: r for r in runs.Run(spark, root).lines().collect()}
+    assert set(lines) == set(PRODUCTS)
+    for name, df in done.items():
+        missing = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+        counted = df.agg(F.count(F.lit(1)).alias("_rows"), *missing).first().asDict()
+        assert lines[name]["number_row"] == counted.pop("_rows"), name
+        assert lines[name]["nulls"] == counted, name
+
+
+def test_a_creators_mart_skips_row_groups(spark, done, monkeypatch):
+    """Most row groups of the log cannot hold the creators and are not read."""
+    log = done["L2_interaction"]
+    monkeypatch.setattr(sinks, "ROW_GROUP_BYTES", 8_000)
+    path = run_dir(spark, "clustered")
+    spread = log.crossJoin(spark.range(20).toDF("copy")).withColumn(
+        "profile_id", F.concat("profile_id", F.lit("-"), F.col("copy"))
+    )
+    sinks.write_files(spread.drop("copy").coalesce(4), path, None, refresh.CLUSTERS["L2_interaction"])
+    creator = f"{CREATORS[0]}-7"
+    total = read = 0
+    for file in spark.read.parquet(path).inputFiles():
+        meta = parquet.ParquetFile(file.removeprefix("file://")).metadata
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            stats = next(
+                group.column(c).statistics for c in range(group.num_columns)
+                if group.column(c).path_in_schema == "profile_id"
+            )
+            total += group.num_rows
+            if stats is None or not stats.has_min_max or stats.min <= creator <= stats.max:
+                read += group.num_rows
+    assert total == log.count() * 20 and read < total / 5
+    found = spark.read.parquet(path).filter(F.col("profile_id") == creator).count()
+    assert found == log.filter(F.col("profile_id") == CREATORS[0]).count()
