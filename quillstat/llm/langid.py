@@ -252,8 +252,10 @@ def keep_known(
 ) -> DataFrame:
     """The documents in a learned language: those without a letter or below ``min_score`` go.
 
-    A short text is far from every language whatever it says, so the default only
-    rejects texts that are no nearer to any language than chance.
+    A short text is far from every language whatever it says, so the default rejects texts
+    without a letter, and of others only the few whose cosine with every language happens
+    to be at or below zero. Texts in a language that was not learned mostly stay; a
+    higher ``min_score`` rejects them together with short texts.
     """
     languages = learn(docs.filter(~held_out_rows(id_col)), id_col, text_col, lang_col)
     scored = docs.select(
