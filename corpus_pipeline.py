@@ -4,7 +4,7 @@ Every stage is one operator of ``quillstat.llm``, takes the table its predecesso
 and returns a table; ``run`` writes each to the shared folder and reads it again, so a
 lost executor costs at most one stage's tasks.
 
-1. Documents without a letter, or like no learned language, go.
+1. Documents without a letter go, and those no nearer to any learned language than zero.
 2. Of each group of near-duplicates, by five-word shingles at 80 %, the document with the
    smallest id stays.
 3. Documents that hold a benchmark item, copied or edited, go.
