@@ -110,15 +110,17 @@ def _padded(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.select(*left.columns, *padding)
 
 
-def restrict_to(df: DataFrame, ids: Ids | None, on: str) -> DataFrame:
+def restrict_to(df: DataFrame, ids: Ids | None, on: str, few: bool = False) -> DataFrame:
     """Rows whose key is in ``ids``; an id listed twice repeats nothing.
 
     A literal list becomes a predicate that reaches the scan; a table becomes a
-    left semi join on its first column, reduced to distinct ids first.
+    left semi join on its first column, reduced to distinct ids first. With ``few``
+    the caller expects few rows per id and they are not reduced: Spark builds its
+    runtime filters from a selection only, not from an aggregate of one.
     """
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
-        listed = ids.select(F.col(ids.columns[0]).alias(on)).distinct()
-        return df.join(listed, on, "left_semi").select(*df.columns)
+        listed = ids.select(F.col(ids.columns[0]).alias(on))
+        return df.join(listed if few else listed.distinct(), on, "left_semi").select(*df.columns)
     return df.filter(F.col(on).isin(list(ids)))

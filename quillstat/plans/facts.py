@@ -385,8 +385,8 @@ def ledger_of(
     ids = None if creators is None else posts.select("post_id")
     return collect_ledger(
         posts,
-        restrict_to(sources.collect_module_v1, ids, "publication_id"),
-        restrict_to(sources.collect_record_v1, ids, "publication_id"),
+        restrict_to(sources.collect_module_v1, ids, "publication_id", few=True),
+        restrict_to(sources.collect_record_v1, ids, "publication_id", few=True),
         sources.profile_v1,
         sources.profile_stats_v1,
         currencies,
@@ -434,10 +434,10 @@ def _of_creators(sources: Sources, creators: Ids) -> SimpleNamespace:
         authors=restrict_to(records, mentions, "publication_id"),
         metadata_of_authors=restrict_to(metadata, mentions, "publication_id"),
         metadata_of_children=restrict_to(metadata, children, "publication_id"),
-        modules=restrict_to(sources.action_module, owners, "publication_id"),
+        modules=restrict_to(sources.action_module, owners, "publication_id", few=True),
         posts=posts,
-        modules_v1=restrict_to(sources.collect_module_v1, posts_ids, "publication_id"),
-        records_v1=restrict_to(sources.collect_record_v1, posts_ids, "publication_id"),
+        modules_v1=restrict_to(sources.collect_module_v1, posts_ids, "publication_id", few=True),
+        records_v1=restrict_to(sources.collect_record_v1, posts_ids, "publication_id", few=True),
     )
 
 

@@ -148,6 +148,31 @@ def test_restrict_to_never_repeats_rows(spark):
     assert restrict_to(df, None, "id") is df
 
 
+def test_ids_of_a_selection_cut_a_large_table_before_its_shuffle(spark, tmp_path):
+    path, number = str(tmp_path / "large"), 6_000_000
+    spark.range(number).select("id", F.rand(1).alias("v")).write.parquet(path)
+    large = spark.read.parquet(path).select(F.col("id").cast("string").alias("k"), "v")
+    ids = spark.read.parquet(path).filter((F.col("id") % 1000).isin(3, 7)).select(
+        F.col("id").cast("string").alias("k")
+    )
+    kept = restrict_to(large, ids, "k", few=True)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "might_contain" in kept._jdf.queryExecution().optimizedPlan().toString()
+        found = kept.agg(F.count(F.lit(1)), F.sum(F.col("k").cast("bigint") % 1000)).first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert tuple(found) == (number // 500, number // 1000 * 10)
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_restrict_to_with_repeated_and_missing_ids(spark, left, few):
+    ids = spark.createDataFrame([("a",), ("a",), ("c",), (None,), ("q",)], "k string")
+    kept = restrict_to(left, ids, "k", few)
+    assert rows(kept) == rows(left.filter(F.col("k").isin("a", "c")))
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_first_by(spark, partitions):
     data = [("a", 1, "x"), ("a", 3, "z"), ("a", 3, "y"), ("b", None, "q"), ("b", 0, "r")]
