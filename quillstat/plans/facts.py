@@ -100,7 +100,7 @@ def publications_of(
     ids = None if creators is None else records.select("publication_id")
 
     def of(table: DataFrame, key: str = "publication_id") -> DataFrame:
-        return restrict_to(table, ids, key)
+        return restrict_to(table, ids, key, few=True)
 
     return publication_fact(
         records,
