@@ -11,8 +11,8 @@
    letter; a word whose skipped pair is another's place of insertion has one letter more.
    Numbers stand for strings exactly, so there is nothing to verify. Of a run of equal
    letters only the first one counts as left out, so every pair of words meets once.
-3. Words that meet at a pair are at most the letters of the alphabet and one, so they are
-   compared in place; each sends on how many it met and the commonest.
+3. Words that meet at a pair are at most the letters of the alphabet and one. They are sorted
+   by count, in a window; each sends on how many it met and the commonest.
 4. A word's form is its commonest near word, if it is ``RATIO`` times as common. Forms grow
    in count, so chains are short; they are followed to their ends by doubling.
 
@@ -24,7 +24,7 @@ or no words often enough, give no rows.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstat.llm.tables import cut, parts_for, with_library
@@ -174,23 +174,38 @@ def pairs(words: DataFrame, ranges: int) -> tuple[DataFrame, DataFrame]:
 
 
 def neighbours(met: DataFrame) -> DataFrame:
-    """For each word with near ones: ``rank``, their number ``n_near`` and the ``best``."""
-    groups = met.groupBy("prefix", "suffix").agg(F.collect_list("met").alias("all"))
-    groups = groups.filter(F.size("all") > 1).select("all", F.explode("all").alias("x"))
-
-    def near(y: Column) -> Column:
-        x = F.col("x")
-        return (x["rank"] != y["rank"]) & (
-            (x["skips"] & y["skips"])
-            | (x["skips"] & x["first"] & ~y["skips"])
-            | (~x["skips"] & y["skips"] & y["first"])
-        )
-
-    found = groups.select(F.col("x")["rank"].alias("rank"), F.filter("all", near).alias("near"))
-    best = F.array_max(F.transform("near", lambda y: F.struct(y["n"].alias("n"), (-y["rank"]).alias("order"))))
+    """For each word with near ones: ``rank``, their number ``n_near`` and the ``best``.
+
+    At a pair each word occurs once, and one word at most has it as a place of insertion, so
+    a word's best is the commonest that skips there, or the next if that is itself.
+    """
+    here = Window.partitionBy("prefix", "suffix")
+    commonest = here.orderBy(F.desc("met.n"), "met.rank").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    rank, skips, first = F.col("met.rank"), F.col("met.skips"), F.col("met.first")
+    me = F.struct(F.col("met.n").alias("n"), (-rank).alias("order"))
+    seen = met.select(
+        rank.alias("rank"), skips.alias("skips"), first.alias("first"),
+        F.count(F.lit(1)).over(commonest).alias("words"),
+        F.count_if(skips & first).over(commonest).alias("firsts"),
+        F.count_if(skips).over(commonest).alias("skipping"),
+        F.nth_value(F.when(skips, me), 1, ignoreNulls=True).over(commonest).alias("one"),
+        F.nth_value(F.when(skips, me), 2, ignoreNulls=True).over(commonest).alias("two"),
+        F.nth_value(F.when(skips & first, me), 1, ignoreNulls=True).over(commonest).alias("one_first"),
+        F.nth_value(F.when(~skips, me), 1, ignoreNulls=True).over(commonest).alias("whole"),
+    ).filter(F.col("words") > 1)
+    other = F.when(F.col("one.order") == -F.col("rank"), F.col("two")).otherwise(F.col("one"))
+    longer = F.when(F.col("first"), F.col("whole"))
+    found = seen.select(
+        "rank",
+        F.when(F.col("skips"), F.col("skipping") - 1 + longer.isNotNull().cast("long"))
+        .otherwise(F.col("firsts"))
+        .alias("n_near"),
+        F.when(F.col("skips"), F.greatest(other, longer)).otherwise(F.col("one_first")).alias("best"),
+    )
     return (
-        found.filter(F.size("near") > 0)
-        .select("rank", F.size("near").cast("long").alias("n_near"), best.alias("best"))
+        found.filter(F.col("n_near") > 0)
         .groupBy("rank")
         .agg(F.sum("n_near").alias("n_near"), F.max("best").alias("best"))
     )

@@ -104,6 +104,18 @@ def test_edits(table, monkeypatch, words):
     assert found(docs(table, rows), 11) == brute(rows, 11)
 
 
+def test_words_that_meet_are_not_collected(spark):
+    """Lists of them made more objects than an executor's heap had room for."""
+    met = "struct<rank: long, n: long, skips: boolean, first: boolean>"
+    rows = [(1, 2, (r, n, s, f)) for r, n, s, f in [
+        (5, 9, True, True), (6, 9, True, False), (7, 3, True, True), (8, 4, False, True),
+    ]] + [(1, 3, (5, 9, True, True)), (2, 2, (6, 9, False, True)), (2, 2, (7, 3, True, False))]
+    near = spelling.neighbours(spark.createDataFrame(rows, f"prefix long, suffix long, met {met}"))
+    assert "collect_list" not in near._jdf.queryExecution().optimizedPlan().toString()
+    out = {r.rank: (r.n_near, r.best.n, -r.best.order) for r in near.collect()}
+    assert out == {5: (3, 9, 6), 6: (2, 9, 5), 7: (3, 9, 5), 8: (2, 9, 5)}
+
+
 def test_chains_end_at_the_root(table):
     out = {r[0]: r for r in found(docs(table, edge_rows()))}
     assert out["chain"][1:3] == ("chains", "rchainsyz")
