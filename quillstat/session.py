@@ -28,6 +28,9 @@ SQL_SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
     "spark.sql.optimizer.runtime.bloomFilter.numBits": str(8 << 23),
     "spark.sql.optimizer.runtimeFilter.number.threshold": "30",
+    # A rebalanced task has few months, so it writes them side by side, without sorting its
+    # rows by month first; with more months it sorts the rest.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

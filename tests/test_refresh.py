@@ -311,3 +311,21 @@ def test_a_creators_mart_skips_row_groups(spark, done, monkeypatch):
     assert total == log.count() * 20 and read < total / 5
     found = spark.read.parquet(path).filter(F.col("profile_id") == creator).count()
     assert found == log.filter(F.col("profile_id") == CREATORS[0]).count()
+
+
+@pytest.mark.parametrize("cluster", [(), ("v",)])
+def test_a_task_with_more_months_than_writers_writes_all_rows(spark, tmp_path, cluster):
+    days = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 7 % 1500).cast("int"))
+    df = spark.range(0, 3000, 1, 1).select(F.col("id").alias("v"), F.trunc(days, "MM").alias("month"))
+    path = sinks.write_files(df, str(tmp_path / "months"), "month", cluster)
+    assert rows(spark.read.parquet(path).select("v", F.col("month").cast("date"))) == rows(df)
+
+
+def test_months_are_not_sorted_before_they_are_written(spark, tmp_path):
+    """The sort of whole tasks spilled; a task's few months need none."""
+    df = spark.range(100).select(F.col("id").alias("v"), (F.col("id") % 3).alias("month"))
+    sinks.write_files(df, str(tmp_path / "unsorted"), "month")
+    runs_of = spark._jsparkSession.sharedState().statusStore()
+    plans = [runs_of.executionsList().apply(i).physicalPlanDescription() for i in range(int(runs_of.executionsCount()))]
+    (written,) = [p for p in plans if f"{tmp_path}/unsorted" in p]
+    assert "Sort" not in written
