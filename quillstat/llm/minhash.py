@@ -37,7 +37,15 @@ from pyspark.sql import functions as F
 
 from quillstat.llm.arrays import batches, blend, chain, distinct, hash_words, split_words
 from quillstat.llm.stars import components
-from quillstat.llm.tables import cut, parts_for, small_batches, text_of, with_library
+from quillstat.llm.tables import (
+    KEY_ROWS,
+    LINK_ROWS,
+    cut,
+    parts_for,
+    small_batches,
+    text_of,
+    with_library,
+)
 
 SHINGLE = 2
 PERCENT = 80
@@ -54,6 +62,8 @@ BLOCK = 1024
 COLUMNS = 4096
 # Texts are handled in lots of about so many bytes.
 LOT = 2_000_000
+# Bytes of texts in a file.
+FILE_BYTES = 8_000_000
 
 _RNG = np.random.default_rng(20)
 _FACTOR = _RNG.integers(0, 2**32, BANDS * ROWS, np.uint32) | np.uint32(1)
@@ -126,7 +136,7 @@ def _sketch(shingle: int):
                 one[some], two[some] = bits[:, 0], bits[:, 1]
                 yield pd.DataFrame(
                     {"id": own["id"], "text_key": own["text_key"], "n": sizes, "bands": bands,
-                     "one": one, "two": two}
+                     "one": one, "two": two, "bytes": [len(t) for t in own["text"]]}
                 )
 
     return sketch
@@ -167,9 +177,11 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.filter((100 * low >= percent * high) & (differ <= MOST_BITS)).select("pivot", "node")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    pairs = cut(pairs, "minhash-pairs")
+def _confirm(
+    pairs: DataFrame, most: int, texts: DataFrame, percent: int, shingle: int
+) -> tuple[DataFrame, int]:
+    """The pairs, ``most`` or fewer, whose full sets are similar enough, and the number of lots."""
+    pairs = cut(pairs, "minhash-pairs", parts_for(most, LINK_ROWS))
     counts = pairs.groupBy("pivot").agg(
         F.ceil(F.count(F.lit(1)) / PARTNERS).cast("long").alias("copies")
     )
@@ -186,7 +198,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) ->
         "lot", F.pmod(F.xxhash64("pivot", "copy"), F.lit(lots))
     )
     met = routes.join(texts, "node").select("lot", "pivot", "node", "text")
-    return met.groupBy("lot").applyInPandas(_verify(percent, shingle), "u long, v long")
+    return met.groupBy("lot").applyInPandas(_verify(percent, shingle), "u long, v long"), lots
 
 
 def _shared(o: list[np.ndarray], a: list[np.ndarray]) -> np.ndarray:
@@ -237,9 +249,9 @@ def _verify_blocks(percent: int, shingle: int):
 
 
 def _rest(
-    members: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, shingle: int
-) -> DataFrame:
-    """Links across the components that still share a bucket.
+    members: DataFrame, most: int, labels: DataFrame, texts: DataFrame, percent: int, shingle: int
+) -> tuple[DataFrame, int]:
+    """Links across the components that still share a bucket, and the number of lots.
 
     In every such bucket the rows outside its largest component are compared with all
     rows, block by block. Rows are sent to blocks; pairs are only formed inside tasks.
@@ -259,7 +271,7 @@ def _rest(
             F.ceil((F.col("c") - F.col("most.c")) / BLOCK).alias("blocks_apart"),
         )
     )
-    rows = cut(rows.join(open_, "key"), "minhash-open")
+    rows = cut(rows.join(open_, "key"), "minhash-open", parts_for(most, LINK_ROWS))
 
     def block(of: str) -> Column:
         return F.pmod(F.xxhash64("node"), F.col(of))
@@ -277,13 +289,17 @@ def _rest(
     routes = cut(apart.unionByName(everyone), "minhash-routes")
     lots = parts_for(routes.count(), LOT_ROWS)
     met = routes.withColumn("lot", F.pmod(F.xxhash64("key", "i", "j"), F.lit(lots))).join(texts, "node")
-    return met.groupBy("lot").applyInPandas(_verify_blocks(percent, shingle), "u long, v long")
+    return met.groupBy("lot").applyInPandas(_verify_blocks(percent, shingle), "u long, v long"), lots
 
 
 def _links(
     members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, shingle: int
 ) -> DataFrame:
-    """Label every node that is linked with another: ``node``, ``label``."""
+    """Label every node that is linked with another: ``node``, ``label``.
+
+    Links are written in as many files as the lots that they came from, at most.
+    """
+    most = members.count()
     # The node that shares most buckets with most others is likely to be near them all.
     weights = members.groupBy("node").agg(F.sum("c").alias("weight"))
     pivots = (
@@ -294,16 +310,16 @@ def _links(
     )
     pairs = members.join(pivots, "key").filter(F.col("node") != F.col("pivot"))
     pairs = pairs.select("pivot", "node").distinct()
-    first = _confirm(_possible(pairs, nodes, percent), texts, percent, shingle)
-    labels = components(first)
-    rest = _rest(members, labels, texts, percent, shingle)
-    return components(labels.toDF("u", "v").union(rest))
+    first, lots = _confirm(_possible(pairs, nodes, percent), most, texts, percent, shingle)
+    labels = components(first, lots)
+    rest, more = _rest(members, most, labels, texts, percent, shingle)
+    return components(labels.toDF("u", "v").union(rest), lots + more)
 
 
 def _resolved(
     docs: DataFrame, id_col: str, text_col: str, percent: int, shingle: int
-) -> DataFrame:
-    """Every row as ``id``, ``text_key``, ``n``, ``component`` and ``first``.
+) -> tuple[DataFrame, int]:
+    """Every row as ``id``, ``text_key``, ``n``, ``component`` and ``first``, and files for them.
 
     ``first`` is true for one text of each component: of those with the smallest id, nulls
     last, the one with the least key.
@@ -317,9 +333,11 @@ def _resolved(
     id_type = source.schema["id"].dataType.simpleString()
     sketched = source.mapInPandas(
         _sketch(shingle),
-        f"id {id_type}, text_key string, n long, bands array<long>, one long, two long",
+        f"id {id_type}, text_key string, n long, bands array<long>, one long, two long, bytes long",
     )
     rows = cut(sketched.withColumn("row", F.monotonically_increasing_id()), "minhash-rows")
+    total = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")).first()
+    files = parts_for(total["rows"], KEY_ROWS)
     classes = cut(
         rows.groupBy("text_key").agg(
             F.min("row").alias("node"),
@@ -328,6 +346,7 @@ def _resolved(
             F.first("n").alias("n"),
         ),
         "minhash-classes",
+        files,
     )
     # One row of each class carries its bands on.
     own = classes.filter(F.col("n") > 0).select(F.col("node").alias("row"))
@@ -335,13 +354,19 @@ def _resolved(
     nodes = first.select(F.col("row").alias("node"), "n", "one", "two")
     bands = first.select(F.explode("bands").alias("key"), F.col("row").alias("node"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
-    members = cut(bands.join(shared, "key"), "minhash-members")
+    members = cut(
+        bands.join(shared, "key"), "minhash-members", parts_for(BANDS * total["rows"], LINK_ROWS)
+    )
     wanted = (
         members.select("node").distinct().join(classes, "node")
         .select("node", F.col("text_key").alias("k"), F.col("named").alias("i"))
     )
     same = (F.col("text_key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i"))
-    texts = cut(source.join(wanted, same).select("node", "text"), "minhash-texts")
+    texts = cut(
+        source.join(wanted, same).select("node", "text"),
+        "minhash-texts",
+        parts_for(total["bytes"], FILE_BYTES),
+    )
     labels = cut(_links(members, nodes, texts, percent, shingle), "minhash-labels")
     labelled = classes.join(labels, "node", "left").select(
         "text_key", "least", F.coalesce("label", "node").alias("label")
@@ -353,13 +378,14 @@ def _resolved(
     named = labelled.join(names, "label").select(
         "text_key", "component", (F.col("text_key") == F.col("first_key")).alias("first")
     )
-    return rows.select("id", "text_key", "n").join(named, "text_key").select(
+    resolved = rows.select("id", "text_key", "n").join(named, "text_key").select(
         "id",
         "text_key",
         "n",
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"),
         "first",
     )
+    return resolved, files
 
 
 def text_key(text_col: str) -> Column:
@@ -374,8 +400,8 @@ def link(
     shingle: int = SHINGLE,
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id``, ``kept``."""
-    rows = _resolved(docs, id_col, text_col, percent, shingle)
-    return rows.select(
+    rows, files = _resolved(docs, id_col, text_col, percent, shingle)
+    return rows.coalesce(files).select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),
@@ -395,13 +421,13 @@ def keep_first(
     Of rows that repeat both id and text one stays, whatever else they hold. One text of
     each component stays, also where several share the smallest id or all ids are null.
     """
-    rows = _resolved(docs, id_col, text_col, percent, shingle)
+    rows, files = _resolved(docs, id_col, text_col, percent, shingle)
     kept = (
         rows.filter(F.col("id").eqNullSafe(F.col("component")) & F.col("first"))
         .groupBy("id", "text_key")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    kept = cut(kept.toDF("kept_id", "kept_key", "rows"), "minhash-kept")
+    kept = cut(kept.toDF("kept_id", "kept_key", "rows"), "minhash-kept", files)
     tagged = docs.select(
         F.struct("*").alias("row"), F.col(id_col).alias("id"), text_key(text_col).alias("key")
     )

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows of a table that may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 100_000
+# Rows of a file of pairs of numbers, and of wider rows with a key as text.
+LINK_ROWS = 100_000
+KEY_ROWS = 20_000
 # Bytes of a batch of rows between Spark and Python.
 BATCH_BYTES = 4_000_000
 
@@ -32,10 +35,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so lost executors cost nothing."""
+def cut(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so lost executors cost nothing.
+
+    With ``files``, tasks are merged so that at most so many write. A small table should not
+    have a file for each shuffle partition: an executor opens each on its own, and on a
+    local file system starts processes to set its mode.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df if files is None else df.coalesce(files)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pathlib
 import random
 import re
 from collections import defaultdict
@@ -188,3 +189,23 @@ def test_components(spark, seed):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_small_tables_take_few_files(spark, table):
+    """With many shuffle partitions, a small step is not written in a file for each."""
+    settings = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"), "llm")
+    docs = table(list(enumerate(near_copies(41, 150, words=80, edits=18)))).coalesce(1)
+    old = {key: spark.conf.get(key) for key in settings}
+    before = set(shared.glob("*"))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        got = minhash.link(docs)
+        assert got.rdd.getNumPartitions() == 1
+        assert got.count() == 150
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    files = {p.name: len(list(p.glob("part-*"))) for p in set(shared.glob("*")) - before}
+    assert len(files) > 10 and max(files.values()) <= 5, files
