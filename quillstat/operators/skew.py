@@ -78,8 +78,9 @@ class Hot:
 NONE = Hot()
 NO_HOT: Mapping[str, Hot] = MappingProxyType({})
 # Tables and keys of a join: the left one, and those whose rows the right one multiplies;
-# tables with unique keys are left out.
-Sides = Sequence[tuple[DataFrame, str]]
+# tables with unique keys are left out. With a third value that is true, equal rows of the table
+# count once.
+Sides = Sequence[tuple[DataFrame, str] | tuple[DataFrame, str, bool]]
 
 
 def find_hot(
@@ -99,9 +100,10 @@ def find_hot(
         spark = next(iter(joins.values()))[0][0].sparkSession
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def keys(name: str, side: int, df: DataFrame, column: str) -> DataFrame:
-        shown = df.select(F.lit(name).alias("name"), F.lit(side).alias("side"), F.col(column).alias("key"))
-        return shown.sample(sample, seed=7).filter(F.col("key").isNotNull())
+    def keys(name: str, side: int, df: DataFrame, column: str, once: bool = False) -> DataFrame:
+        rows = sample_once(df, sample) if once else df
+        shown = rows.select(F.lit(name).alias("name"), F.lit(side).alias("side"), F.col(column).alias("key"))
+        return (shown if once else shown.sample(sample, seed=7)).filter(F.col("key").isNotNull())
 
     seen = [keys(n, i, *side) for n, sides in joins.items() for i, side in enumerate(sides)]
     places = range(max(len(sides) for sides in joins.values()))
@@ -138,6 +140,12 @@ def find_hot(
     return {name: Hot(Parts(left), Parts(right)) for name, (left, right) in found.items()}
 
 
+def sample_once(df: DataFrame, sample: float) -> DataFrame:
+    """A sample of the distinct rows, drawn before equal rows are brought together."""
+    drawn = F.pmod(F.xxhash64(*df.columns), F.lit(1_000_000))
+    return df.filter(drawn < sample * 1_000_000).distinct()
+
+
 def divide(wanted: int, left_rows: float, right_rows: float) -> tuple[int, int]:
     """Parts of both sides whose product is at least ``wanted``, about equal in rows."""
     left = min(wanted, max(1, round((wanted * left_rows / right_rows) ** 0.5)))

@@ -362,7 +362,8 @@ def log_joins(sources: Sources) -> dict[str, Sides]:
         "parents": [(sources.publication_record, "parent_publication_id")],
         "acted": [acted],
         "modules": [acted, modules],
-        "revenue": [acted, modules, (revenue_keys(sources.action_module), "publication_id")],
+        "priced": [modules],
+        "revenue": [acted, modules, (revenue_keys(sources.action_module), "publication_id", True)],
         "reacted": [(sources.reaction, "publication_id")],
         "mentioned": [(sources.mention, "publication_id")],
         **ledger_joins(sources.post_v1, sources.collect_module_v1, sources.collect_record_v1),
@@ -370,8 +371,8 @@ def log_joins(sources: Sources) -> dict[str, Sides]:
 
 
 def revenue_keys(modules: DataFrame) -> DataFrame:
-    """The publications of the revenue table, as often as it has them, without its amounts."""
-    return modules.select("publication_id", currency_label(F.col("currency")).alias("currency")).distinct()
+    """The publications and currencies of the revenue table, which has each pair once."""
+    return modules.select("publication_id", currency_label(F.col("currency")).alias("currency"))
 
 
 def ledger_of(

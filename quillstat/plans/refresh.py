@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from quillstat.fixed_values import ALLOWLIST, CURRENCIES, HISTORY_PROFILES, Currency
 from quillstat.functions.money import split_amounts
 from quillstat.operators.joins import Ids
-from quillstat.operators.skew import NONE, Hot, find_hot
+from quillstat.operators.skew import NONE, Hot, Parts, find_hot
 from quillstat.plans import dimensions, facts, marts, stage
+from quillstat.session import shuffles_removed
 from quillstat.sources.runs import Run, publish, together
 from quillstat.sources.sinks import export_times
 from quillstat.sources.tables import Sources, with_tables
@@ -31,8 +32,11 @@ MONTHS = {
 }
 
 
-# Large products that are read by creator.
-CLUSTERS = {name: ("profile_id", "publication_id") for name in MONTHS}
+# Large products that are read by creator, and one that is read by publication: sorted, its ids
+# take less room in files and shuffles.
+CLUSTERS = {name: ("profile_id", "publication_id") for name in MONTHS} | {
+    "stage_v2_publication_collect": ("publication_id",)
+}
 
 
 def refresh(
@@ -51,22 +55,36 @@ def refresh(
     published there as a whole when it is done. Amounts no decimal can hold are set
     aside in a product of their own first, so one bad row stops nothing. Hot keys are
     measured once for all joins, when the first product asks for them. Products that do not
-    depend on each other are written at the same time.
+    depend on each other are written at the same time, but for the two largest; what was
+    shuffled for a product goes when it is written.
     """
-    run = Run(spark, root)
+    with shuffles_removed(spark):
+        return _refreshed(spark, sources, Run(spark, root), creators, currencies, history, base)
+
+
+def _refreshed(
+    spark: SparkSession,
+    sources: Sources,
+    run: Run,
+    creators: Ids,
+    currencies: Sequence[Currency],
+    history: Ids | None,
+    base: str | None,
+) -> dict[str, DataFrame]:
 
     def put(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return run.put(name, build, MONTHS.get(name), CLUSTERS.get(name, ()))
 
     split = {n: split_amounts(getattr(sources, n)) for n in ("action_module", "collect_module_v1")}
     put("quarantined_amount", lambda: stage.quarantined({n: bad for n, (_, bad) in split.items()}))
-    sources = with_tables(sources, **{n: good for n, (good, _) in split.items()})
+    # Keys are counted in the raw tables, which needs no amounts; rows set aside are few.
+    raw, sources = sources, with_tables(sources, **{n: good for n, (good, _) in split.items()})
     owners = (sources.ownership_history, sources.handle_history, sources.profile_record)
     measuring = Lock()
 
     @cache
     def measured() -> Mapping[str, Hot]:
-        return find_hot({**facts.log_joins(sources), **dimensions.history_joins(*owners)})
+        return find_hot({**facts.log_joins(raw), **dimensions.history_joins(*owners)})
 
     def hot() -> Mapping[str, Hot]:
         with measuring:
@@ -95,7 +113,8 @@ def refresh(
         lambda: put("md_allowlist", lambda: stage.allowlist_of(spark, creators)),
         staged,
         lambda: put(
-            "stage_v2_publication_collect", lambda: stage.revenue_v2(sources.action_module, currencies)
+            "stage_v2_publication_collect",
+            lambda: stage.revenue_v2(sources.action_module, currencies, hot()["priced"].left),
         ),
         profiled,
         lambda: put("handle_history", lambda: dimensions.handle_history(*owners, history, hot())),
@@ -106,6 +125,9 @@ def refresh(
     # A short list reaches the scans as a predicate, a table is joined.
     chosen = listed if isinstance(creators, DataFrame) else creators
 
+    def crowded() -> Parts:
+        return find_hot({"posts": [(hop, "post_id")]})["posts"].left
+
     def published() -> DataFrame:
         made = put(
             "L2_publication",
@@ -114,7 +136,7 @@ def refresh(
                 sources.publication_metadata,
                 revenue,
                 sources.publication_stats,
-                stage.revenue_v1(hop),
+                stage.revenue_v1(hop, crowded()),
             ),
         )
         return put("L3_publication", lambda: marts.of_creators(made, chosen))
@@ -126,7 +148,8 @@ def refresh(
         )
         return put("L3_interaction", lambda: marts.of_creators(made, chosen))
 
-    publications, interactions = together(published, logged)
+    # Both shuffle the large tables; at the same time they would need the disk of both.
+    publications, interactions = published(), logged()
     acted = hot().get("acted", NONE) if not run.has("L3_publication_analysis") else NONE
     together(
         lambda: put("L3_interaction_year_month", lambda: marts.interactions_by_month(interactions)),
@@ -141,5 +164,5 @@ def refresh(
         ),
     )
     if base is not None:
-        publish(spark, base, root)
+        publish(spark, base, run.root)
     return run.products()

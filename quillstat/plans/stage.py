@@ -12,7 +12,7 @@ from quillstat.functions.money import currency_label, exact_sum, token_amount, u
 from quillstat.operators.joins import Ids, fan_out, lookup
 from quillstat.operators.ranking import first_by
 from quillstat.operators.rows import literal_table, union_as
-from quillstat.operators.skew import NO_HOT, NONE, Hot, Sides
+from quillstat.operators.skew import NO_HOT, NONE, Hot, Parts, Sides
 from quillstat.schemas import COLLECT_LEDGER, PRODUCTS, align
 
 
@@ -69,17 +69,41 @@ def quarantined(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def revenue_v2(modules: DataFrame, currencies: Sequence[Currency] = CURRENCIES) -> DataFrame:
-    """Revenue per publication and currency, scaled per row before summing."""
-    revenue = (
-        modules.select(
-            "publication_id",
-            currency_label(F.col("currency"), currencies).alias("currency"),
-            token_amount(F.col("currency"), F.col("amount"), currencies).alias("amount"),
-        )
-        .groupBy("publication_id", "currency")
-        .agg(exact_sum(F.col("amount")).alias("amount"))
+def sums_by_key(rows: DataFrame, key: str, crowded: Parts) -> DataFrame:
+    """Amounts per key and currency, where a join on the key finds all of a key's in one place.
+
+    The rows are shuffled by the key alone, and so only once. Keys with more rows than one
+    task's share, of which there are few, are summed before that, where they are read.
+    """
+    if crowded:
+        many = F.coalesce(F.col(key).isin(sorted(crowded.keys)), F.lit(False))
+        summed = rows.filter(many).groupBy(key, "currency").agg(exact_sum(F.col("amount")).alias("amount"))
+        rows = rows.filter(~many).unionByName(summed)
+    together = rows.repartition(key)
+    return together.groupBy(key, "currency").agg(exact_sum(F.col("amount")).alias("amount"))
+
+
+def revenue_v2(
+    modules: DataFrame,
+    currencies: Sequence[Currency] = CURRENCIES,
+    crowded: Parts | None = None,
+) -> DataFrame:
+    """Revenue per publication and currency, scaled per row before summing.
+
+    With ``crowded``, the publications with very many modules, the currencies of a
+    publication end in one place (``sums_by_key``).
+    """
+    scaled = modules.select(
+        "publication_id",
+        currency_label(F.col("currency"), currencies).alias("currency"),
+        token_amount(F.col("currency"), F.col("amount"), currencies).alias("amount"),
     )
+    if crowded is None:
+        revenue = scaled.groupBy("publication_id", "currency").agg(
+            exact_sum(F.col("amount")).alias("amount")
+        )
+    else:
+        revenue = sums_by_key(scaled, "publication_id", crowded)
     priced = with_rate(revenue, currencies).withColumn(
         "amount_USD", usd(F.col("amount"), F.col("rate"))
     )
@@ -182,9 +206,16 @@ def ledger_joins(posts: DataFrame, modules: DataFrame, records: DataFrame) -> di
     }
 
 
-def revenue_v1(ledger: DataFrame) -> DataFrame:
-    """Ledger amounts per post and currency."""
-    return ledger.groupBy("post_id", "currency").agg(exact_sum(F.col("amount")).alias("amount"))
+def revenue_v1(ledger: DataFrame, crowded: Parts | None = None) -> DataFrame:
+    """Ledger amounts per post and currency.
+
+    With ``crowded``, the posts with very many rows, the currencies of a post end in one
+    place (``sums_by_key``).
+    """
+    amounts = ledger.select("post_id", "currency", "amount")
+    if crowded is not None:
+        return sums_by_key(amounts, "post_id", crowded)
+    return amounts.groupBy("post_id", "currency").agg(exact_sum(F.col("amount")).alias("amount"))
 
 
 def revenue_v1_from_raw(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +36,29 @@ SQL_SETTINGS = {
 }
 
 
+# Spark's setting to remove the shuffle files of a query when it has ended.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries begun inside leave no shuffle files behind.
+
+    Otherwise these stay until the driver happens to collect its garbage, so a run of many
+    writes keeps nearly all it ever shuffled on disk. Running the same DataFrame twice inside
+    would shuffle twice.
+    """
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings to a session somebody else made."""
     for key, value in SQL_SETTINGS.items():

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from quillstat.functions.calendar import from_micros, to_micros
 
 
+# Products are written once and read often; zstd takes a third less disk than Spark's default.
+COMPRESSION = "zstd"
 # Row groups are what a reader skips by the least and the largest value of a sorted column.
 ROW_GROUP_BYTES = 16 << 20
 
@@ -45,7 +47,7 @@ def _writer(df: DataFrame, month: str | None, cluster: Sequence[str] = ()):
     if cluster:
         # The writer's own sort by month is part of this one.
         df = df.sortWithinPartitions(*months, *cluster)
-    writer = df.write.partitionBy(*months)
+    writer = df.write.partitionBy(*months).option("compression", COMPRESSION)
     return writer.option("parquet.block.size", ROW_GROUP_BYTES) if cluster else writer
 
 

@@ -205,3 +205,24 @@ def test_not_first_flags_all_but_one_row_of_each_key(spark, partitions):
         for key in {row[place] for row in data}:
             first = [r.t for r in got if r[place] == key and not r[flag]]
             assert first == [min((row[2] for row in data if row[place] == key), key=rank)]
+
+
+@pytest.mark.parametrize("sample", [0.2, 1.0])
+def test_a_sample_of_distinct_rows_is_drawn_before_the_shuffle(spark, sample):
+    df = spark.range(6000).select((F.col("id") % 2000).cast("string").alias("k"), F.lit("x").alias("c"))
+    drawn = skew.sample_once(df, sample)
+    got = rows(drawn)
+    assert len(got) == len(set(got)) and abs(len(got) - 2000 * sample) <= 100
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange") :]
+    assert sample == 1.0 or "xxhash64" in below
+
+
+def test_equal_rows_of_a_side_count_once(spark):
+    """100 rows of one pair are one row of the join's product, 100 pairs are 100."""
+    left = spark.range(200).select((F.col("id") % 2).cast("string").alias("k"))
+    pairs = spark.range(200).select(
+        (F.col("id") % 2).cast("string").alias("k"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("c")
+    )
+    hot = skew.find_hot({"j": [(left, "k"), (pairs, "k", True)]}, sample=1.0, sure=2, partitions=8)["j"]
+    assert hot.right.keys.get("0", 1) > 1 and hot.right.keys.get("1", 1) == 1

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import functools
 import re
+import time
 
 import pytest
 from conftest import rows
@@ -13,7 +14,7 @@ from quillstat.checks.roles import CREATORS, PROBED, load
 from quillstat.operators.skew import find_hot
 from quillstat.plans import dimensions, facts, marts, refresh, stage
 from quillstat.schemas import PRODUCTS, RAW, check
-from quillstat.session import run_dir
+from quillstat.session import REMOVE_SHUFFLES, run_dir, shuffles_removed
 from quillstat.sources import runs, sinks, tables
 
 
@@ -329,3 +330,40 @@ def test_months_are_not_sorted_before_they_are_written(spark, tmp_path):
     plans = [runs_of.executionsList().apply(i).physicalPlanDescription() for i in range(int(runs_of.executionsCount()))]
     (written,) = [p for p in plans if f"{tmp_path}/unsorted" in p]
     assert "Sort" not in written
+
+
+def shuffle_files(spark) -> set[str]:
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = (blocks.apply(i).toString() for i in range(blocks.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_refresh_leaves_no_shuffle_files(spark, src):
+    small = tables.Sources({n: (lambda n=n: getattr(src, n).limit(60)) for n in RAW})
+    before = shuffle_files(spark)
+    refresh.refresh(spark, small, run_dir(spark, "swept"), CREATORS, history=PROBED)
+    until = time.time() + 20  # Spark removes them in the background
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+@pytest.mark.parametrize("value", [None, "false", "true"])
+def test_the_setting_that_removes_shuffles_is_put_back(spark, value):
+    if value is not None:
+        spark.conf.set(REMOVE_SHUFFLES, value)
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    try:
+        with pytest.raises(RuntimeError, match="killed"), shuffles_removed(spark):
+            assert spark.conf.get(REMOVE_SHUFFLES) == "true"
+            raise RuntimeError("killed")
+        assert spark.conf.get(REMOVE_SHUFFLES, None) == before
+    finally:
+        spark.conf.unset(REMOVE_SHUFFLES)
+
+
+def test_products_are_compressed_by_zstd(done):
+    for name in ("L2_interaction", "publication_collect"):
+        path = done[name].inputFiles()[0].removeprefix("file://")
+        column = parquet.ParquetFile(path).metadata.row_group(0).column(0)
+        assert column.compression == "ZSTD", name

@@ -2,9 +2,12 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pytest
 from conftest import rows, ts
+from pyspark.sql import functions as F
 
 from quillstat.fixed_values import ALLOWLIST, CURRENCIES
+from quillstat.operators.joins import lookup
 from quillstat.operators.skew import Hot, Parts
 from quillstat.plans import stage
 from quillstat.plans.facts import collects_v1, ledger_of
@@ -128,3 +131,35 @@ def test_ledger_of_creators(sources):
     src = world(sources)
     everyone = [r for r in rows(ledger_of(src)) if r[0] == "1"]
     assert rows(ledger_of(src, ["1"])) == everyone
+
+
+@pytest.mark.parametrize("crowded", [Parts(), Parts({"1": 4, "gone": 2})])
+def test_sums_by_key_are_the_sums_and_move_rows_once(spark, crowded):
+    ledger = spark.range(400).repartition(5).select(
+        F.when(F.col("id") % 9 != 0, (F.col("id") % 4).cast("string")).alias("post_id"),
+        F.when(F.col("id") % 5 != 0, (F.col("id") % 3).cast("string")).alias("currency"),
+        F.when(F.col("id") % 7 != 0, F.col("id") / 4).cast("decimal(38,2)").alias("amount"),
+    )
+    want = rows(stage.revenue_v1(ledger))
+    assert len(want) > 16 and rows(stage.revenue_v1(ledger, crowded)) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        posts = spark.range(4).select(F.col("id").cast("string").alias("k"))
+        joined = lookup(posts, stage.revenue_v1(ledger, crowded), "k", "post_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Posts, and the ledger by post; crowded posts are summed before.
+    assert plan.count("Exchange hashpartitioning") == 2 + bool(crowded)
+
+
+@pytest.mark.parametrize("crowded", [Parts(), Parts({"1": 4})])
+def test_revenue_of_crowded_publications(sources, crowded):
+    modules = [
+        {"publication_id": key, "currency": currency, "amount": amount}
+        for key in ("1", "1", "2", None)
+        for currency in (USDC, WETH, "0xx", None)
+        for amount in ("2500000", None)
+    ]
+    table = sources(action_module=modules).action_module
+    assert rows(stage.revenue_v2(table, CURRENCIES, crowded)) == rows(stage.revenue_v2(table))
