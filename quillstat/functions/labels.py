@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from quillstat.fixed_values import ENGAGEMENT_POINTS, HIGH_VALUE_TYPES
 
+PAID, FREE = "PAID COLLECT", "FREE COLLECT"
+
 
 def paid_or_free(amount: Column) -> Column:
     """A collect with no amount is a free one."""
-    return F.when(amount > 0, "PAID COLLECT").otherwise("FREE COLLECT")
+    return F.when(amount > 0, PAID).otherwise(FREE)
 
 
 def value_tier(kind: Column, high: Sequence[str] = HIGH_VALUE_TYPES) -> Column:

@@ -24,6 +24,21 @@ def days(bounds: DataFrame, first: Column, last: Column) -> DataFrame:
     return bounds.select(F.explode(F.sequence(first, last, step)).alias("date"))
 
 
+def repeated(df: DataFrame, copies: str) -> DataFrame:
+    """Each row as often as its column ``copies`` says, without this column."""
+    columns = [c for c in df.columns if c != copies]
+    times = F.sequence(F.lit(1).cast("bigint"), F.col(copies))
+    return df.select(*columns, F.explode(times).alias(copies)).select(*columns)
+
+
+def at_most(df: DataFrame, copies: str, most: int) -> DataFrame:
+    """Rows that stand for more than ``most`` copies become several that do not."""
+    done = F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1, F.lit(most).cast("bigint"))
+    divided = df.withColumn("_done", F.explode(done))
+    left = F.least(F.col(copies) - F.col("_done"), F.lit(most))
+    return divided.withColumn(copies, left).drop("_done")
+
+
 def union_as(branches: Iterable[DataFrame], spec: str) -> DataFrame:
     """Union of differently built branches, each brought to one schema first."""
     return reduce(DataFrame.unionByName, [align(b, spec) for b in branches])

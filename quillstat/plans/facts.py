@@ -11,18 +11,19 @@ interactions measures them first (``log_joins`` with ``find_hot``) and passes th
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import wraps
 from types import SimpleNamespace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstat.fixed_values import CURRENCIES, Currency
 from quillstat.functions.calendar import from_micros, month_start, time_text
-from quillstat.functions.labels import paid_or_free
+from quillstat.functions.labels import FREE, PAID, paid_or_free
 from quillstat.functions.money import currency_label, raw_amount, usd
 from quillstat.operators.joins import Ids, fan_out, lookup, pair, restrict_to
-from quillstat.operators.rows import union_as
+from quillstat.operators.rows import at_most, repeated, union_as
 from quillstat.operators.skew import NO_HOT, NONE, Hot, Sides
 from quillstat.plans.stage import (
     collect_ledger,
@@ -31,10 +32,22 @@ from quillstat.plans.stage import (
     revenue_v2,
     with_rate,
 )
-from quillstat.schemas import INTERACTION, INTERACTION_LOG, PUBLICATION, align
+from quillstat.schemas import (
+    COPIES,
+    INTERACTION,
+    INTERACTION_LOG,
+    PACKED_INTERACTION,
+    PACKED_LOG,
+    PACKED_PUBLICATION,
+    PUBLICATION,
+    align,
+)
 from quillstat.sources.sinks import export_times
 from quillstat.sources.tables import Sources
 
+# Rows that stand for more are divided before they are shuffled.
+MOST_COPIES = 10_000
+
 
 def publication_fact(
     records: DataFrame,
@@ -48,21 +61,71 @@ def publication_fact(
     Currency and amount fall back to the first generation separately, as in the
     source system. All five tables meet on the publication id.
     """
+    firsts = first_revenue.select(
+        "post_id", F.col("currency").alias("currency_v1"), F.col("amount").alias("amount_v1")
+    )
+    wide = lookup(_described(records, metadata, revenue, stats), firsts, "publication_id", "post_id")
+    return align(_named(wide), PUBLICATION)
+
+
+def packed_publications(
+    records: DataFrame,
+    metadata: DataFrame,
+    revenue: DataFrame,
+    stats: DataFrame,
+    first_revenue: DataFrame,
+) -> DataFrame:
+    """The publication fact before ``unpacked_publications``.
+
+    A currency of the first generation repeats rows that have currency and amount without
+    changing them, so these meet the first one only, and are counted.
+    """
+    by_post = Window.partitionBy("post_id").orderBy("currency")
+    number = F.count(F.lit(1)).over(
+        by_post.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    firsts = first_revenue.filter(F.col("post_id").isNotNull()).select(
+        "post_id",
+        F.col("currency").alias("currency_v1"),
+        F.col("amount").alias("amount_v1"),
+        number.alias("number_v1"),
+        F.row_number().over(by_post).alias("rank_v1"),
+    )
+    described = _described(records, metadata, revenue, stats)
+    lacking = F.col("currency").isNull() | F.col("amount").isNull()
+    same = F.col("publication_id") == F.col("post_id")
+    wide = described.join(firsts, same & (lacking | (F.col("rank_v1") == 1)), "left")
+    copies = F.when(lacking, 1).otherwise(F.coalesce("number_v1", F.lit(1)))
+    packed = _named(wide.withColumn(COPIES, copies).withColumn("_at", F.col("block_timestamp")))
+    return align(packed, PACKED_PUBLICATION)
+
+
+def unpacked_publications(packed: DataFrame) -> DataFrame:
+    day, time = _when("_at", "publication")
+    whole = repeated(packed.withColumns({"publication_date": day, "publication_time": time}), COPIES)
+    return align(whole, PUBLICATION)
+
+
+def _described(
+    records: DataFrame, metadata: DataFrame, revenue: DataFrame, stats: DataFrame
+) -> DataFrame:
     sides = {
         "metadata_id": metadata.withColumnRenamed("publication_id", "metadata_id"),
         "revenue_id": revenue.select(
             F.col("publication_id").alias("revenue_id"), "currency", "amount"
         ),
         "stats_id": stats.withColumnRenamed("publication_id", "stats_id"),
-        "post_id": first_revenue.select(
-            "post_id", F.col("currency").alias("currency_v1"), F.col("amount").alias("amount_v1")
-        ),
     }
     wide = records
     for key, side in sides.items():
         wide = lookup(wide, side, "publication_id", key)
-    day = F.to_date("block_timestamp")
-    named = wide.select(
+    return wide
+
+
+def _named(wide: DataFrame) -> DataFrame:
+    """The columns of the fact, and those that a packed one has beside them."""
+    day, time = _when("block_timestamp", "publication")
+    return wide.select(
         "publication_id",
         "profile_id",
         "publication_type",
@@ -77,8 +140,8 @@ def publication_fact(
         F.col("is_encrypted").alias("publication_encryption_flag"),
         F.coalesce("currency", "currency_v1").alias("publication_currency"),
         F.coalesce("amount", "amount_v1").alias("publication_revenue"),
-        day.alias("publication_date"),
-        time_text(F.col("block_timestamp")).alias("publication_time"),
+        day,
+        time,
         F.col("total_amount_of_collects").alias("publication_total_collects"),
         F.col("total_amount_of_mirrors").alias("publication_total_mirrors"),
         F.col("total_amount_of_comments").alias("publication_total_comments"),
@@ -87,9 +150,9 @@ def publication_fact(
         F.col("total_bookmarks").alias("publication_total_bookmarks"),
         F.col("total_amount_of_acted").alias("publication_total_acted"),
         F.col("total_amount_of_comments_gardeners").alias("publication_total_comments_gardeners"),
-        month_start(day).alias("publication_date_year_month"),
+        month_start(F.to_date("block_timestamp")).alias("publication_date_year_month"),
+        *[c for c in ("_at", COPIES) if c in wide.columns],
     )
-    return align(named, PUBLICATION)
 
 
 def publications_of(
@@ -127,11 +190,35 @@ def owners_of(records: DataFrame, creators: Ids | None = None) -> DataFrame:
     )
 
 
+def _branch(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A kind of interactions in the columns of the log; ``packed`` is as ``make`` has it."""
+
+    @wraps(make)
+    def whole(*args, **kwargs) -> DataFrame:
+        return _unpacked(_packed(make(*args, **kwargs)), INTERACTION)
+
+    whole.packed = make
+    return whole
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """Rows of a branch that has no number of copies stand for themselves."""
+    counted = rows if COPIES in rows.columns else rows.withColumn(COPIES, F.lit(1))
+    return align(counted, PACKED_INTERACTION)
+
+
+def _unpacked(packed: DataFrame, spec: str) -> DataFrame:
+    day, time = _when("_at", "interaction")
+    whole = repeated(packed.withColumns({"interaction_date": day, "interaction_time": time}), COPIES)
+    return align(whole, spec)
+
+
+@_branch
 def follows(followers: DataFrame) -> DataFrame:
     return followers.select(
         _null("publication_id"),
         "profile_id",
-        *_when("block_timestamp"),
+        F.col("block_timestamp").alias("_at"),
         F.col("profile_follower_id").alias("interaction_profile_id"),
         _null("interaction_publication_id"),
         _null("interaction_app"),
@@ -141,6 +228,7 @@ def follows(followers: DataFrame) -> DataFrame:
     )
 
 
+@_branch
 def derivatives(
     records: DataFrame,
     metadata: DataFrame,
@@ -158,7 +246,7 @@ def derivatives(
     return spoken.select(
         F.col("owned_id").alias("publication_id"),
         "profile_id",
-        *_when("block_timestamp"),
+        F.col("block_timestamp").alias("_at"),
         "interaction_profile_id",
         "interaction_publication_id",
         "interaction_app",
@@ -168,6 +256,7 @@ def derivatives(
     )
 
 
+@_branch
 def collects_v2(
     acted: DataFrame,
     owners: DataFrame,
@@ -181,41 +270,55 @@ def collects_v2(
     As in the source system a record appears once per module and revenue currency
     of its publication, and an act that is no collect keeps its row, without a
     type. Modules and revenue are looked up independently: a publication may be in
-    one table and not in the other, where the revenue was staged earlier.
+    one table and not in the other, where the revenue was staged earlier. Of its modules
+    only the numbers of paid and free ones meet the acts; the rows are made of them at last.
     """
-    prices = modules.select(
-        F.col("publication_id").alias("terms_id"),
-        F.coalesce(raw_amount(F.col("amount")), F.lit(0)).alias("price"),
+    price = F.coalesce(raw_amount(F.col("amount")), F.lit(0))
+    terms = modules.groupBy(F.col("publication_id").alias("terms_id")).agg(
+        F.count_if(price > 0).alias("paid"), F.count(F.lit(1)).alias("modules")
     )
-    priced = fan_out(
+    by_module = hot.get("modules", NONE)
+    priced = lookup(
         _owned(acted, owners, "publication_id", only_owned, hot.get("acted", NONE)),
-        prices,
+        terms,
         "publication_id",
         "terms_id",
-        hot.get("modules", NONE),
-        keys=modules.select("publication_id"),
+        Hot(by_module.left),
     )
-    # By now a publication's rows are its acts times its modules, on whichever side it is hot.
+    # A publication's rows stand for its acts times its modules, on whichever side it is hot.
     valued = fan_out(
         priced,
         revenue.select(F.col("publication_id").alias("revenue_id"), "amount_USD"),
         "publication_id",
         "revenue_id",
-        hot.get("revenue", NONE).after(hot.get("modules", NONE)),
+        hot.get("revenue", NONE).after(by_module),
     )
-    return valued.select(
+    # A publication without modules has one row, which is free.
+    modules_, paid = F.coalesce("modules", F.lit(1)), F.coalesce("paid", F.lit(0))
+    no_kind = F.lit(None).cast("string")
+    kinds = F.when(
+        F.col("is_collect"), F.array(_kind(PAID, paid), _kind(FREE, modules_ - paid))
+    ).otherwise(F.array(_kind(no_kind, modules_)))
+    packed = valued.select(
         "publication_id",
         "profile_id",
-        *_when("block_timestamp"),
+        F.col("block_timestamp").alias("_at"),
         F.col("acted_profile_id").alias("interaction_profile_id"),
         _null("interaction_publication_id"),
         _null("interaction_app"),
         _null("interaction_language"),
-        F.when(F.col("is_collect"), paid_or_free(F.col("price"))).alias("interaction_type"),
+        F.inline(F.filter(kinds, lambda kind: kind[COPIES] > 0)),
         "amount_USD",
     )
+    return at_most(packed, COPIES, MOST_COPIES)
+
+
+def _kind(name: Column | str, copies: Column) -> Column:
+    name = F.lit(name) if isinstance(name, str) else name
+    return F.struct(name.alias("interaction_type"), copies.cast("bigint").alias(COPIES))
 
 
+@_branch
 def collects_v1(ledger: DataFrame, currencies: Sequence[Currency] = CURRENCIES) -> DataFrame:
     """Collects of the first-generation ledger as it is after the storage hop,
     with ``collect_date`` in microseconds."""
@@ -226,7 +329,7 @@ def collects_v1(ledger: DataFrame, currencies: Sequence[Currency] = CURRENCIES)
     return with_rate(collected, currencies).select(
         F.col("post_id").alias("publication_id"),
         "profile_id",
-        *_when("collected_at"),
+        F.col("collected_at").alias("_at"),
         F.col("profile_id_collected").alias("interaction_profile_id"),
         _null("interaction_publication_id"),
         _null("interaction_app"),
@@ -236,13 +339,14 @@ def collects_v1(ledger: DataFrame, currencies: Sequence[Currency] = CURRENCIES)
     )
 
 
+@_branch
 def reactions(
     reacted: DataFrame, owners: DataFrame, only_owned: bool = False, hot: Hot = NONE
 ) -> DataFrame:
     return _owned(reacted, owners, "publication_id", only_owned, hot).select(
         "publication_id",
         "profile_id",
-        *_when("action_at"),
+        F.col("action_at").alias("_at"),
         F.col("actioned_by_profile_id").alias("interaction_profile_id"),
         _null("interaction_publication_id"),
         F.col("app").alias("interaction_app"),
@@ -252,6 +356,7 @@ def reactions(
     )
 
 
+@_branch
 def mentions(
     mentioned: DataFrame, records: DataFrame, metadata: DataFrame, hot: Hot = NONE
 ) -> DataFrame:
@@ -281,7 +386,7 @@ def mentions(
     return spoken.select(
         _null("publication_id"),
         "profile_id",
-        *_when("timestamp"),
+        F.col("timestamp").alias("_at"),
         "interaction_profile_id",
         F.col("mention_id").alias("interaction_publication_id"),
         "interaction_app",
@@ -299,7 +404,7 @@ def interaction_log(branches: Sequence[DataFrame]) -> DataFrame:
     return align(log, INTERACTION_LOG)
 
 
-def interactions_of(
+def packed_interactions_of(
     sources: Sources,
     creators: Ids | None = None,
     currencies: Sequence[Currency] = CURRENCIES,
@@ -307,10 +412,7 @@ def interactions_of(
     revenue: DataFrame | None = None,
     hot: Mapping[str, Hot] = NO_HOT,
 ) -> DataFrame:
-    """Interaction log from the raw tables, of all profiles or of ``creators``.
-
-    ``ledger`` and ``revenue`` are used where already written, otherwise built.
-    """
+    """The interaction log before ``unpacked_interactions``."""
     scope = _everything(sources) if creators is None else _of_creators(sources, creators)
     if ledger is None:
         built = collect_ledger(
@@ -326,28 +428,50 @@ def interactions_of(
     if revenue is None:
         revenue = revenue_v2(scope.modules, currencies)
     only_owned = creators is not None
-    return interaction_log(
-        [
-            follows(scope.followers),
-            derivatives(
-                scope.records,
-                scope.metadata_of_children,
-                scope.owners,
-                only_owned,
-                hot.get("parents", NONE),
-            ),
-            collects_v2(
-                sources.acted_record, scope.owners, scope.modules, revenue, only_owned, hot
-            ),
-            collects_v1(restrict_to(ledger, creators, "profile_id"), currencies),
-            reactions(sources.reaction, scope.owners, only_owned, hot.get("reacted", NONE)),
-            mentions(
-                scope.mentioned,
-                scope.authors,
-                scope.metadata_of_authors,
-                hot.get("mentioned", NONE),
-            ),
-        ]
+    branches = [
+        follows.packed(scope.followers),
+        derivatives.packed(
+            scope.records,
+            scope.metadata_of_children,
+            scope.owners,
+            only_owned,
+            hot.get("parents", NONE),
+        ),
+        collects_v2.packed(
+            sources.acted_record, scope.owners, scope.modules, revenue, only_owned, hot
+        ),
+        collects_v1.packed(restrict_to(ledger, creators, "profile_id"), currencies),
+        reactions.packed(sources.reaction, scope.owners, only_owned, hot.get("reacted", NONE)),
+        mentions.packed(
+            scope.mentioned,
+            scope.authors,
+            scope.metadata_of_authors,
+            hot.get("mentioned", NONE),
+        ),
+    ]
+    log = union_as([_packed(branch) for branch in branches], PACKED_INTERACTION)
+    month = month_start(F.to_date("_at")).alias("interaction_date_year_month")
+    return align(log.select("*", month), PACKED_LOG)
+
+
+def unpacked_interactions(packed: DataFrame) -> DataFrame:
+    return _unpacked(packed, INTERACTION_LOG)
+
+
+def interactions_of(
+    sources: Sources,
+    creators: Ids | None = None,
+    currencies: Sequence[Currency] = CURRENCIES,
+    ledger: DataFrame | None = None,
+    revenue: DataFrame | None = None,
+    hot: Mapping[str, Hot] = NO_HOT,
+) -> DataFrame:
+    """Interaction log from the raw tables, of all profiles or of ``creators``.
+
+    ``ledger`` and ``revenue`` are used where already written, otherwise built.
+    """
+    return unpacked_interactions(
+        packed_interactions_of(sources, creators, currencies, ledger, revenue, hot)
     )
 
 
@@ -466,9 +590,9 @@ def _languages(metadata: DataFrame) -> DataFrame:
     return metadata.select(F.col("publication_id").alias("metadata_id"), "language")
 
 
-def _when(column: str) -> tuple[Column, Column]:
+def _when(column: str, kind: str) -> tuple[Column, Column]:
     ts = F.col(column)
-    return F.to_date(ts).alias("interaction_date"), time_text(ts).alias("interaction_time")
+    return F.to_date(ts).alias(f"{kind}_date"), time_text(ts).alias(f"{kind}_time")
 
 
 def _null(name: str) -> Column:

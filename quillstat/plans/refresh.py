@@ -39,6 +39,13 @@ CLUSTERS = {name: ("profile_id", "publication_id") for name in MONTHS} | {
 }
 
 
+# Products that are shuffled by month before some of their columns and equal rows are made.
+PACKED = {
+    "L2_publication": facts.unpacked_publications,
+    "L2_interaction": facts.unpacked_interactions,
+}
+
+
 def refresh(
     spark: SparkSession,
     sources: Sources,
@@ -73,7 +80,7 @@ def _refreshed(
 ) -> dict[str, DataFrame]:
 
     def put(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return run.put(name, build, MONTHS.get(name), CLUSTERS.get(name, ()))
+        return run.put(name, build, MONTHS.get(name), CLUSTERS.get(name, ()), PACKED.get(name))
 
     split = {n: split_amounts(getattr(sources, n)) for n in ("action_module", "collect_module_v1")}
     put("quarantined_amount", lambda: stage.quarantined({n: bad for n, (_, bad) in split.items()}))
@@ -131,7 +138,7 @@ def _refreshed(
     def published() -> DataFrame:
         made = put(
             "L2_publication",
-            lambda: facts.publication_fact(
+            lambda: facts.packed_publications(
                 sources.publication_record,
                 sources.publication_metadata,
                 revenue,
@@ -144,7 +151,7 @@ def _refreshed(
     def logged() -> DataFrame:
         made = put(
             "L2_interaction",
-            lambda: facts.interactions_of(sources, None, currencies, hop, revenue, hot()),
+            lambda: facts.packed_interactions_of(sources, None, currencies, hop, revenue, hot()),
         )
         return put("L3_interaction", lambda: marts.of_creators(made, chosen))
 

@@ -82,6 +82,12 @@ INTERACTION = (
     f" interaction_language string, interaction_type string, amount_USD {USD}"
 )
 INTERACTION_LOG = INTERACTION + ", interaction_date_year_month date"
+# The log before its largest shuffle: a timestamp for date and time, and a number of equal rows.
+COPIES = "_copies"
+PACKED = f"_at timestamp_ntz, {COPIES} bigint"
+_UNDATED = INTERACTION.replace(" interaction_date date, interaction_time string,", "")
+PACKED_INTERACTION = f"{_UNDATED}, {PACKED}"
+PACKED_LOG = f"{PACKED_INTERACTION}, interaction_date_year_month date"
 
 PROFILE = (
     "profile_id string, profile_name string, profile_address string, profile_burnt_flag boolean,"
@@ -106,6 +112,9 @@ PUBLICATION = (
     " publication_total_acted bigint, publication_total_comments_gardeners bigint,"
     " publication_date_year_month date"
 )
+PACKED_PUBLICATION = (
+    PUBLICATION.replace(" publication_date date, publication_time string,", "") + f", {PACKED}"
+)
 
 # The ledger crosses a storage hop that keeps timestamps as integer microseconds.
 COLLECT_LEDGER = (

@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quillstat.schemas import PRODUCTS, check
+from quillstat.schemas import PRODUCTS, check, struct
 from quillstat.sources.sinks import write_files
 from quillstat.sources.tables import read_product
 
@@ -69,20 +69,29 @@ class Run:
         build: Callable[[], DataFrame],
         month: str | None = None,
         cluster: Sequence[str] = (),
+        unpack: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
         """Write a product and read it back, or read it if it is finished already.
 
-        Rows and missing values are counted by the write itself, without another scan.
+        Rows and missing values are counted by the write itself, without another scan. With
+        ``unpack`` the product is what it makes of the rows that were built.
         """
         if not self.has(name):
-            df = check(build(), PRODUCTS[name])
+            columns = struct(PRODUCTS[name]).names
             counted = Observation(f"{name}-{uuid.uuid4().hex}")
-            nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in df.columns]
+            nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in columns]
             path = f"{self.root}/{name}-{uuid.uuid4().hex}"
-            observed = df.observe(counted, F.count(F.lit(1)).alias("number_row"), *nulls)
-            write_files(observed, path, month, cluster)
+
+            def observed(df: DataFrame) -> DataFrame:
+                whole = check(df, PRODUCTS[name])
+                return whole.observe(counted, F.count(F.lit(1)).alias("number_row"), *nulls)
+
+            if unpack is None:
+                write_files(observed(build()), path, month, cluster)
+            else:
+                write_files(build(), path, month, cluster, lambda df: observed(unpack(df)))
             found = counted.get
-            self._list(name, path, found["number_row"], {c: found[f"null_{c}"] for c in df.columns})
+            self._list(name, path, found["number_row"], {c: found[f"null_{c}"] for c in columns})
         return self.read(name)
 
     def _list(self, name: str, path: str, rows: int, nulls: dict[str, int]) -> None:

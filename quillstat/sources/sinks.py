@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,15 +17,20 @@ ROW_GROUP_BYTES = 16 << 20
 
 
 def write_files(
-    df: DataFrame, path: str, month: str | None = None, cluster: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    month: str | None = None,
+    cluster: Sequence[str] = (),
+    unpack: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> str:
     """Write a product to a new directory and return it.
 
     An existing directory is an error: readers of the last run keep theirs, and
     nobody sees half a table. With ``cluster`` the rows of a file are sorted by these
-    columns, so a predicate on the first reads few of its row groups and pages.
+    columns, so a predicate on the first reads few of its row groups and pages. What
+    ``unpack`` adds to the rows is not shuffled or sorted; it must keep their order.
     """
-    _writer(df, month, cluster).mode("error").parquet(path)
+    _writer(df, month, cluster, unpack).mode("error").parquet(path)
     return path
 
 
@@ -39,7 +44,12 @@ def replace_table(df: DataFrame, name: str, path: str, month: str | None = None)
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
 
 
-def _writer(df: DataFrame, month: str | None, cluster: Sequence[str] = ()):
+def _writer(
+    df: DataFrame,
+    month: str | None,
+    cluster: Sequence[str],
+    unpack: Callable[[DataFrame], DataFrame],
+):
     months = [] if month is None else [month]
     if months:
         # Rebalancing sends a month to few writers, and splits it again when large.
@@ -47,7 +57,7 @@ def _writer(df: DataFrame, month: str | None, cluster: Sequence[str] = ()):
     if cluster:
         # The writer's own sort by month is part of this one.
         df = df.sortWithinPartitions(*months, *cluster)
-    writer = df.write.partitionBy(*months).option("compression", COMPRESSION)
+    writer = unpack(df).write.partitionBy(*months).option("compression", COMPRESSION)
     return writer.option("parquet.block.size", ROW_GROUP_BYTES) if cluster else writer
 
 

@@ -9,6 +9,7 @@ from conftest import rows, ts
 from pyspark.sql import functions as F
 
 from quillstat.fixed_values import CURRENCIES
+from quillstat.operators.rows import at_most, repeated
 from quillstat.operators.skew import Hot, Parts, find_hot
 from quillstat.plans import dimensions, facts, stage
 from quillstat.schemas import INTERACTION, INTERACTION_LOG, PROFILE, PUBLICATION, check
@@ -406,3 +407,62 @@ def test_a_hot_publication_stays_divided_along_the_joins(spark, raw):
             spark.conf.set(k, v)
     assert sum(tasks) == acts * modules * currencies
     assert max(tasks) <= 4 * sum(tasks) / partitions
+
+
+def test_rows_of_a_publication_are_made_after_the_shuffle(raw, spark, tmp_path):
+    """40 acts on a publication with 60 modules are 40 rows until they are written."""
+    acted = [
+        {"publication_id": "p", "acted_profile_id": str(i), "is_collect": True, "block_timestamp": TIME}
+        for i in range(40)
+    ]
+    modules = [
+        {"publication_id": "p", "currency": ADDRESS["DAI"], "amount": "0" if i % 3 else "9" + "0" * 18}
+        for i in range(60)
+    ]
+    tables = raw("acted_record", *acted), facts.owners_of(family(raw)), raw("action_module", *modules)
+    revenue = stage.revenue_v2(tables[2])
+    packed = facts.collects_v2.packed(*tables, revenue)
+    assert packed.count() == 80  # paid and free ones
+    got = facts.collects_v2(*tables, revenue)
+    kinds = {r["interaction_type"]: r["count"] for r in got.groupBy("interaction_type").count().collect()}
+    assert kinds == {"PAID COLLECT": 40 * 20, "FREE COLLECT": 40 * 40}
+
+
+def test_rows_that_stand_for_very_many_are_divided(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 10), ("c", 11), ("d", 35)], "k string, n bigint")
+    parts = at_most(df, "n", 10)
+    assert rows(parts) == sorted(
+        [("a", 1), ("b", 10), ("c", 10), ("c", 1), ("d", 10), ("d", 10), ("d", 10), ("d", 5)], key=repr
+    )
+    assert rows(repeated(parts, "n").groupBy("k").count()) == rows(df)
+
+
+def test_packed_publications_are_the_publications(spark, raw):
+    """With and without own currency and amount, and currencies of the first generation."""
+    ids = [str(i) for i in range(12)]
+    records = raw(
+        "publication_record",
+        *[{"publication_id": i, "profile_id": "1", "block_timestamp": at(1 + int(i) % 5)} for i in ids],
+        {"publication_id": "3", "profile_id": "2", "block_timestamp": TIME},
+        {"publication_id": None, "profile_id": "2", "block_timestamp": TIME},
+        {"publication_id": "4", "profile_id": "2"},
+    )
+    own = [(i, c, a) for i in ids for c, a in [("x", 1), ("y", None), (None, 2), ("z", 3)][: int(i) % 5]]
+    first = [(i, c, a) for i in ids for c, a in [("u", 5), ("v", None), (None, 6)][: int(i) % 4]]
+    # Equal currencies and posts without an id.
+    own += [(None, "x", 7), ("2", "x", 1)]
+    first += [(None, "u", 7), ("5", "u", 5), ("5", "u", 8)]
+    revenue = spark.createDataFrame(own, "publication_id string, currency string, amount long")
+    posts = spark.createDataFrame(first, "post_id string, currency string, amount long")
+    money = F.col("amount").cast("decimal(38,2)")
+    tables = (
+        records,
+        raw("publication_metadata", {"publication_id": "1", "language": "en"}),
+        revenue.withColumn("amount", money),
+        raw("publication_stats", {"publication_id": "1", "total_reactions": 3}),
+        posts.withColumn("amount", money),
+    )
+    packed = facts.packed_publications(*tables)
+    want = rows(facts.publication_fact(*tables))
+    assert rows(facts.unpacked_publications(packed)) == want
+    assert packed.count() < len(want)
