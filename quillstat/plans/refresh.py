@@ -79,8 +79,10 @@ def _refreshed(
     base: str | None,
 ) -> dict[str, DataFrame]:
 
-    def put(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return run.put(name, build, MONTHS.get(name), CLUSTERS.get(name, ()), PACKED.get(name))
+    def put(name: str, build: Callable[[], DataFrame], gathered: bool = False) -> DataFrame:
+        return run.put(
+            name, build, MONTHS.get(name), CLUSTERS.get(name, ()), PACKED.get(name), gathered
+        )
 
     split = {n: split_amounts(getattr(sources, n)) for n in ("action_module", "collect_module_v1")}
     put("quarantined_amount", lambda: stage.quarantined({n: bad for n, (_, bad) in split.items()}))
@@ -130,7 +132,8 @@ def _refreshed(
         lambda: put("currency_check", lambda: stage.currency_check(sources.action_module, currencies)),
     )
     # A short list reaches the scans as a predicate, a table is joined.
-    chosen = listed if isinstance(creators, DataFrame) else creators
+    by_table = isinstance(creators, DataFrame)
+    chosen = listed if by_table else creators
 
     def crowded() -> Parts:
         return find_hot({"posts": [(hop, "post_id")]})["posts"].left
@@ -146,14 +149,14 @@ def _refreshed(
                 stage.revenue_v1(hop, crowded()),
             ),
         )
-        return put("L3_publication", lambda: marts.of_creators(made, chosen))
+        return put("L3_publication", lambda: marts.of_creators(made, chosen), not by_table)
 
     def logged() -> DataFrame:
         made = put(
             "L2_interaction",
             lambda: facts.packed_interactions_of(sources, None, currencies, hop, revenue, hot()),
         )
-        return put("L3_interaction", lambda: marts.of_creators(made, chosen))
+        return put("L3_interaction", lambda: marts.of_creators(made, chosen), not by_table)
 
     # Both shuffle the large tables; at the same time they would need the disk of both.
     publications, interactions = published(), logged()

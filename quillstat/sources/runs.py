@@ -70,11 +70,13 @@ class Run:
         month: str | None = None,
         cluster: Sequence[str] = (),
         unpack: Callable[[DataFrame], DataFrame] | None = None,
+        gathered: bool = False,
     ) -> DataFrame:
         """Write a product and read it back, or read it if it is finished already.
 
         Rows and missing values are counted by the write itself, without another scan. With
-        ``unpack`` the product is what it makes of the rows that were built.
+        ``unpack`` the product is what it makes of the rows that were built; ``gathered`` rows
+        come from files by month.
         """
         if not self.has(name):
             columns = struct(PRODUCTS[name]).names
@@ -87,7 +89,7 @@ class Run:
                 return whole.observe(counted, F.count(F.lit(1)).alias("number_row"), *nulls)
 
             if unpack is None:
-                write_files(observed(build()), path, month, cluster)
+                write_files(observed(build()), path, month, cluster, gathered=gathered)
             else:
                 write_files(build(), path, month, cluster, lambda df: observed(unpack(df)))
             found = counted.get

@@ -22,15 +22,17 @@ def write_files(
     month: str | None = None,
     cluster: Sequence[str] = (),
     unpack: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    gathered: bool = False,
 ) -> str:
     """Write a product to a new directory and return it.
 
     An existing directory is an error: readers of the last run keep theirs, and
     nobody sees half a table. With ``cluster`` the rows of a file are sorted by these
     columns, so a predicate on the first reads few of its row groups and pages. What
-    ``unpack`` adds to the rows is not shuffled or sorted; it must keep their order.
+    ``unpack`` adds to the rows is not shuffled or sorted; it must keep their order. Rows
+    that come ``gathered`` by month, from files that are, stay where they are.
     """
-    _writer(df, month, cluster, unpack).mode("error").parquet(path)
+    _writer(df, month, cluster, unpack, gathered).mode("error").parquet(path)
     return path
 
 
@@ -49,9 +51,10 @@ def _writer(
     month: str | None,
     cluster: Sequence[str],
     unpack: Callable[[DataFrame], DataFrame],
+    gathered: bool,
 ):
     months = [] if month is None else [month]
-    if months:
+    if months and not gathered:
         # Rebalancing sends a month to few writers, and splits it again when large.
         df = df.hint("rebalance", month)
     if cluster:

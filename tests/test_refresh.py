@@ -367,3 +367,19 @@ def test_products_are_compressed_by_zstd(done):
         path = done[name].inputFiles()[0].removeprefix("file://")
         column = parquet.ParquetFile(path).metadata.row_group(0).column(0)
         assert column.compression == "ZSTD", name
+
+
+def test_creators_rows_stay_in_their_files(spark, done, tmp_path):
+    """The rows of a list of creators are not shuffled: they are read by month already."""
+    log, month = done["L2_interaction"], refresh.MONTHS["L2_interaction"]
+    few = marts.of_creators(log, CREATORS)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("stays", "no shuffle expected")
+    try:
+        path = sinks.write_files(few, str(tmp_path / "few"), month, ("profile_id",), gathered=True)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("stays")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs and all(len(job.stageIds) == 1 for job in jobs)
+    back = tables.read_product(spark, path, "L3_interaction")
+    assert rows(back) == rows(done["L3_interaction"])
