@@ -143,7 +143,7 @@ def interaction_log(src: Sources) -> DataFrame:
 def interaction_log_partitioned(src: Sources) -> DataFrame:
     spark = src.publication_record.sparkSession
     path = run_dir(spark, "L2_interaction")
-    packed = facts.packed_interactions_of(src)
+    packed = facts.interactions_of(src, packed=True)
     write_files(packed, path, "interaction_date_year_month", unpack=facts.unpacked_interactions)
     return read_product(spark, path, "L2_interaction")
 

@@ -404,15 +404,20 @@ def interaction_log(branches: Sequence[DataFrame]) -> DataFrame:
     return align(log, INTERACTION_LOG)
 
 
-def packed_interactions_of(
+def interactions_of(
     sources: Sources,
     creators: Ids | None = None,
     currencies: Sequence[Currency] = CURRENCIES,
     ledger: DataFrame | None = None,
     revenue: DataFrame | None = None,
     hot: Mapping[str, Hot] = NO_HOT,
+    packed: bool = False,
 ) -> DataFrame:
-    """The interaction log before ``unpacked_interactions``."""
+    """Interaction log from the raw tables, of all profiles or of ``creators``.
+
+    ``ledger`` and ``revenue`` are used where already written, otherwise built. With
+    ``packed`` it is the log before ``unpacked_interactions``.
+    """
     scope = _everything(sources) if creators is None else _of_creators(sources, creators)
     if ledger is None:
         built = collect_ledger(
@@ -451,30 +456,14 @@ def packed_interactions_of(
     ]
     log = union_as([_packed(branch) for branch in branches], PACKED_INTERACTION)
     month = month_start(F.to_date("_at")).alias("interaction_date_year_month")
-    return align(log.select("*", month), PACKED_LOG)
+    made = align(log.select("*", month), PACKED_LOG)
+    return made if packed else unpacked_interactions(made)
 
 
 def unpacked_interactions(packed: DataFrame) -> DataFrame:
     return _unpacked(packed, INTERACTION_LOG)
 
 
-def interactions_of(
-    sources: Sources,
-    creators: Ids | None = None,
-    currencies: Sequence[Currency] = CURRENCIES,
-    ledger: DataFrame | None = None,
-    revenue: DataFrame | None = None,
-    hot: Mapping[str, Hot] = NO_HOT,
-) -> DataFrame:
-    """Interaction log from the raw tables, of all profiles or of ``creators``.
-
-    ``ledger`` and ``revenue`` are used where already written, otherwise built.
-    """
-    return unpacked_interactions(
-        packed_interactions_of(sources, creators, currencies, ledger, revenue, hot)
-    )
-
-
 def log_joins(sources: Sources) -> dict[str, Sides]:
     """The joins of the log, and of the ledger, in which a publication may be hot.
 

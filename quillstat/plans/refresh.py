@@ -154,7 +154,7 @@ def _refreshed(
     def logged() -> DataFrame:
         made = put(
             "L2_interaction",
-            lambda: facts.packed_interactions_of(sources, None, currencies, hop, revenue, hot()),
+            lambda: facts.interactions_of(sources, None, currencies, hop, revenue, hot(), True),
         )
         return put("L3_interaction", lambda: marts.of_creators(made, chosen), not by_table)
 
